@@ -43,7 +43,7 @@ def alignment(L: Column, T: Column) -> Column:
     s = F.array_max(F.transform(T, lambda t: F.array_position(L, t).cast("int") - 1))
     s0 = F.greatest(s, F.lit(0))
     aligned = (n >= m) & (s >= 0)
-    u = F.array_position(T, F.element_at(L, s0 + 1)).cast("int")
+    u = F.array_position(T, F.try_element_at(L, s0 + 1)).cast("int")
     eq = F.zip_with(F.slice(L, s0 + 1, n), F.slice(T, F.greatest(u, F.lit(1)), m),
                     lambda a, b: F.coalesce(a == b, F.lit(False)))
     pos = F.array_position(eq, False).cast("int")
@@ -114,18 +114,57 @@ def template_literals(templates: Sequence[str]) -> Column:
     return F.array(*items)
 
 
+def _staged(arr: Column, **fields) -> Column:
+    """Add fields to every struct of ``arr``; each new field is computed once
+    per element from the element's existing fields (lambda variable access is
+    cheap, a repeated column expression would be evaluated again)."""
+    def add(r):
+        out = r
+        for k, f in fields.items():
+            out = out.withField(k, f(r))
+        return out
+    return F.transform(arr, add)
+
+
 def line_template_scores(L: Column, templates: Sequence[str]) -> Column:
     """array<struct<template_id, aligned, start, run, front, middle, tail, score>>
-    for one line against every template."""
-    def one(t):
-        a = alignment(L, t["twords"])
+    for one line (words ``L``, best passed as a lambda variable or plain column)
+    against every template.  Computed in stages so nothing is evaluated twice."""
+    a = _staged(template_literals(templates),
+                s=lambda r: F.array_max(F.transform(
+                    r["twords"], lambda t: F.array_position(L, t).cast("int") - 1)),
+                n=lambda r: F.size(L))
+    a = _staged(a, s0=lambda r: F.greatest(r["s"], F.lit(0)),
+                aligned=lambda r: (r["n"] >= F.size(r["twords"])) & (r["s"] >= 0))
+    a = _staged(a, u=lambda r: F.array_position(r["twords"], F.try_element_at(L, r["s0"] + 1)).cast("int"))
+    a = _staged(a, eq=lambda r: F.zip_with(
+        F.slice(L, r["s0"] + 1, r["n"]), F.slice(r["twords"], F.greatest(r["u"], F.lit(1)), F.lit(1 << 20)),
+        lambda x, y: F.coalesce(x == y, F.lit(False))))
+    a = _staged(a, pos=lambda r: F.array_position(r["eq"], False).cast("int"))
+    a = _staged(a, run=lambda r: F.when(r["pos"] == 0, F.size(r["eq"])).otherwise(r["pos"] - 1))
+    a = _staged(a,
+                front=lambda r: F.concat(F.lit("<"), F.array_join(F.slice(L, 1, r["s0"]), "-"), F.lit(">")),
+                mid=lambda r: F.slice(L, r["s0"] + 1, r["run"]),
+                tail=lambda r: F.concat(F.lit("<"), F.array_join(
+                    F.slice(L, r["s0"] + r["run"] + 1, r["n"]), "-"), F.lit(">")))
+    a = _staged(a, wunits=lambda r: F.transform(
+        F.concat(F.array(r["front"]), r["mid"], F.array(r["tail"])),
+        lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") / F.lit(C.HASH_SCALE)))
+    a = _staged(a, dt=lambda r: dot(r["wunits"], r["units"]),
+                dn=lambda r: sqrt_of_pow(r["wunits"], r["units"]))
+
+    def out(r):
+        ok = r["aligned"]
         return F.struct(
-            t["template_id"].alias("template_id"),
-            a["aligned"].alias("aligned"), a["start"].alias("start"), a["run"].alias("run"),
-            a["front"].alias("front"), a["middle"].alias("middle"), a["tail"].alias("tail"),
-            similarity(a["words"], t["units"]).alias("score"),
+            r["template_id"].alias("template_id"), ok.alias("aligned"),
+            F.when(ok, r["s0"] + 1).otherwise(0).alias("start"),
+            F.when(ok, r["run"]).otherwise(0).alias("run"),
+            F.when(ok, r["front"]).otherwise("").alias("front"),
+            F.when(ok, F.array_join(r["mid"], " ")).otherwise("").alias("middle"),
+            F.when(ok, r["tail"]).otherwise("").alias("tail"),
+            F.when(ok & (r["dn"] > 0), F.round(r["dt"] / r["dn"], 6)).otherwise(F.lit(0.0)).alias("score"),
         )
-    return F.transform(template_literals(templates), one)
+    return F.transform(a, out)
 
 
 def line_score(L: Column, templates: Sequence[str]) -> Column:

@@ -1 +1,48 @@
-"""Queries (filled in below)."""
+"""Extract queries (relational part)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.extract import case_notes_extract
+from ..sources import tables as S
+from .registry import query
+
+_EXTRACT_SQL = """
+SELECT cast(l.l_orderkey AS VARCHAR) || '-' || cast(l.l_linenumber AS VARCHAR) AS note_id,
+       cast(o.o_orderkey AS VARCHAR) AS case_id,
+       replace(c.c_name, 'Customer#', '') AS customer,
+       coalesce(c.c_mktsegment, '') || '--' || coalesce(n.n_name, '') AS jhw,
+       o.o_orderpriority AS jsw,
+       coalesce(o.o_orderstatus, '') || '--' || coalesce(o.o_orderpriority, '') AS numbers,
+       coalesce(l.l_returnflag, '') || '--' || coalesce(l.l_linestatus, '') AS cause,
+       n.n_name AS owner
+FROM lineitem l, orders o, customer c, nation n
+WHERE o.o_orderstatus = 'O'
+  AND c.c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
+  AND cast(o.o_orderdate AS VARCHAR) LIKE '199%'
+  AND l.l_orderkey = o.o_orderkey AND o.o_custkey = c.c_custkey AND c.c_nationkey = n.n_nationkey
+  AND n.n_regionkey IN (SELECT r_regionkey FROM region)
+"""
+
+
+def _extract(spark, sf_dir):
+    t = lambda n: S.table(spark, sf_dir, n)
+    return case_notes_extract(t("lineitem"), t("orders"), t("customer"), t("nation"), t("region"))
+
+
+@query("case_extract", _EXTRACT_SQL)
+def case_extract(spark, sf_dir):
+    return _extract(spark, sf_dir)
+
+
+@query("case_extract_summary", f"""
+SELECT owner, count(*) AS notes, count(DISTINCT case_id) AS cases,
+       count(DISTINCT customer) AS customers
+FROM ({_EXTRACT_SQL}) e GROUP BY owner
+""")
+def case_extract_summary(spark, sf_dir):
+    """Notes, cases and sites per owner over the extract."""
+    return _extract(spark, sf_dir).groupBy("owner").agg(
+        F.count(F.lit(1)).alias("notes"), F.countDistinct("case_id").alias("cases"),
+        F.countDistinct("customer").alias("customers"))

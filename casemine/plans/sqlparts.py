@@ -70,3 +70,81 @@ def md5_mod(expr: str, m: int) -> str:
 
 def md5_unit(expr: str) -> str:
     return f"(('0x' || substr(md5({expr}), 1, 8))::BIGINT / {C.HASH_SCALE})"
+
+
+def list_lit(words) -> str:
+    return "[" + ", ".join(q(w) for w in words) + "]::VARCHAR[]"
+
+
+def templates_table(templates) -> str:
+    rows = ", ".join(f"({i}, {list_lit(t.split(' '))})" for i, t in enumerate(templates))
+    return f"(VALUES {rows}) AS tpl(template_id, twords)"
+
+
+HISTORY_H = f"replace(lower(coalesce(text, {q(C.DEFAULT_HISTORY)})), chr(9), ' ')"
+HISTORY_LINES = (f"CASE WHEN regexp_replace({HISTORY_H}, '\\n+$', '') = '' AND {HISTORY_H} <> '' "
+                 f"THEN []::VARCHAR[] ELSE string_split(regexp_replace({HISTORY_H}, '\\n+$', ''), chr(10)) END")
+
+
+def region_lines_sql(region: str) -> str:
+    """(case_id, line_no, line) of a history region, from documents."""
+    if region == "problem":
+        sl = "lines[1 : len(lines) // 4]"
+    else:
+        sl = "lines[(3 * len(lines)) // 4 + 1 : len(lines)]"
+    return (f"(SELECT case_id, unnest(r) AS line, generate_subscripts(r, 1) AS line_no FROM "
+            f"(SELECT doc_id AS case_id, {sl} AS r FROM (SELECT doc_id, {HISTORY_LINES} AS lines "
+            f"FROM documents) d0) d1)")
+
+
+def region_sizes_sql(region: str) -> str:
+    if region == "problem":
+        n = "len(lines) // 4"
+    else:
+        n = "len(lines) - (3 * len(lines)) // 4"
+    return (f"(SELECT doc_id AS case_id, {n} AS n_lines FROM (SELECT doc_id, {HISTORY_LINES} AS lines "
+            f"FROM documents) d0)")
+
+
+def alignment_sql(region: str, templates) -> str:
+    """Aligned (line, template) pairs of a region with start/run/front/middle/tail/score."""
+    words = "string_split(regexp_replace(line, ' +$', ''), ' ')"
+    unit = "lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT / " + str(C.HASH_SCALE)
+    return f"""
+(WITH l AS (SELECT case_id, line_no, {words} AS L FROM {region_lines_sql(region)} x),
+ a1 AS (SELECT case_id, line_no, template_id, L, twords AS T, len(L) AS n, len(twords) AS m,
+              list_max(list_transform(twords, lambda t: coalesce(list_position(L, t), 0) - 1)) AS s
+        FROM l, {templates_table(templates)}),
+ a2 AS (SELECT *, list_position(T, L[s + 1]) AS u FROM a1 WHERE n >= m AND s >= 0),
+ a3 AS (SELECT *, coalesce(list_min(list_filter(range(0, least(n - s, m - u + 1)),
+                                                lambda k: L[s + 1 + k] <> T[u + k])),
+                           least(n - s, m - u + 1)) AS run FROM a2),
+ a4 AS (SELECT *, '<' || array_to_string(L[1 : s], '-') || '>' AS front,
+               array_to_string(L[s + 1 : s + run], ' ') AS middle,
+               '<' || array_to_string(L[s + run + 1 : n], '-') || '>' AS tail FROM a3),
+ a5 AS (SELECT *, list_transform(list_concat([front], L[s + 1 : s + run], [tail]), {unit}) AS su,
+               list_transform(T, {unit}) AS tu FROM a4),
+ a6 AS (SELECT *, CASE WHEN len(su) = m THEN list_reduce(list_transform(range(1, m + 1),
+                          lambda i: su[i] * tu[i]), lambda a, b: a + b) ELSE 0.0 END AS dt,
+               CASE WHEN len(su) = m THEN sqrt(list_reduce(list_transform(range(1, m + 1),
+                          lambda i: su[i] * su[i] + tu[i] * tu[i]), lambda a, b: a + b)) ELSE 0.0 END AS dn
+        FROM a5)
+ SELECT case_id, line_no, template_id, s + 1 AS start, run, front, middle, tail,
+        round(CASE WHEN dn > 0 THEN dt / dn ELSE 0.0 END, 6) AS score FROM a6)
+"""
+
+
+def guessed_sql(region: str, templates, default: str) -> str:
+    """(case_id, line, score) best line of a region per case with default."""
+    return f"""
+(WITH sc AS (SELECT r.case_id, r.line_no, r.line, coalesce(max(a.score), 0.0) AS score
+             FROM {region_lines_sql(region)} r
+             LEFT JOIN {alignment_sql(region, templates)} a
+               ON a.case_id = r.case_id AND a.line_no = r.line_no
+             GROUP BY r.case_id, r.line_no, r.line),
+ best AS (SELECT case_id, line, score
+          FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY score DESC, line_no) AS k
+                FROM sc) z WHERE k = 1)
+ SELECT d.doc_id AS case_id, coalesce(b.line, {q(default)}) AS line, coalesce(b.score, 0.0) AS score
+ FROM documents d LEFT JOIN best b ON b.case_id = d.doc_id)
+"""
