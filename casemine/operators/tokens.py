@@ -22,14 +22,14 @@ FIXED_DICTIONARIES = (C.STOP_WORDS, C.DOMAIN_STOP_WORDS, C.NAMES_AND_MONTHS)
 
 
 def corpus_arrays(cases: DataFrame, dictionaries: Sequence[Sequence[str]] = FIXED_DICTIONARIES,
-                  prefixes: Sequence[str] = C.DROP_PREFIXES) -> DataFrame:
-    """(case_id, tokens array<string>) with one row per input case row."""
-    return cases.select("case_id", T.clean_token_array("history", dictionaries, prefixes)
+                  prefixes: Sequence[str] = C.DROP_PREFIXES, keep: Sequence[str] = ()) -> DataFrame:
+    """(case_id, *keep, tokens array<string>) with one row per input case row."""
+    return cases.select("case_id", *keep, T.clean_token_array("history", dictionaries, prefixes)
                         .alias("tokens"))
 
 
-def explode_tokens(arrays: DataFrame) -> DataFrame:
-    return arrays.select("case_id", F.explode("tokens").alias("token"))
+def explode_tokens(arrays: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return arrays.select("case_id", *keep, F.explode("tokens").alias("token"))
 
 
 def drop_words(long: DataFrame, words: DataFrame | None, column: str = "word") -> DataFrame:
@@ -46,13 +46,13 @@ def owner_words(notes: DataFrame) -> DataFrame:
 
 
 def clean_tokens(cases: DataFrame, notes: DataFrame | None = None,
-                 extra_words: DataFrame | None = None) -> DataFrame:
+                 extra_words: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """(case_id, token) pairs, each pair once.
 
     ``cases`` is keyed by case_id (one row per case); with several rows per
     case (note-level input) use ``clean_tokens_by_case``.
     """
-    long = explode_tokens(corpus_arrays(cases))
+    long = explode_tokens(corpus_arrays(cases, keep=keep), keep)
     if notes is not None:
         long = drop_words(long, owner_words(notes))
     return drop_words(long, extra_words)

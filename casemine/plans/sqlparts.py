@@ -48,15 +48,20 @@ def keep_predicate(w: str) -> str:
 
 OWNER_WORDS = "(SELECT DISTINCT lower(role) AS word FROM conversations WHERE role IS NOT NULL)"
 
-CLEAN_TOKENS = f"""
-(SELECT DISTINCT case_id, token FROM (
-   SELECT doc_id AS case_id, {strip('w')} AS token
-   FROM (SELECT doc_id, unnest({raw_tokens("coalesce(text, " + q(C.DEFAULT_HISTORY) + ")")}) AS w
+CLEAN_TOKENS_S = f"""
+(SELECT DISTINCT case_id, series, token FROM (
+   SELECT doc_id AS case_id, lang AS series, {strip('w')} AS token
+   FROM (SELECT doc_id, lang, unnest({raw_tokens("coalesce(text, " + q(C.DEFAULT_HISTORY) + ")")}) AS w
          FROM documents)
  ) s
  WHERE {keep_predicate('token')}
    AND token NOT IN (SELECT word FROM {OWNER_WORDS} o))
 """
+CLEAN_TOKENS = f"(SELECT DISTINCT case_id, token FROM {CLEAN_TOKENS_S} cts)"
+
+
+def line_terms(expr: str) -> str:
+    return f"list_distinct(list_transform({raw_tokens(expr)}, lambda w: {strip('w')}))"
 
 
 def md5_mod(expr: str, m: int) -> str:
