@@ -1 +1,88 @@
-"""Queries (filled in below)."""
+"""Cluster queries: points, assignment to the first k points as centres,
+cluster summary, the report and its text lines."""
+
+from __future__ import annotations
+
+from .. import config as C
+from ..operators import cluster as CL
+from . import sqlparts as P
+from .case_queries import _GIVEN_SQL
+from .registry import query
+from .model import CaseModel
+from .term_queries import _GUESSED, _Y
+
+K = C.KMEANS_START_K + C.KMEANS_K_STEP
+
+
+def points_frame(spark, sf_dir):
+    return CaseModel(spark, sf_dir, K).points
+
+
+def assigned_frame(spark, sf_dir):
+    return CaseModel(spark, sf_dir, K).assigned
+
+
+_POINTS = f"(SELECT g.case_id, g.x, y.y FROM ({_GIVEN_SQL}) g JOIN {_Y} y ON y.case_id = g.case_id)"
+_ASSIGNED = f"""
+(WITH p AS {_POINTS},
+ c AS (SELECT row_number() OVER (ORDER BY case_id) - 1 AS cluster, x AS cx, y AS cy
+       FROM (SELECT * FROM p ORDER BY case_id LIMIT {K}) f),
+ d AS (SELECT p.case_id, p.x, p.y, c.cluster, (p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy) AS dist2
+       FROM p, c)
+ SELECT case_id, x, y, cluster, dist2 FROM (
+   SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY dist2, cluster) AS k FROM d) z WHERE k = 1)
+"""
+
+
+@query("case_points", f"SELECT * FROM {_POINTS} p")
+def case_points(spark, sf_dir):
+    return points_frame(spark, sf_dir)
+
+
+@query("cluster_assignment", f"SELECT * FROM {_ASSIGNED} a")
+def cluster_assignment(spark, sf_dir):
+    return assigned_frame(spark, sf_dir)
+
+
+@query("cluster_summary", f"""
+SELECT cluster, count(*) AS members, round(sum(dist2), 3) AS cost FROM {_ASSIGNED} a GROUP BY cluster
+""")
+def cluster_summary(spark, sf_dir):
+    return CL.cluster_summary(assigned_frame(spark, sf_dir))
+
+
+def report_frame(spark, sf_dir):
+    return CaseModel(spark, sf_dir, K).report
+
+
+_REPORT = f"""
+(WITH a AS {_ASSIGNED},
+ keep AS (SELECT * FROM a WHERE cluster IN (SELECT cluster FROM a GROUP BY cluster HAVING count(*) >= 2)),
+ g AS {_GUESSED}
+ SELECT keep.cluster, keep.x, keep.y, cast(keep.case_id AS VARCHAR) AS case_id,
+        d.source AS customer, d.lang AS series, d.source AS product,
+        CASE WHEN lower(d.source) = {P.q(C.PLATFORM_UNSET)} THEN {P.q(C.PLATFORM_UNKNOWN)}
+             ELSE lower(d.source) END AS platform,
+        list_min(list_filter(string_split(lower(coalesce(d.lang, '') || '--' || coalesce(d.source, '')), '--'),
+                             lambda w: w <> '')) AS cause_word,
+        list_min(list_filter({P.raw_tokens("string_split(d.text, chr(10))[1]")}, lambda w: w <> ''))
+            AS title_word,
+        g.problem, g.solution
+ FROM keep LEFT JOIN documents d ON d.doc_id = keep.case_id LEFT JOIN g ON g.case_id = keep.case_id)
+"""
+
+
+@query("cluster_report", f"SELECT * FROM {_REPORT} r")
+def cluster_report(spark, sf_dir):
+    return report_frame(spark, sf_dir)
+
+
+@query("report_lines", f"""
+SELECT concat_ws('%', coalesce(cast(cluster AS VARCHAR), ''), coalesce(cast(x AS VARCHAR), ''),
+       coalesce(cast(y AS VARCHAR), ''), coalesce(case_id, ''), coalesce(customer, ''),
+       coalesce(series, ''), coalesce(product, ''), coalesce(platform, ''), coalesce(cause_word, ''),
+       coalesce(title_word, ''), coalesce(problem, ''), coalesce(solution, '')) AS line
+FROM {_REPORT} r
+""")
+def report_lines(spark, sf_dir):
+    return CL.report_lines(report_frame(spark, sf_dir))

@@ -3,15 +3,12 @@ items and the y coordinate."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from .. import config as C
-from ..operators import cases as CS
-from ..operators import guess as G
 from ..operators import terms as TR
 from ..operators import tokens as TK
 from ..sources import tables as S
 from . import sqlparts as P
+from .model import CaseModel
 from .registry import query
 
 _TERM_DF = f"(SELECT token AS term, count(*) AS df FROM {P.CLEAN_TOKENS} t GROUP BY token)"
@@ -42,11 +39,6 @@ def vocabulary_stats(spark, sf_dir):
     return TR.vocabulary_stats(_term_df(spark, sf_dir))
 
 
-def term_weights_frame(spark, sf_dir):
-    cases = S.cases(spark, sf_dir)
-    dims = CS.case_dimensions(cases, S.notes(spark, sf_dir))
-    return TR.term_weights(_term_df(spark, sf_dir), dims, G.guessed_lines(cases))
-
 
 _GUESSED = f"""
 (SELECT p.case_id, p.line AS problem, p.score AS problem_score,
@@ -81,13 +73,9 @@ SELECT term, round(1.0
 FROM folded WHERE is_v = 1
 """)
 def term_weights(spark, sf_dir):
-    return term_weights_frame(spark, sf_dir)
+    return CaseModel(spark, sf_dir).weights
 
 
-def topic_top_frame(spark, sf_dir):
-    tok = _corpus(spark, sf_dir, keep=("series",))
-    return TR.topic_top_terms(TR.series_topic_scores(None, tok))
-
 
 _TOPIC_TOP = f"""
 (WITH s AS (SELECT series AS topic, token AS term, count(*)::DOUBLE AS score
@@ -101,18 +89,13 @@ _TOPIC_TOP = f"""
 
 @query("topic_top_terms", f"SELECT * FROM {_TOPIC_TOP} tt")
 def topic_top_terms(spark, sf_dir):
-    return topic_top_frame(spark, sf_dir)
+    return CaseModel(spark, sf_dir).topic_top
 
 
 @query("high_value_terms", f"SELECT DISTINCT term FROM {_TOPIC_TOP} tt")
 def high_value_terms(spark, sf_dir):
-    return TR.high_value_terms(topic_top_frame(spark, sf_dir))
-
+    return CaseModel(spark, sf_dir).hv_terms
 
-def case_items_frame(spark, sf_dir):
-    cases = S.cases(spark, sf_dir)
-    hv = TR.high_value_terms(topic_top_frame(spark, sf_dir))
-    return TR.case_items(_corpus(spark, sf_dir), hv, cases)
 
 
 _ITEMS = f"""
@@ -126,8 +109,7 @@ _ITEMS = f"""
 
 @query("case_items", f"SELECT case_id, array_to_string(items, ' ') AS items, n_items FROM {_ITEMS} it")
 def case_items(spark, sf_dir):
-    return case_items_frame(spark, sf_dir).select(
-        "case_id", F.array_join("items", " ").alias("items"), "n_items")
+    return CaseModel(spark, sf_dir).items_text()
 
 
 _FREQUENT = f"""
@@ -138,7 +120,7 @@ _FREQUENT = f"""
 
 @query("frequent_items", f"SELECT * FROM {_FREQUENT} fi")
 def frequent_items(spark, sf_dir):
-    return TR.frequent_items(case_items_frame(spark, sf_dir))
+    return CaseModel(spark, sf_dir).frequent
 
 
 _Y = f"""
@@ -153,5 +135,4 @@ _Y = f"""
 
 @query("y_values", f"SELECT * FROM {_Y} y")
 def y_values(spark, sf_dir):
-    items = case_items_frame(spark, sf_dir)
-    return TR.y_values(items, TR.frequent_items(items))
+    return CaseModel(spark, sf_dir).y
