@@ -1 +1,54 @@
-"""Queries (filled in below)."""
+"""Streaming queries: sliding-window word counts as a batch plan and as a
+Structured Streaming query (replayed from the events table) whose upserted
+result must equal the batch one."""
+
+from __future__ import annotations
+
+import uuid
+
+from .. import config as C
+from ..session import scratch_path
+from ..sources import tables as S
+from ..sources.streams import file_stream
+from ..streaming import sinks as SK
+from ..streaming import windows as W
+from .registry import query
+
+_SLIDE_US = 10_000_000
+_N_WINDOWS = 30  # 5 minutes / 10 seconds
+
+_WINDOW_SQL = f"""
+WITH w AS (SELECT ts, unnest(string_split(event_type, ' ')) AS word FROM events),
+x AS (SELECT word, make_timestamp(((epoch_us(ts) // {_SLIDE_US}) - k) * {_SLIDE_US}) AS window_start
+      FROM w, range(0, {_N_WINDOWS}) r(k))
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, word, count(*) AS count
+FROM x GROUP BY window_start, word
+"""
+
+
+@query("window_word_counts", _WINDOW_SQL)
+def window_word_counts(spark, sf_dir):
+    lines = W.event_lines(S.table(spark, sf_dir, "events"))
+    return W.flatten(W.sliding_counts(W.words(lines)))
+
+
+def run_stream_counts(spark, source, out: str, checkpoint: str, trigger: dict | None = None,
+                      watermark: str = C.STREAM_WATERMARK):
+    """Start the streaming count into the keyed log sink; returns the query."""
+    counts = W.sliding_counts(W.words(W.event_lines(source)), watermark=watermark)
+    return (counts.writeStream.outputMode("update")
+            .foreachBatch(SK.keyed_log_sink(out, ["window", "word"]))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start())
+
+
+@query("stream_window_word_counts", _WINDOW_SQL)
+def stream_window_word_counts(spark, sf_dir):
+    events = S.table(spark, sf_dir, "events")
+    src = file_stream(spark, sf_dir, events, glob="events.parquet")
+    run_id = uuid.uuid4().hex[:12]
+    out = scratch_path(spark, f"window_counts_{run_id}")
+    q = run_stream_counts(spark, src, out, scratch_path(spark, f"window_counts_ckpt_{run_id}"))
+    q.awaitTermination()
+    return W.flatten(SK.read_latest(spark, out, ["window", "word"]))
