@@ -1 +1,116 @@
-"""Queries (filled in below)."""
+"""Model queries: naive Bayes (closed form, SQL-checked), FP-growth itemsets,
+LDA topics and k-means clusters (seeded; checked by invariants in tests)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..operators import classify as NB
+from ..operators import cluster as CL
+from ..operators import mining as MN
+from ..operators import terms as TR
+from ..sources import tables as S
+from . import sqlparts as P
+from .model import CaseModel
+from .registry import query
+
+
+def _nb(spark, sf_dir):
+    m = CaseModel(spark, sf_dir)
+    labels = S.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("case_id"),
+                                                      F.col("quality").alias("label"))
+    vocab_size = m.term_df.count()
+    classes, probs = NB.fit(m.corpus, labels, vocab_size)
+    return m, labels, classes, probs
+
+
+_NB = f"""
+WITH tok AS {P.CLEAN_TOKENS},
+ v AS (SELECT count(DISTINCT token) AS vsize FROM tok),
+ lab AS (SELECT doc_id AS case_id, quality AS label FROM labels),
+ docs AS (SELECT label, count(*) AS docs FROM lab GROUP BY label),
+ tot AS (SELECT sum(docs) AS n, count(*) AS c FROM docs),
+ ncw AS (SELECT label, token AS term, count(*) AS n_cw FROM tok JOIN lab USING (case_id) GROUP BY ALL),
+ nc AS (SELECT label, sum(n_cw) AS n_terms FROM ncw GROUP BY label),
+ classes AS (SELECT d.label, d.docs, coalesce(nc.n_terms, 0) AS n_terms,
+                    ln(d.docs + {C.NB_SMOOTHING}) - ln(tot.n + tot.c * {C.NB_SMOOTHING}) AS prior,
+                    coalesce(nc.n_terms, 0) + v.vsize * {C.NB_SMOOTHING} AS denom
+             FROM docs d LEFT JOIN nc USING (label), tot, v),
+ probs AS (SELECT ncw.label, term, ln(n_cw + {C.NB_SMOOTHING}) - ln(denom) AS log_prob
+           FROM ncw JOIN classes USING (label))
+"""
+
+
+@query("nb_class_priors", _NB + """
+SELECT label, docs, n_terms, round(prior, 9) AS prior,
+       round(ln(1.0) - ln(denom), 9) AS log_unseen FROM classes
+""")
+def nb_class_priors(spark, sf_dir):
+    _, _, classes, _ = _nb(spark, sf_dir)
+    return classes.select("label", "docs", F.col("n_terms").cast("long").alias("n_terms"),
+                          F.round("prior", 9).alias("prior"), F.round("log_unseen", 9).alias("log_unseen"))
+
+
+@query("nb_term_log_probs", _NB + "SELECT label, term, round(log_prob, 9) AS log_prob FROM probs")
+def nb_term_log_probs(spark, sf_dir):
+    _, _, _, probs = _nb(spark, sf_dir)
+    return probs.select("label", "term", F.round("log_prob", 9).alias("log_prob"))
+
+
+_NB_PRED = _NB + """,
+ ntok AS (SELECT case_id, count(*) AS n FROM tok GROUP BY case_id),
+ base AS (SELECT case_id, label, prior + n * (ln(1.0) - ln(denom)) AS base, ln(1.0) - ln(denom) AS lu
+          FROM ntok, classes),
+ seen AS (SELECT case_id, label, sum(log_prob) AS s_seen, count(*) AS k_seen
+          FROM tok JOIN probs ON probs.term = tok.token GROUP BY ALL),
+ scored AS (SELECT b.case_id, b.label, b.base + coalesce(s.s_seen, 0) - coalesce(s.k_seen, 0) * b.lu AS score
+            FROM base b LEFT JOIN seen s USING (case_id, label)),
+ pred AS (SELECT case_id, label AS prediction FROM (
+            SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY score DESC, label) AS k FROM scored) z
+          WHERE k = 1)
+"""
+
+
+@query("nb_accuracy", _NB_PRED + """
+SELECT round(avg(CASE WHEN p.prediction = l.label THEN 1.0 ELSE 0.0 END), 9) AS accuracy,
+       count(*) AS cases
+FROM pred p JOIN lab l USING (case_id)
+""")
+def nb_accuracy(spark, sf_dir):
+    m, labels, classes, probs = _nb(spark, sf_dir)
+    values = [r["label"] for r in classes.select("label").orderBy("label").collect()]
+    pred = NB.predict_cases(m.corpus, classes, probs, values)
+    return NB.accuracy(pred, labels)
+
+
+@query("fp_growth_itemsets")
+def fp_growth_itemsets(spark, sf_dir):
+    """Frequent itemsets of the case items (Spark ML FP-growth, minSupport 0.25)."""
+    sets, _ = MN.fp_growth(CaseModel(spark, sf_dir).items)
+    return sets.select(F.array_join(F.array_sort("items"), " ").alias("items"), "freq")
+
+
+def lda_frame(spark, sf_dir, iterations: int = C.LDA_ITERATIONS):
+    m = CaseModel(spark, sf_dir)
+    vocab = TR.vocabulary(m.term_df)
+    terms, weights = MN.model_vocabulary(vocab, m.weights)
+    arrays = m.corpus.groupBy("case_id").agg(F.collect_list("token").alias("tokens"))
+    docs = MN.weighted_vectors(arrays, terms, weights).select(
+        F.col("case_id").alias("id"), "features").checkpoint(eager=True)
+    model = MN.fit_lda(docs, len(terms), iterations=iterations)
+    return MN.topic_terms(model, terms, spark)
+
+
+@query("lda_topic_terms")
+def lda_topic_terms(spark, sf_dir):
+    """(topic, term, weight) of the EM LDA over weighted case vectors."""
+    return lda_frame(spark, sf_dir)
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, sf_dir):
+    """(case_id, cluster, dist2) by Spark ML k-means, k = 20 + 5, 20 iterations."""
+    pts = CaseModel(spark, sf_dir).points
+    model, _, _ = CL.choose_k(pts)
+    return CL.kmeans_assign(pts, model).select("case_id", "cluster", "dist2")
