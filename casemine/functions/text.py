@@ -75,7 +75,8 @@ def clean_token_array(text: Column | str, dictionaries: Iterable[Sequence[str]]
     """The whole per-document cleaning chain, as a de-duplicated array."""
     dictionaries = list(dictionaries)
     toks = F.transform(raw_tokens(null_default(text, C.DEFAULT_HISTORY)), strip_affixes)
-    return F.array_distinct(F.filter(toks, lambda w: token_is_kept(w, dictionaries, prefixes)))
+    # de-duplicate first: each distinct token is tested once
+    return F.filter(F.array_distinct(toks), lambda w: token_is_kept(w, dictionaries, prefixes))
 
 
 def word_set(c: Column | str) -> Column:
@@ -125,3 +126,15 @@ def trailing_slice(lines: Column, num: int = C.SOLUTION_FRACTION[0],
 def line_words(line: Column) -> Column:
     """Split a line on single spaces; trailing empty words are dropped."""
     return F.split(F.regexp_replace(line, " +\\z", ""), " ")
+
+
+def explode_once(df, array_col: Column, alias: str, *keep: str, pos: str | None = None):
+    """Explode an expensive array expression.  With plain ``explode`` the
+    optimizer infers a ``size(array) > 0`` filter below the generator and
+    evaluates the array expression twice (and below any exchange); the outer
+    form plus a null filter evaluates it once."""
+    if pos:
+        out = df.select(*keep, F.posexplode_outer(array_col).alias(pos, alias))
+    else:
+        out = df.select(*keep, F.explode_outer(array_col).alias(alias))
+    return out.where(F.col(alias).isNotNull())

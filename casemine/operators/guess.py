@@ -54,12 +54,11 @@ def template_alignments(cases: DataFrame, region: str = "problem") -> DataFrame:
     """Long form: case_id, line_no, template_id, start, run, front, middle,
     tail, score for every aligned (line, template) pair of a region."""
     templates = C.PROBLEM_TEMPLATES if region == "problem" else C.SOLUTION_TEMPLATES
-    lines = cases.select("case_id", F.posexplode(region_lines(F.col("history"), region))
-                         .alias("pos", "line"))
+    lines = T.explode_once(cases, region_lines(F.col("history"), region), "line", "case_id", pos="pos")
     words = lines.select("case_id", (F.col("pos") + 1).alias("line_no"),
                          T.line_words(F.col("line")).alias("words"))
-    pairs = words.select("case_id", "line_no",
-                         F.explode(TP.line_template_scores(F.col("words"), templates)).alias("a"))
+    pairs = T.explode_once(words, TP.line_template_scores(F.col("words"), templates), "a",
+                           "case_id", "line_no")
     return pairs.where("a.aligned").select(
         "case_id", "line_no", "a.template_id", "a.start", "a.run", "a.front", "a.middle", "a.tail",
         "a.score")

@@ -29,7 +29,7 @@ def corpus_arrays(cases: DataFrame, dictionaries: Sequence[Sequence[str]] = FIXE
 
 
 def explode_tokens(arrays: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return arrays.select("case_id", *keep, F.explode("tokens").alias("token"))
+    return T.explode_once(arrays, F.col("tokens"), "token", "case_id", *keep)
 
 
 def drop_words(long: DataFrame, words: DataFrame | None, column: str = "word") -> DataFrame:
@@ -78,8 +78,8 @@ def token_filter_audit(cases: DataFrame, dictionaries: dict[str, Sequence[str]]
     if dictionaries is None:
         dictionaries = {"stop_words": C.STOP_WORDS, "domain_stop_words": C.DOMAIN_STOP_WORDS,
                         "names": C.NAMES_AND_MONTHS}
-    raw = cases.select(F.explode(F.transform(
-        T.raw_tokens(T.null_default("history", C.DEFAULT_HISTORY)), T.strip_affixes)).alias("w"))
+    raw = T.explode_once(cases, F.transform(
+        T.raw_tokens(T.null_default("history", C.DEFAULT_HISTORY)), T.strip_affixes), "w")
     w = F.col("w")
     flags = T.token_rule_flags(w, prefixes)
     for name, words in dictionaries.items():
