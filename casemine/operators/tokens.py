@@ -37,7 +37,7 @@ def drop_words(long: DataFrame, words: DataFrame | None, column: str = "word") -
     if words is None:
         return long
     w = words.select(F.col(column).alias("token")).where(F.col("token").isNotNull()).distinct()
-    return long.join(bounded_broadcast(w), "token", "left_anti")
+    return long.join(bounded_broadcast(w), "token", "left_anti").select(*long.columns)
 
 
 def owner_words(notes: DataFrame) -> DataFrame:

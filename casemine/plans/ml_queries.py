@@ -9,7 +9,6 @@ from .. import config as C
 from ..operators import classify as NB
 from ..operators import cluster as CL
 from ..operators import mining as MN
-from ..operators import terms as TR
 from ..sources import tables as S
 from . import sqlparts as P
 from .model import CaseModel
@@ -91,21 +90,10 @@ def fp_growth_itemsets(spark, sf_dir):
     return sets.select(F.array_join(F.array_sort("items"), " ").alias("items"), "freq")
 
 
-def lda_frame(spark, sf_dir, iterations: int = C.LDA_ITERATIONS):
-    m = CaseModel(spark, sf_dir)
-    vocab = TR.vocabulary(m.term_df)
-    terms, weights = MN.model_vocabulary(vocab, m.weights)
-    arrays = m.corpus.groupBy("case_id").agg(F.collect_list("token").alias("tokens"))
-    docs = MN.weighted_vectors(arrays, terms, weights).select(
-        F.col("case_id").alias("id"), "features").checkpoint(eager=True)
-    model = MN.fit_lda(docs, len(terms), iterations=iterations)
-    return MN.topic_terms(model, terms, spark)
-
-
 @query("lda_topic_terms")
 def lda_topic_terms(spark, sf_dir):
     """(topic, term, weight) of the EM LDA over weighted case vectors."""
-    return lda_frame(spark, sf_dir)
+    return CaseModel(spark, sf_dir).lda_topics
 
 
 @query("kmeans_clusters")

@@ -17,15 +17,23 @@ from .. import config as C
 from ..operators import cases as CS
 from ..operators import cluster as CL
 from ..operators import guess as G
+from ..operators import mining as MN
 from ..operators import terms as TR
 from ..operators import tokens as TK
 from ..session import ensure_checkpoint_dir
 from ..sources import tables as S
+from ..sources.tables import spread
 
 
 class CaseModel:
-    def __init__(self, spark: SparkSession, sf_dir: str, k: int = C.KMEANS_START_K + C.KMEANS_K_STEP):
+    def __init__(self, spark: SparkSession, sf_dir: str, k: int = C.KMEANS_START_K + C.KMEANS_K_STEP,
+                 topics: str = "series", centres: str = "first", lda_iterations: int = C.LDA_ITERATIONS):
+        """topics: "series" (each product series is a topic; deterministic) or
+        "lda" (EM LDA over weighted vectors, as the original program).
+        centres: "first" (the first k points) or "kmeans" (Spark ML k-means)."""
         self.spark, self.sf_dir, self.k = spark, sf_dir, k
+        self.topics, self.centres, self.lda_iterations = topics, centres, lda_iterations
+        self.kmeans_history: list[tuple[int, float]] = []
         ensure_checkpoint_dir(spark)
 
     @cached_property
@@ -61,9 +69,30 @@ class CaseModel:
     def weights(self) -> DataFrame:
         return TR.term_weights(self.term_df, self.dims, self.guessed)
 
+    @cached_property
+    def vocabulary(self) -> DataFrame:
+        return TR.vocabulary(self.term_df)
+
+    @cached_property
+    def lda_topics(self) -> DataFrame:
+        """(topic, term, weight) of the EM LDA over weighted case vectors."""
+        terms, weights = MN.model_vocabulary(self.vocabulary, self.weights)
+        arrays = self.corpus.groupBy("case_id").agg(F.collect_list("token").alias("tokens"))
+        docs = MN.weighted_vectors(arrays, terms, weights).select(
+            F.col("case_id").alias("id"), "features")
+        docs = spread(docs).checkpoint(eager=True)
+        model = MN.fit_lda(docs, len(terms), iterations=self.lda_iterations)
+        return MN.topic_terms(model, terms, self.spark).checkpoint(eager=True)
+
+    @cached_property
+    def topic_scores(self) -> DataFrame:
+        if self.topics == "lda":
+            return self.lda_topics.select("topic", "term", F.col("weight").alias("score"))
+        return TR.series_topic_scores(None, self.corpus_s)
+
     @cached_property
     def topic_top(self) -> DataFrame:
-        return TR.topic_top_terms(TR.series_topic_scores(None, self.corpus_s))
+        return TR.topic_top_terms(self.topic_scores)
 
     @cached_property
     def hv_terms(self) -> DataFrame:
@@ -91,6 +120,9 @@ class CaseModel:
 
     @cached_property
     def assigned(self) -> DataFrame:
+        if self.centres == "kmeans":
+            model, _, self.kmeans_history = CL.choose_k(self.points)
+            return CL.kmeans_assign(self.points, model)
         return CL.assign(self.points, CL.first_centres(self.points, self.k))
 
     @cached_property
