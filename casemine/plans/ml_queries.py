@@ -102,3 +102,43 @@ def kmeans_clusters(spark, sf_dir):
     pts = CaseModel(spark, sf_dir).points
     model, _, _ = CL.choose_k(pts)
     return CL.kmeans_assign(pts, model).select("case_id", "cluster", "dist2")
+
+
+_NB_PREDICTIONS_SQL = _NB_PRED + "SELECT case_id, prediction FROM pred"
+
+
+def _nb_model(spark, sf_dir):
+    m, labels, classes, probs = _nb(spark, sf_dir)
+    classes = classes.checkpoint(eager=True)
+    probs = probs.checkpoint(eager=True)
+    values = [r["label"] for r in classes.select("label").orderBy("label").collect()]
+    return m, classes, probs, values
+
+
+@query("nb_predictions", _NB_PREDICTIONS_SQL)
+def nb_predictions(spark, sf_dir):
+    """Class of every case with terms, by the naive Bayes model of the labels."""
+    m, classes, probs, values = _nb_model(spark, sf_dir)
+    return NB.predict_cases(m.corpus, classes, probs, values)
+
+
+@query("stream_nb_predictions", _NB_PREDICTIONS_SQL)
+def stream_nb_predictions(spark, sf_dir):
+    """The same cases arriving as a stream: cleaned on the stream and scored per
+    micro-batch (must equal ``nb_predictions``)."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.streams import file_stream
+    from ..streaming import scoring as SC
+
+    m, classes, probs, values = _nb_model(spark, sf_dir)
+    docs = S.table(spark, sf_dir, "documents")
+    stream = file_stream(spark, sf_dir, docs, glob="documents.parquet")
+    cases = stream.select(F.col("doc_id").alias("case_id"), F.col("text").alias("history"))
+    run_id = uuid.uuid4().hex[:12]
+    out = scratch_path(spark, f"nb_predictions_{run_id}")
+    q = SC.run_scoring(SC.new_case_tokens(cases, m.notes), out,
+                       scratch_path(spark, f"nb_predictions_ckpt_{run_id}"), classes, probs, values)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("case_id", "prediction")
