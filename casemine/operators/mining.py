@@ -1,16 +1,18 @@
 """Weighted document vectors, LDA topics, frequent itemsets (Spark MLlib).
 
-Vectors: a binary CountVectorizer over the ranked vocabulary times the
-per-term weight (``ElementwiseProduct``); valid because a term's weight does
-not depend on the document.  The vocabulary and the weight vector are model
-parameters held by the driver, as Spark ML requires; ``max_vocab`` bounds
-them (Spark's own CountVectorizer default, 2^18 terms).
+Vectors: a binary CountVectorizer times the per-term weight
+(``ElementwiseProduct``); valid because a term's weight does not depend on the
+document.  The vocabulary and the weight vector are model parameters held by
+the driver, as Spark ML requires; ``max_vocab`` bounds them (Spark's own
+CountVectorizer default, 2^18 terms, most frequent first).
 """
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+import numpy as np
+import pandas as pd
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -21,19 +23,22 @@ from .. import config as C
 MAX_VOCAB = 1 << 18
 
 
-def model_vocabulary(vocab: DataFrame, weights: DataFrame, max_vocab: int = MAX_VOCAB):
-    """(terms ordered by term_id, their weights) for the first ``max_vocab`` ids."""
-    rows = (vocab.where(F.col("term_id") < max_vocab).join(weights, "term", "left")
-            .select("term_id", "term", F.coalesce("weight", F.lit(1.0)).alias("weight"))
-            .orderBy("term_id").collect())
-    return [r["term"] for r in rows], [float(r["weight"]) for r in rows]
-
-
-def weighted_vectors(arrays: DataFrame, terms: list[str], weights: list[float],
-                     tokens_col: str = "tokens") -> DataFrame:
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol="tf", binary=True)
-    ep = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="features")
-    return ep.transform(cv.transform(arrays)).drop("tf")
+def weighted_vectors(arrays: DataFrame, weights: DataFrame, max_vocab: int = MAX_VOCAB,
+                     tokens_col: str = "tokens"):
+    """Binary term vectors of the ``max_vocab`` most frequent terms (fitted in
+    the JVM, so the vocabulary never crosses Py4J element by element), scaled
+    by the per-term weight.  Returns (vectors with ``features``, vocabulary
+    frame ``term_id, term``)."""
+    spark = arrays.sparkSession
+    cv = CountVectorizer(inputCol=tokens_col, outputCol="tf", binary=True, vocabSize=max_vocab).fit(arrays)
+    vocab = pd.DataFrame({"term_id": range(len(cv.vocabulary)), "term": cv.vocabulary})
+    vocab_df = spark.createDataFrame(vocab, "term_id long, term string")
+    w = (vocab_df.join(weights, "term", "left")
+         .select("term_id", F.coalesce("weight", F.lit(1.0)).alias("weight")).toPandas())
+    scale = np.ones(len(vocab))
+    scale[w["term_id"].to_numpy()] = w["weight"].to_numpy()
+    ep = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="tf", outputCol="features")
+    return ep.transform(cv.transform(arrays)).drop("tf"), vocab_df
 
 
 def lda_priors(vocab_size: int, k: int = C.LDA_TOPICS) -> tuple[float, float]:
@@ -49,13 +54,13 @@ def fit_lda(docs: DataFrame, vocab_size: int, k: int = C.LDA_TOPICS,
     return lda.fit(docs)
 
 
-def topic_terms(model, terms: list[str], spark) -> DataFrame:
-    """(topic, term, weight) over the whole vocabulary."""
-    desc = model.describeTopics(maxTermsPerTopic=len(terms))
+def topic_terms(model, vocab_df: DataFrame) -> DataFrame:
+    """(topic, term, weight) over the whole model vocabulary."""
+    desc = model.describeTopics(maxTermsPerTopic=model.vocabSize())
     z = desc.select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("z"))
-    idx = spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "term_id int, term string")
-    return z.select("topic", F.col("z.termIndices").alias("term_id"), F.col("z.termWeights").alias("weight")) \
-        .join(F.broadcast(idx), "term_id").select("topic", "term", "weight")
+    return z.select("topic", F.col("z.termIndices").cast("long").alias("term_id"),
+                    F.col("z.termWeights").alias("weight")) \
+        .join(vocab_df, "term_id").select("topic", "term", "weight")
 
 
 def fp_growth(items: DataFrame, min_support: float = C.FP_MIN_SUPPORT, items_col: str = "items"):

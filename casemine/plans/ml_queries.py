@@ -13,6 +13,7 @@ from ..sources import tables as S
 from . import sqlparts as P
 from .model import CaseModel
 from .registry import query
+from .term_queries import _FREQUENT, _ITEMS
 
 
 def _nb(spark, sf_dir):
@@ -83,7 +84,23 @@ def nb_accuracy(spark, sf_dir):
     return NB.accuracy(pred, labels)
 
 
-@query("fp_growth_itemsets")
+_FP_SQL = f"""
+WITH RECURSIVE t AS (SELECT case_id, items FROM {_ITEMS} it),
+ f1 AS (SELECT * FROM {_FREQUENT} fi),
+ mc AS (SELECT ceil({C.FP_MIN_SUPPORT} * (SELECT count(*) FROM documents)) AS m),
+ sets(items, last, freq) AS (
+   SELECT [item], item, support FROM f1
+   UNION ALL
+   SELECT c.items, c.last, c.freq FROM (
+     SELECT list_append(s.items, f.item) AS items, f.item AS last,
+            (SELECT count(*) FROM t WHERE list_has_all(t.items, list_append(s.items, f.item))) AS freq
+     FROM sets s JOIN f1 f ON f.item > s.last) c
+   WHERE c.freq >= (SELECT m FROM mc))
+SELECT array_to_string(items, ' ') AS items, freq FROM sets
+"""
+
+
+@query("fp_growth_itemsets", _FP_SQL)
 def fp_growth_itemsets(spark, sf_dir):
     """Frequent itemsets of the case items (Spark ML FP-growth, minSupport 0.25)."""
     sets, _ = MN.fp_growth(CaseModel(spark, sf_dir).items)
@@ -142,3 +159,11 @@ def stream_nb_predictions(spark, sf_dir):
                        scratch_path(spark, f"nb_predictions_ckpt_{run_id}"), classes, probs, values)
     q.awaitTermination()
     return spark.read.parquet(out).select("case_id", "prediction")
+
+
+@query("case_report_lda")
+def case_report_lda(spark, sf_dir):
+    """The original program end to end: high-value terms from EM LDA topics,
+    frequent items, (x, y) points, Spark ML k-means (k = 25) and the 12-field
+    report of every cluster with at least two cases."""
+    return CaseModel(spark, sf_dir, topics="lda", centres="kmeans").report

@@ -76,13 +76,12 @@ class CaseModel:
     @cached_property
     def lda_topics(self) -> DataFrame:
         """(topic, term, weight) of the EM LDA over weighted case vectors."""
-        terms, weights = MN.model_vocabulary(self.vocabulary, self.weights)
         arrays = self.corpus.groupBy("case_id").agg(F.collect_list("token").alias("tokens"))
-        docs = MN.weighted_vectors(arrays, terms, weights).select(
-            F.col("case_id").alias("id"), "features")
-        docs = spread(docs).checkpoint(eager=True)
-        model = MN.fit_lda(docs, len(terms), iterations=self.lda_iterations)
-        return MN.topic_terms(model, terms, self.spark).checkpoint(eager=True)
+        docs, vocab = MN.weighted_vectors(spread(arrays), self.weights)
+        docs = docs.select(F.col("case_id").alias("id"), "features").checkpoint(eager=True)
+        vocab = vocab.checkpoint(eager=True)
+        model = MN.fit_lda(docs, vocab.count(), iterations=self.lda_iterations)
+        return MN.topic_terms(model, vocab).checkpoint(eager=True)
 
     @cached_property
     def topic_scores(self) -> DataFrame:

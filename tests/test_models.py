@@ -80,3 +80,20 @@ def test_lda_topics_cover_vocabulary(spark, sf_dir):
     sums = {r["topic"]: r["s"] for r in topics.groupBy("topic").agg(F.sum("weight").alias("s")).collect()}
     assert all(math.isclose(s, 1.0, rel_tol=1e-6) for s in sums.values())
     assert m.hv_terms.count() > 0
+
+
+def test_fp_growth_matches_brute_force(spark):
+    from itertools import combinations
+    rows = [["a", "b", "c"], ["a", "b"], ["a", "c"], ["b", "c", "d"], ["a", "b", "c", "d"], [], ["d"]]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "case_id long, items array<string>")
+    sets, _ = MN.fp_growth(df, 0.25)
+    got = {tuple(sorted(r["items"])): r["freq"] for r in sets.collect()}
+    need = math.ceil(0.25 * len(rows))
+    items = sorted({x for r in rows for x in r})
+    exp = {}
+    for k in range(1, len(items) + 1):
+        for c in combinations(items, k):
+            n = sum(set(c) <= set(r) for r in rows)
+            if n >= need:
+                exp[c] = n
+    assert got == exp
