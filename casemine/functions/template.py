@@ -126,7 +126,7 @@ def _staged(arr: Column, **fields) -> Column:
     return F.transform(arr, add)
 
 
-def line_template_scores(L: Column, templates: Sequence[str]) -> Column:
+def line_template_scores(L: Column, templates: Sequence[str], aligned_only: bool = False) -> Column:
     """array<struct<template_id, aligned, start, run, front, middle, tail, score>>
     for one line (words ``L``, best passed as a lambda variable or plain column)
     against every template.  Computed in stages so nothing is evaluated twice."""
@@ -136,6 +136,9 @@ def line_template_scores(L: Column, templates: Sequence[str]) -> Column:
                 n=lambda r: F.size(L))
     a = _staged(a, s0=lambda r: F.greatest(r["s"], F.lit(0)),
                 aligned=lambda r: (r["n"] >= F.size(r["twords"])) & (r["s"] >= 0))
+    if aligned_only:
+        # most lines align with no template: skip the remaining stages for them
+        a = F.filter(a, lambda r: r["aligned"])
     a = _staged(a, u=lambda r: F.array_position(r["twords"], F.try_element_at(L, r["s0"] + 1)).cast("int"))
     a = _staged(a, eq=lambda r: F.zip_with(
         F.slice(L, r["s0"] + 1, r["n"]), F.slice(r["twords"], F.greatest(r["u"], F.lit(1)), F.lit(1 << 20)),
@@ -169,5 +172,5 @@ def line_template_scores(L: Column, templates: Sequence[str]) -> Column:
 
 def line_score(L: Column, templates: Sequence[str]) -> Column:
     """Best similarity of a line over all templates (0 when none aligns)."""
-    scores = F.transform(line_template_scores(L, templates), lambda r: r["score"])
+    scores = F.transform(line_template_scores(L, templates, aligned_only=True), lambda r: r["score"])
     return F.coalesce(F.array_max(scores), F.lit(0.0))

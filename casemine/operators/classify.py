@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .broadcast import bounded_broadcast
 
 
 def fit(tokens: DataFrame, labels: DataFrame, vocab_size: int, smoothing: float = C.NB_SMOOTHING):
@@ -38,7 +39,7 @@ def fit(tokens: DataFrame, labels: DataFrame, vocab_size: int, smoothing: float
         .alias("prior"),
         (F.coalesce("n_terms", F.lit(0)) + F.lit(vocab_size) * lam).alias("denom"))
     classes = classes.withColumn("log_unseen", F.log(lam) - F.log("denom"))
-    probs = ncw.join(F.broadcast(classes.select("label", "denom")), "label").select(
+    probs = ncw.join(bounded_broadcast(classes.select("label", "denom"), 100_000), "label").select(
         "label", "term", (F.log(F.col("n_cw") + lam) - F.log("denom")).alias("log_prob"))
     return classes, probs
 

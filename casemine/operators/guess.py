@@ -57,7 +57,7 @@ def template_alignments(cases: DataFrame, region: str = "problem") -> DataFrame:
     lines = T.explode_once(cases, region_lines(F.col("history"), region), "line", "case_id", pos="pos")
     words = lines.select("case_id", (F.col("pos") + 1).alias("line_no"),
                          T.line_words(F.col("line")).alias("words"))
-    pairs = T.explode_once(words, TP.line_template_scores(F.col("words"), templates), "a",
+    pairs = T.explode_once(words, TP.line_template_scores(F.col("words"), templates, aligned_only=True), "a",
                            "case_id", "line_no")
     return pairs.where("a.aligned").select(
         "case_id", "line_no", "a.template_id", "a.start", "a.run", "a.front", "a.middle", "a.tail",

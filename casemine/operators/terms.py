@@ -94,8 +94,8 @@ def topic_top_terms(scores: DataFrame, fraction: float = C.TOPIC_TOP_FRACTION,
     s = scores.where(F.length("term") >= min_len)
     sizes = s.groupBy("topic").agg(F.count(F.lit(1)).alias("n_terms"))
     ranked = row_number_within(s, ["topic"], [F.col("score").desc(), F.col("term").asc()])
-    # one row per topic: bounded by the number of topics
-    return ranked.join(F.broadcast(sizes), "topic") \
+    # one row per topic; broadcast after a row-count check
+    return ranked.join(bounded_broadcast(sizes, 100_000), "topic") \
         .where(F.col("rn") <= F.floor(F.col("n_terms") * fraction)) \
         .select("topic", "term", "score", "rn")
 
