@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text as T
-from .broadcast import bounded_broadcast
+from .broadcast import bounded_broadcast, bounded_values
 
 FIXED_DICTIONARIES = (C.STOP_WORDS, C.DOMAIN_STOP_WORDS, C.NAMES_AND_MONTHS)
 
@@ -52,10 +52,25 @@ def clean_tokens(cases: DataFrame, notes: DataFrame | None = None,
     ``cases`` is keyed by case_id (one row per case); with several rows per
     case (note-level input) use ``clean_tokens_by_case``.
     """
-    long = explode_tokens(corpus_arrays(cases, keep=keep), keep)
+    arrays, rest = clean_arrays(cases, notes, keep)
+    long = explode_tokens(arrays, keep)
+    return drop_words(drop_words(long, rest), extra_words)
+
+
+def clean_arrays(cases: DataFrame, notes: DataFrame | None = None, keep: Sequence[str] = ()):
+    """(case_id, *keep, tokens) with the owner words removed inside the row
+    when the owner list is proven small (checked count); otherwise the owner
+    list is returned for an anti join on the long form."""
+    dictionaries = list(FIXED_DICTIONARIES)
+    rest = None
     if notes is not None:
-        long = drop_words(long, owner_words(notes))
-    return drop_words(long, extra_words)
+        owners = owner_words(notes)
+        values = bounded_values(owners, "word")
+        if values is None:
+            rest = owners
+        else:
+            dictionaries.append(values)
+    return corpus_arrays(cases, dictionaries, keep=keep), rest
 
 
 def clean_tokens_by_case(note_rows: DataFrame, notes: DataFrame | None = None) -> DataFrame:

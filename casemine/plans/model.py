@@ -44,10 +44,21 @@ class CaseModel:
     def notes(self) -> DataFrame:
         return S.notes(self.spark, self.sf_dir)
 
+    @cached_property
+    def corpus_arrays(self) -> DataFrame:
+        """(case_id, series, tokens): the cleaned token set of every case,
+        written once; both the long form and the ML vectors derive from it
+        without a shuffle."""
+        arrays, rest = TK.clean_arrays(self.cases, self.notes, keep=("series",))
+        if rest is not None:  # owner list too large for the row: join on the long form
+            long = TK.drop_words(TK.explode_tokens(arrays, ("series",)), rest)
+            arrays = long.groupBy("case_id", "series").agg(F.collect_list("token").alias("tokens"))
+        return arrays.checkpoint(eager=True)
+
     @cached_property
     def corpus_s(self) -> DataFrame:
-        """(case_id, series, token), written once."""
-        return TK.clean_tokens(self.cases, self.notes, keep=("series",)).checkpoint(eager=True)
+        """(case_id, series, token)."""
+        return TK.explode_tokens(self.corpus_arrays, ("series",))
 
     @cached_property
     def corpus(self) -> DataFrame:
@@ -76,7 +87,7 @@ class CaseModel:
     @cached_property
     def lda_topics(self) -> DataFrame:
         """(topic, term, weight) of the EM LDA over weighted case vectors."""
-        arrays = self.corpus.groupBy("case_id").agg(F.collect_list("token").alias("tokens"))
+        arrays = self.corpus_arrays.where(F.size("tokens") > 0).select("case_id", "tokens")
         docs, vocab = MN.weighted_vectors(spread(arrays), self.weights)
         docs = docs.select(F.col("case_id").alias("id"), "features").checkpoint(eager=True)
         vocab = vocab.checkpoint(eager=True)
