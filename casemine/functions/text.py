@@ -57,17 +57,24 @@ def token_rule_flags(w: Column, prefixes: Sequence[str] = C.DROP_PREFIXES) -> di
     return flags
 
 
+def any_pattern(patterns=None) -> str:
+    """All drop patterns as one anchored alternation (one regex test per token)."""
+    patterns = C.TOKEN_PATTERNS.values() if patterns is None else patterns
+    return "^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")\\z"
+
+
 def token_is_kept(w: Column, dictionaries: Iterable[Sequence[str]] = (),
                   prefixes: Sequence[str] = C.DROP_PREFIXES) -> Column:
-    """True when no rule drops the token.  Fixed dictionaries become an
-    ``InSet`` hash lookup inside the same projection."""
-    keep = ~F.lit(False)
-    for flag in token_rule_flags(w, prefixes).values():
-        keep = keep & ~flag
+    """True when no rule drops the token.  Cheap tests first: fixed
+    dictionaries as an ``InSet`` hash lookup, length, prefixes, then a single
+    regex for all patterns."""
+    keep = F.length(w) > 1
     words = sorted({x for d in dictionaries for x in d})
     if words:
-        keep = keep & ~w.isin(words)
-    return keep
+        keep = ~w.isin(words) & keep
+    for p in prefixes:
+        keep = keep & ~w.startswith(p)
+    return keep & ~w.rlike(any_pattern())
 
 
 def clean_token_array(text: Column | str, dictionaries: Iterable[Sequence[str]] = (),

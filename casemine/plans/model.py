@@ -102,7 +102,9 @@ class CaseModel:
 
     @cached_property
     def topic_top(self) -> DataFrame:
-        return TR.topic_top_terms(self.topic_scores)
+        """Top terms per topic (read by the hv set, its size check and the
+        items): written once."""
+        return TR.topic_top_terms(self.topic_scores).checkpoint(eager=True)
 
     @cached_property
     def hv_terms(self) -> DataFrame:
