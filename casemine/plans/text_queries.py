@@ -66,3 +66,24 @@ GROUP BY word
 def note_word_count(spark, sf_dir):
     """Word count of the note texts (map: words of a line, reduce: sum)."""
     return WC.word_count(S.notes(spark, sf_dir), "text")
+
+
+_NOTE_TOKENS = f"""
+(SELECT DISTINCT case_id, token FROM (
+   SELECT conv_id AS case_id, {P.strip('w')} AS token
+   FROM (SELECT conv_id, unnest({P.raw_tokens("coalesce(text, " + P.q(C.DEFAULT_HISTORY) + ")")}) AS w
+         FROM conversations) r) s
+ WHERE {P.keep_predicate('token')}
+   AND token NOT IN (SELECT word FROM {P.OWNER_WORDS} o))
+"""
+
+
+@query("note_corpus_term_df", f"""
+SELECT token AS term, count(*) AS df FROM {_NOTE_TOKENS} t GROUP BY token
+""")
+def note_corpus_term_df(spark, sf_dir):
+    """Document frequency over the note log: every note row is cleaned, the
+    token sets of all notes of a case are united per case, then counted."""
+    notes = S.notes(spark, sf_dir)
+    rows = S.spread(notes).select("case_id", F.col("text").alias("history"))
+    return TK.term_document_frequency(TK.clean_tokens_by_case(rows, notes))

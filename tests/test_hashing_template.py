@@ -88,3 +88,13 @@ def test_alignment_matches_python_brute_force(spark):
             assert r["aligned"]
             assert (r["start"], r["run"], r["front"], r["middle"], r["tail"]) == exp[:5]
             assert abs(r["score"] - exp[5]) < 1e-6
+
+
+def test_dot_norms_and_cosine(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0], [4.0, 5.0, 6.0]), ([1.0], [1.0, 2.0])],
+                               "x array<double>, y array<double>")
+    r = df.select(TP.dot("x", "y").alias("d"), TP.sqrt_of_pow("x", "y").alias("s"),
+                  TP.true_cosine("x", "y").alias("c")).collect()
+    assert r[0]["d"] == 32.0 and abs(r[0]["s"] - (1 + 4 + 9 + 16 + 25 + 36) ** 0.5) < 1e-12
+    assert abs(r[0]["c"] - 32 / (14 ** 0.5 * 77 ** 0.5)) < 1e-12
+    assert r[1]["d"] == 0.0 and r[1]["s"] == 0.0
