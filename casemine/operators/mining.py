@@ -3,8 +3,8 @@
 Vectors: a binary CountVectorizer times the per-term weight
 (``ElementwiseProduct``); valid because a term's weight does not depend on the
 document.  The vocabulary and the weight vector are model parameters held by
-the driver, as Spark ML requires; ``max_vocab`` bounds them (Spark's own
-CountVectorizer default, 2^18 terms, most frequent first).
+the driver, as Spark ML requires.  The case model uses the whole vocabulary
+(as the original); ``max_vocab`` can bound it to the most frequent terms.
 """
 
 from __future__ import annotations
@@ -25,10 +25,11 @@ MAX_VOCAB = 1 << 18
 
 def weighted_vectors(arrays: DataFrame, weights: DataFrame, max_vocab: int = MAX_VOCAB,
                      tokens_col: str = "tokens"):
-    """Binary term vectors of the ``max_vocab`` most frequent terms (fitted in
-    the JVM, so the vocabulary never crosses Py4J element by element), scaled
-    by the per-term weight.  Returns (vectors with ``features``, vocabulary
-    frame ``term_id, term``)."""
+    """Binary term vectors of the ``max_vocab`` most frequent terms (pass the
+    vocabulary size for the whole vocabulary, as the original program uses),
+    fitted in the JVM so the vocabulary never crosses Py4J element by element,
+    scaled by the per-term weight.  Returns (vectors with ``features``,
+    vocabulary frame ``term_id, term``)."""
     spark = arrays.sparkSession
     cv = CountVectorizer(inputCol=tokens_col, outputCol="tf", binary=True, vocabSize=max_vocab).fit(arrays)
     vocab = pd.DataFrame({"term_id": range(len(cv.vocabulary)), "term": cv.vocabulary})

@@ -88,7 +88,8 @@ class CaseModel:
     def lda_topics(self) -> DataFrame:
         """(topic, term, weight) of the EM LDA over weighted case vectors."""
         arrays = self.corpus_arrays.where(F.size("tokens") > 0).select("case_id", "tokens")
-        docs, vocab = MN.weighted_vectors(spread(arrays), self.weights)
+        docs, vocab = MN.weighted_vectors(spread(arrays), self.weights,
+                                          max_vocab=max(1, self.term_df.count()))
         docs = docs.select(F.col("case_id").alias("id"), "features").checkpoint(eager=True)
         vocab = vocab.checkpoint(eager=True)
         model = MN.fit_lda(docs, vocab.count(), iterations=self.lda_iterations)

@@ -76,7 +76,7 @@ def test_lda_topics_cover_vocabulary(spark, sf_dir):
     m = CaseModel(spark, sf_dir, topics="lda", lda_iterations=3)
     topics = m.lda_topics
     v = m.term_df.count()
-    assert topics.count() == 2 * min(v, MN.MAX_VOCAB)
+    assert topics.count() == 2 * v
     sums = {r["topic"]: r["s"] for r in topics.groupBy("topic").agg(F.sum("weight").alias("s")).collect()}
     assert all(math.isclose(s, 1.0, rel_tol=1e-6) for s in sums.values())
     assert m.hv_terms.count() > 0
