@@ -20,10 +20,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .broadcast import bounded_broadcast
 
 
 def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                      name: str = "rn", num_partitions: int | None = None) -> DataFrame:
+                      name: str = "rn", num_partitions: int | None = None,
+                      size_name: str | None = None) -> DataFrame:
+    """Row number ``name`` (1-based) of every row in ``order`` within its
+    group; with ``size_name`` also the group's row count, taken from the same
+    per-partition counts (no second pass over the input)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if num_partitions is None:
@@ -35,6 +40,7 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     local_w = Window.partitionBy("_pid", *group_cols).orderBy(*order)
     local = parted.withColumn("_lrn", F.row_number().over(local_w))
     counts = parted.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    all_counts = counts
     if group_cols:
         split = (counts.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_np"))
                  .where("_np > 1").drop("_np"))
@@ -45,5 +51,12 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     offsets = counts.select(*group_cols, "_pid",
                             F.coalesce(F.sum("_cnt").over(off_w), F.lit(0)).alias("_off"))
     out = local.join(F.broadcast(offsets), [*group_cols, "_pid"], "left")
-    return out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lrn")).cast("long")) \
+    out = out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lrn")).cast("long")) \
         .drop("_pid", "_lrn", "_off")
+    if size_name:
+        sizes = all_counts.groupBy(*group_cols).agg(F.sum("_cnt").cast("long").alias(size_name))
+        if group_cols:
+            out = out.join(bounded_broadcast(sizes, 100_000), list(group_cols))
+        else:  # one number
+            out = out.withColumn(size_name, F.lit(sizes.first()[0]).cast("long"))
+    return out

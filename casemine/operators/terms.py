@@ -92,11 +92,9 @@ def topic_top_terms(scores: DataFrame, fraction: float = C.TOPIC_TOP_FRACTION,
     """Best floor(n * fraction) terms of each topic by score (ties: term),
     counting only terms of at least ``min_len`` characters."""
     s = scores.where(F.length("term") >= min_len)
-    sizes = s.groupBy("topic").agg(F.count(F.lit(1)).alias("n_terms"))
-    ranked = row_number_within(s, ["topic"], [F.col("score").desc(), F.col("term").asc()])
-    # one row per topic; broadcast after a row-count check
-    return ranked.join(bounded_broadcast(sizes, 100_000), "topic") \
-        .where(F.col("rn") <= F.floor(F.col("n_terms") * fraction)) \
+    ranked = row_number_within(s, ["topic"], [F.col("score").desc(), F.col("term").asc()],
+                               size_name="n_terms")
+    return ranked.where(F.col("rn") <= F.floor(F.col("n_terms") * fraction)) \
         .select("topic", "term", "score", "rn")
 
 

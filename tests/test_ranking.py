@@ -28,3 +28,12 @@ def test_global_rank_matches_window(spark):
     exp = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
     assert sorted(map(tuple, got.select("term", "rn").collect())) == \
         sorted(map(tuple, exp.select("term", "rn").collect()))
+
+
+def test_group_sizes(spark):
+    df = fixture(spark)
+    got = row_number_within(df, ["grp"], [F.col("term").asc()], num_partitions=5, size_name="n")
+    sizes = {r["grp"]: r["count"] for r in df.groupBy("grp").count().collect()}
+    assert all(r["n"] == sizes[r["grp"]] for r in got.select("grp", "n").collect())
+    g = row_number_within(df, [], [F.col("term").asc()], num_partitions=5, size_name="n")
+    assert {r["n"] for r in g.select("n").collect()} == {3000}
