@@ -23,9 +23,9 @@ from .model import CaseModel
 
 
 def run(spark, sf_dir: str, out: str, topics: str = "lda", centres: str = "kmeans",
-        lda_iterations: int | None = None) -> dict:
+        lda_iterations: int | None = None, y_mode: str = "correct") -> dict:
     kw = {} if lda_iterations is None else {"lda_iterations": lda_iterations}
-    m = CaseModel(spark, sf_dir, topics=topics, centres=centres, **kw)
+    m = CaseModel(spark, sf_dir, topics=topics, centres=centres, y_mode=y_mode, **kw)
     write_table(m.points, os.path.join(out, "points"))
     assigned = m.assigned.checkpoint(eager=True)
     write_table(assigned, os.path.join(out, "clusters"))
@@ -48,9 +48,10 @@ def main() -> None:
     ap.add_argument("--topics", default="lda", choices=["lda", "series"])
     ap.add_argument("--centres", default="kmeans", choices=["kmeans", "first"])
     ap.add_argument("--lda-iterations", type=int, default=None)
+    ap.add_argument("--y-mode", default="correct", choices=["correct", "compat"])
     a = ap.parse_args()
     spark = get_session()
-    print(json.dumps(run(spark, a.sf_dir, a.out, a.topics, a.centres, a.lda_iterations)))
+    print(json.dumps(run(spark, a.sf_dir, a.out, a.topics, a.centres, a.lda_iterations, a.y_mode)))
 
 
 if __name__ == "__main__":

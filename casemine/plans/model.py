@@ -27,12 +27,15 @@ from ..sources.tables import spread
 
 class CaseModel:
     def __init__(self, spark: SparkSession, sf_dir: str, k: int = C.KMEANS_START_K + C.KMEANS_K_STEP,
-                 topics: str = "series", centres: str = "first", lda_iterations: int = C.LDA_ITERATIONS):
+                 topics: str = "series", centres: str = "first", lda_iterations: int = C.LDA_ITERATIONS,
+                 y_mode: str = "correct"):
         """topics: "series" (each product series is a topic; deterministic) or
         "lda" (EM LDA over weighted vectors, as the original program).
-        centres: "first" (the first k points) or "kmeans" (Spark ML k-means)."""
+        centres: "first" (the first k points) or "kmeans" (Spark ML k-means).
+        y_mode: "correct" or "compat" (the as-coded 101 * max(n, 1))."""
         self.spark, self.sf_dir, self.k = spark, sf_dir, k
         self.topics, self.centres, self.lda_iterations = topics, centres, lda_iterations
+        self.y_mode = y_mode
         self.kmeans_history: list[tuple[int, float]] = []
         ensure_checkpoint_dir(spark)
 
@@ -129,7 +132,10 @@ class CaseModel:
 
     @cached_property
     def points(self) -> DataFrame:
-        return CL.points(self.given, self.y).checkpoint(eager=True)
+        y = self.y
+        if self.y_mode == "compat":
+            y = y.select("case_id", F.col("y_compat").alias("y"))
+        return CL.points(self.given, y).checkpoint(eager=True)
 
     @cached_property
     def assigned(self) -> DataFrame:

@@ -21,6 +21,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove checkpoint files of intermediates once they are no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # streaming state on local disk of the executors (RocksDB), not the JVM heap;
     # changelog checkpointing uploads only the changes per micro-batch
     "spark.sql.streaming.stateStore.providerClass":
