@@ -64,6 +64,33 @@ def topic_terms(model, vocab_df: DataFrame) -> DataFrame:
         .join(vocab_df, "term_id").select("topic", "term", "weight")
 
 
+def persisted_ids(spark) -> set[int]:
+    return {int(k) for k in spark.sparkContext._jsc.getPersistentRDDs().keys()}
+
+
+def release_since(spark, before: set[int]) -> None:
+    """Unpersist the RDDs persisted after ``before`` was taken (the EM graph
+    of a fitted LDA stays cached as long as its model lives otherwise)."""
+    rdds = spark.sparkContext._jsc.getPersistentRDDs()
+    for k in list(rdds.keys()):
+        if int(k) not in before:
+            rdds[k].unpersist(False)
+
+
+def lda_topics(docs: DataFrame, vocab_df: DataFrame, vocab_size: int, k: int = C.LDA_TOPICS,
+               iterations: int = C.LDA_ITERATIONS, seed: int = 7, optimizer: str = "em") -> DataFrame:
+    """Fit LDA and return its (topic, term, weight) table, written to the
+    checkpoint folder; the fit's cached graph and checkpoint files are released."""
+    spark = docs.sparkSession
+    before = persisted_ids(spark)
+    model = fit_lda(docs, vocab_size, k, iterations, seed, optimizer)
+    topics = topic_terms(model, vocab_df).checkpoint(eager=True)
+    if hasattr(model, "deleteCheckpointFiles") and model.isDistributed():
+        model.deleteCheckpointFiles()
+    release_since(spark, before)
+    return topics
+
+
 def fp_growth(items: DataFrame, min_support: float = C.FP_MIN_SUPPORT, items_col: str = "items"):
     """Spark ML FP-growth over per-case item sets; returns (itemsets: items, freq; model)."""
     model = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=1.0).fit(items)

@@ -95,8 +95,7 @@ class CaseModel:
                                           max_vocab=max(1, self.term_df.count()))
         docs = docs.select(F.col("case_id").alias("id"), "features").checkpoint(eager=True)
         vocab = vocab.checkpoint(eager=True)
-        model = MN.fit_lda(docs, vocab.count(), iterations=self.lda_iterations)
-        return MN.topic_terms(model, vocab).checkpoint(eager=True)
+        return MN.lda_topics(docs, vocab, vocab.count(), iterations=self.lda_iterations)
 
     @cached_property
     def topic_scores(self) -> DataFrame:
