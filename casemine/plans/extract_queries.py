@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import unpack
 from ..operators.extract import case_notes_extract
 from ..sources import tables as S
 from .registry import query
@@ -46,3 +47,16 @@ def case_extract_summary(spark, sf_dir):
     return _extract(spark, sf_dir).groupBy("owner").agg(
         F.count(F.lit(1)).alias("notes"), F.countDistinct("case_id").alias("cases"),
         F.countDistinct("customer").alias("customers"))
+
+
+@query("extract_series_platforms", f"""
+SELECT split_part(jhw, '--', 1) AS series, split_part(jhw, '--', 2) AS platform,
+       count(*) AS notes, count(DISTINCT case_id) AS cases
+FROM ({_EXTRACT_SQL}) e GROUP BY ALL
+""")
+def extract_series_platforms(spark, sf_dir):
+    """Notes and cases per (series, platform) unpacked from the packed column."""
+    e = _extract(spark, sf_dir)
+    return e.select(unpack("jhw", 1).alias("series"), unpack("jhw", 2).alias("platform"), "case_id") \
+        .groupBy("series", "platform").agg(F.count(F.lit(1)).alias("notes"),
+                                           F.countDistinct("case_id").alias("cases"))
