@@ -8,8 +8,8 @@ aggregations (the same estimates as Spark ML's NaiveBayes with
 N_c: training cases of class c, n_c,w: cases of class c containing w,
 n_c = sum_w n_c,w, V: vocabulary size, C: number of classes.  Only observed
 (class, term) pairs are stored; an unseen pair has ln(lambda) - ln(n_c + V lambda).
-Scoring a case joins its terms with the observed pairs (a shuffle on term;
-AQE splits a hot term's partition) and adds the unseen part per class.
+Scoring pivots the bounded class list into one row per term, joins a case's terms
+with it (a shuffle on term; AQE splits a hot term's partition) and aggregates once per case.
 """
 
 from __future__ import annotations
@@ -46,27 +46,27 @@ def fit(tokens: DataFrame, labels: DataFrame, vocab_size: int, smoothing: float
 
 def predict_cases(tokens: DataFrame, classes: DataFrame, probs: DataFrame,
                   class_values: list) -> DataFrame:
-    """(case_id, prediction).  ``class_values`` is the (bounded) list of class
-    labels, so each case expands to one row per class without a join."""
+    """(case_id, prediction); ties go to the smaller label.
+
+    The classes are a bounded list, so the model is pivoted to one row per
+    term with one gain column per class (log_prob - log_unseen).  Scoring is
+    then one join on term and one aggregation per case; the per-class scores
+    and the arg-max are evaluated inside the row.
+    """
     pri = {r["label"]: (r["prior"], r["log_unseen"]) for r in
            classes.select("label", "prior", "log_unseen").collect()}
-    lit_classes = F.array(*[F.struct(F.lit(c).alias("label"), F.lit(pri[c][0]).alias("prior"),
-                                     F.lit(pri[c][1]).alias("log_unseen")) for c in class_values])
-    n_terms = tokens.groupBy("case_id").agg(F.count(F.lit(1)).alias("n"))
-    per_class = n_terms.select("case_id", "n", F.explode(lit_classes).alias("k")).select(
-        "case_id", F.col("k.label").alias("label"),
-        (F.col("k.prior") + F.col("n") * F.col("k.log_unseen")).alias("base"),
-        F.col("k.log_unseen").alias("log_unseen"))
-    seen = tokens.join(probs.withColumnRenamed("term", "token"), "token", "inner") \
-        .groupBy("case_id", "label").agg(F.sum("log_prob").alias("s_seen"),
-                                         F.count(F.lit(1)).alias("k_seen"))
-    scored = per_class.join(seen, ["case_id", "label"], "left").select(
-        "case_id", "label",
-        (F.col("base") + F.coalesce("s_seen", F.lit(0.0))
-         - F.coalesce("k_seen", F.lit(0)) * F.col("log_unseen")).alias("score"))
-    best = scored.groupBy("case_id").agg(
-        F.max(F.struct(F.col("score"), (-F.col("label")).alias("neg"))).alias("b"))
-    return best.select("case_id", (-F.col("b.neg")).alias("prediction"))
+    unseen = {c: pri[c][1] for c in class_values}
+    gains = probs.groupBy("term").pivot("label", class_values).agg(F.first("log_prob"))
+    gains = gains.select(F.col("term").alias("token"), *[
+        (F.col(f"`{c}`") - F.lit(unseen[c])).alias(f"g{i}") for i, c in enumerate(class_values)])
+    joined = tokens.join(gains, "token", "left")
+    per_case = joined.groupBy("case_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.coalesce(f"g{i}", F.lit(0.0))).alias(f"s{i}") for i in range(len(class_values))])
+    scores = F.array(*[F.struct(
+        (F.lit(pri[c][0]) + F.col("n") * F.lit(unseen[c]) + F.col(f"s{i}")).alias("score"),
+        F.lit(-c).alias("neg")) for i, c in enumerate(class_values)])
+    return per_case.select("case_id", (-F.array_max(scores)["neg"]).alias("prediction"))
 
 
 def accuracy(predictions: DataFrame, labels: DataFrame) -> DataFrame:
