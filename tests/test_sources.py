@@ -38,3 +38,15 @@ def test_text_sink(spark):
     lines = spark.createDataFrame([("1%2.0%x",)], "line string")
     write_text_lines(lines, os.path.join(d, "out"))
     assert [r["value"] for r in spark.read.text(os.path.join(d, "out")).collect()] == ["1%2.0%x"]
+
+
+def test_date_prefix_filter_equals_string_prefix(spark):
+    from pyspark.sql import functions as F
+    from casemine.operators.extract import date_prefix_filter
+    df = spark.createDataFrame([(f"{y}-0{m}-1{d} 0{h}:00:00",) for y in (1989, 1990, 1995, 1999, 2000, 2001)
+                                for m in (1, 9) for d in (0, 9) for h in (0, 5)], "s string") \
+        .select(F.col("s").cast("timestamp_ntz").alias("t"))
+    for prefix in ("199", "1995", "19", "2", "2000", "1999-0"):
+        exp = sorted(r[0] for r in df.where(F.col("t").cast("string").startswith(prefix)).collect())
+        got = sorted(r[0] for r in df.where(date_prefix_filter(df, "t", prefix)).collect())
+        assert got == exp, prefix
