@@ -36,42 +36,6 @@ def _sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
 
 
-def alignment(L: Column, T: Column) -> Column:
-    """struct<aligned:boolean, start:int (1-based), run:int, front, middle, tail,
-    words: array<string>>."""
-    n, m = F.size(L), F.size(T)
-    s = F.array_max(F.transform(T, lambda t: F.array_position(L, t).cast("int") - 1))
-    s0 = F.greatest(s, F.lit(0))
-    aligned = (n >= m) & (s >= 0)
-    u = F.array_position(T, F.try_element_at(L, s0 + 1)).cast("int")
-    eq = F.zip_with(F.slice(L, s0 + 1, n), F.slice(T, F.greatest(u, F.lit(1)), m),
-                    lambda a, b: F.coalesce(a == b, F.lit(False)))
-    pos = F.array_position(eq, False).cast("int")
-    run = F.when(pos == 0, F.size(eq)).otherwise(pos - 1)
-    before = F.slice(L, 1, s0)
-    middle = F.slice(L, s0 + 1, run)
-    after = F.slice(L, s0 + run + 1, n)
-    front = F.concat(F.lit("<"), F.array_join(before, "-"), F.lit(">"))
-    tail = F.concat(F.lit("<"), F.array_join(after, "-"), F.lit(">"))
-    return F.when(aligned, F.struct(
-        F.lit(True).alias("aligned"),
-        (s0 + 1).alias("start"),
-        run.alias("run"),
-        front.alias("front"),
-        F.array_join(middle, " ").alias("middle"),
-        tail.alias("tail"),
-        F.concat(F.array(front), middle, F.array(tail)).alias("words"),
-    )).otherwise(F.struct(
-        F.lit(False).alias("aligned"),
-        F.lit(0).alias("start"),
-        F.lit(0).alias("run"),
-        F.lit("").alias("front"),
-        F.lit("").alias("middle"),
-        F.lit("").alias("tail"),
-        F.array().cast("array<string>").alias("words"),
-    ))
-
-
 def dot(x: Column, y: Column) -> Column:
     """Dot product; 0 when the sizes differ."""
     return F.when(F.size(x) == F.size(y), _sum(F.zip_with(x, y, lambda a, b: a * b))) \
@@ -85,15 +49,6 @@ def sqrt_of_pow(x: Column, y: Column) -> Column:
         .otherwise(F.lit(0.0))
 
 
-def similarity(words: Column, T_units: Column) -> Column:
-    """Template similarity of aligned words against template word hashes."""
-    units = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10)
-                        .cast("long") / F.lit(C.HASH_SCALE))
-    den = sqrt_of_pow(units, T_units)
-    score = F.when((F.size(words) > 0) & (den > 0), dot(units, T_units) / den).otherwise(F.lit(0.0))
-    return F.round(score, 6)
-
-
 def true_cosine(x: Column, y: Column) -> Column:
     """Proper cosine of two equal-length vectors (0 otherwise)."""
     nx = F.sqrt(_sum(F.transform(x, lambda a: a * a)))

@@ -80,7 +80,7 @@ def term_weights(term_df: DataFrame, dims: DataFrame, guessed: DataFrame) -> Dat
     return folded.select("term", F.round(weight, 6).alias("weight"))
 
 
-def series_topic_scores(cases: DataFrame, tokens_with_series: DataFrame) -> DataFrame:
+def series_topic_scores(tokens_with_series: DataFrame) -> DataFrame:
     """(topic, term, score): a deterministic topic model where each product
     series is a topic and a term's score is its document frequency in it."""
     return tokens_with_series.groupBy(F.col("series").alias("topic"), F.col("token").alias("term")) \

@@ -101,7 +101,7 @@ class CaseModel:
     def topic_scores(self) -> DataFrame:
         if self.topics == "lda":
             return self.lda_topics.select("topic", "term", F.col("weight").alias("score"))
-        return TR.series_topic_scores(None, self.corpus_s)
+        return TR.series_topic_scores(self.corpus_s)
 
     @cached_property
     def topic_top(self) -> DataFrame:

@@ -102,15 +102,6 @@ def region_lines_sql(region: str) -> str:
             f"FROM documents) d0) d1)")
 
 
-def region_sizes_sql(region: str) -> str:
-    if region == "problem":
-        n = "len(lines) // 4"
-    else:
-        n = "len(lines) - (3 * len(lines)) // 4"
-    return (f"(SELECT doc_id AS case_id, {n} AS n_lines FROM (SELECT doc_id, {HISTORY_LINES} AS lines "
-            f"FROM documents) d0)")
-
-
 def alignment_sql(region: str, templates) -> str:
     """Aligned (line, template) pairs of a region with start/run/front/middle/tail/score."""
     words = "string_split(regexp_replace(line, ' +$', ''), ' ')"
