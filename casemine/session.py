@@ -23,8 +23,6 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Kryo for shuffled JVM objects (GraphX messages of EM LDA, ML vectors)
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
-    # remove checkpoint files of intermediates once they are no longer referenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # streaming state on local disk of the executors (RocksDB), not the JVM heap;
     # changelog checkpointing uploads only the changes per micro-batch
     "spark.sql.streaming.stateStore.providerClass":
