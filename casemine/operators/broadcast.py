@@ -30,3 +30,13 @@ def bounded_values(df: DataFrame, column: str, max_rows: int = 10_000) -> list |
     if not row_count_at_most(d, max_rows):
         return None
     return sorted(r[0] for r in d.collect() if r[0] is not None)
+
+
+def join_small(big: DataFrame, small: DataFrame, key: str, how: str,
+               max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Join with a small side: broadcast when a checked count proves it small;
+    otherwise a shuffle join with hot keys of ``big`` salted (``skew.py``)."""
+    if max_rows > 0 and row_count_at_most(small, max_rows):
+        return big.join(F.broadcast(small), key, how)
+    from .skew import salted_join
+    return salted_join(big, small, key, how)

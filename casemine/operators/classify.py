@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .broadcast import bounded_broadcast
+from .broadcast import bounded_broadcast, join_small
 
 
 def fit(tokens: DataFrame, labels: DataFrame, vocab_size: int, smoothing: float = C.NB_SMOOTHING):
@@ -45,7 +45,7 @@ def fit(tokens: DataFrame, labels: DataFrame, vocab_size: int, smoothing: float
 
 
 def predict_cases(tokens: DataFrame, classes: DataFrame, probs: DataFrame,
-                  class_values: list) -> DataFrame:
+                  class_values: list, broadcast_rows: int = 1_000_000) -> DataFrame:
     """(case_id, prediction); ties go to the smaller label.
 
     The classes are a bounded list, so the model is pivoted to one row per
@@ -59,7 +59,7 @@ def predict_cases(tokens: DataFrame, classes: DataFrame, probs: DataFrame,
     gains = probs.groupBy("term").pivot("label", class_values).agg(F.first("log_prob"))
     gains = gains.select(F.col("term").alias("token"), *[
         (F.col(f"`{c}`") - F.lit(unseen[c])).alias(f"g{i}") for i, c in enumerate(class_values)])
-    joined = tokens.join(gains, "token", "left")
+    joined = join_small(tokens, gains, "token", "left", broadcast_rows)
     per_case = joined.groupBy("case_id").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.coalesce(f"g{i}", F.lit(0.0))).alias(f"s{i}") for i in range(len(class_values))])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import text as T
 from ..functions.hashing import md5_mod
-from .broadcast import bounded_broadcast, bounded_values
+from .broadcast import bounded_values, join_small
 from .ranking import row_number_within
 
 
@@ -105,8 +105,8 @@ def high_value_terms(top: DataFrame) -> DataFrame:
 def case_items(tokens: DataFrame, hv_terms: DataFrame, cases: DataFrame) -> DataFrame:
     """(case_id, items array<string>, n_items): the case's high-value terms;
     every case has a row (empty array when it has none)."""
-    hv = tokens.join(bounded_broadcast(hv_terms.withColumnRenamed("term", "token"), 1_000_000),
-                     "token", "left_semi")
+    hv = join_small(tokens, hv_terms.withColumnRenamed("term", "token"), "token", "left_semi",
+                    1_000_000)
     per_case = hv.groupBy("case_id").agg(F.array_sort(F.collect_list("token")).alias("items"))
     return cases.select("case_id").join(per_case, "case_id", "left").select(
         "case_id", F.coalesce("items", F.array().cast("array<string>")).alias("items"),

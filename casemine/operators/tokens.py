@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text as T
-from .broadcast import bounded_broadcast, bounded_values
+from .broadcast import bounded_values, join_small
 
 FIXED_DICTIONARIES = (C.STOP_WORDS, C.DOMAIN_STOP_WORDS, C.NAMES_AND_MONTHS)
 
@@ -37,7 +37,7 @@ def drop_words(long: DataFrame, words: DataFrame | None, column: str = "word") -
     if words is None:
         return long
     w = words.select(F.col(column).alias("token")).where(F.col("token").isNotNull()).distinct()
-    return long.join(bounded_broadcast(w), "token", "left_anti").select(*long.columns)
+    return join_small(long, w, "token", "left_anti").select(*long.columns)
 
 
 def owner_words(notes: DataFrame) -> DataFrame:
