@@ -22,10 +22,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def bounded_values(df: DataFrame, column: str, max_rows: int = 10_000) -> list | None:
+def bounded_values(df: DataFrame, column: str, max_rows: int = 1_000) -> list | None:
     """The distinct values of ``column`` when there are at most ``max_rows``
     of them (checked with a limited count), else None: the caller then keeps
-    its join-based path."""
+    its join-based path.  Kept small: every value becomes a literal of the
+    plan."""
     d = df.select(column).distinct()
     if not row_count_at_most(d, max_rows):
         return None

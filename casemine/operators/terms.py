@@ -132,7 +132,7 @@ def y_values(items: DataFrame, frequent: DataFrame) -> DataFrame:
     intersected inside the row (no shuffle), else joined."""
     n1 = F.greatest(F.col("n_items"), F.lit(1))
     compat = (n1 * F.lit(C.FP_PATTERN_WEIGHT + 1)).cast("double").alias("y_compat")
-    values = bounded_values(frequent, "item", 100_000)
+    values = bounded_values(frequent, "item", 1_000)
     if values is not None:
         freq = F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
         n_freq = F.size(F.array_intersect("items", freq))

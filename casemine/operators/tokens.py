@@ -65,7 +65,7 @@ def clean_arrays(cases: DataFrame, notes: DataFrame | None = None, keep: Sequenc
     rest = None
     if notes is not None:
         owners = owner_words(notes)
-        values = bounded_values(owners, "word")
+        values = bounded_values(owners, "word", 1_000)
         if values is None:
             rest = owners
         else:
