@@ -29,19 +29,19 @@ PACK_SEPARATOR = "--"
 
 # --- fixed values: token patterns (a token is dropped when it matches in full) -------
 TOKEN_PATTERNS = {
-    "case_number": r"\d{4}-\d{4}-\d{4}",
-    "email": r"\w+@[\w.]+",
-    "phone": r"[0-9]{1,3}[ -.][0-9]{1,3}[ -.][0-9]{4,10}",
-    "number10": r"\d{10}",
+    "case_number": r"(\d{4})-(\d{4})-(\d{4})",
+    "email": r"(\w+)@([\w\.]+)",
+    "phone": r"([0-9]{1,3})[ -.]([0-9]{1,3})[ -.]([0-9]{4,10})",
+    "number10": r"(\d{10})",
     "date": r"([1-9]|0[1-9]|1[012])[- /]([1-9]|0[1-9]|[12][0-9]|3[01])[- /.](\d{2}|\d{4})",
     "time": r"(0[1-9]|[12][0-9]):(\d{2}):(\d{2})",
     "short_time": r"(\d{1}|\d{2}):(\d{2})",
     "long_time": r"(0[1-9]|[12][0-9]):(\d{2}):(\d{2}).(\d{3})",
     "run": r"([.]{3,}|[>]{3,}|[-]{3,})",
-    "tag": r"<(.|\n)+>",
-    "suffix_ed": r"\w*ed",
-    "suffix_ly": r"\w*ly",
-    "suffix_ing": r"\w*ing",
+    "tag": r"(<(.|\n)+?>)",
+    "suffix_ed": r"\w*ed\b",
+    "suffix_ly": r"\w*ly\b",
+    "suffix_ing": r"\w*ing\b",
 }
 # Tokens starting with one of these are dropped (links); more can be passed in.
 DROP_PREFIXES = ["http", "ftp"]

@@ -6,6 +6,7 @@ projection next to the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 
-_SUFFIX_RE = "".join(f"{_re}?" for _re in (r"-", "~", ",", ":", r"\.")) + r"\z"
-_PREFIX_RE = "^" + "".join(f"{_re}?" for _re in (r"\.", ":", ",", "~", r"-"))
+# stripping one of each from the end in STRIP_ORDER removes a suffix matching the
+# characters in reverse order, each optional; the start is stripped in order
+_SUFFIX_RE = "".join(re.escape(ch) + "?" for ch in reversed(C.STRIP_ORDER)) + r"\z"
+_PREFIX_RE = "^" + "".join(re.escape(ch) + "?" for ch in C.STRIP_ORDER)
 
 
 def col_(c: Column | str) -> Column:

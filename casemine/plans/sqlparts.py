@@ -3,6 +3,7 @@ same fixed values the Spark column functions use, so both sides stay in step."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from .. import config as C
@@ -16,8 +17,8 @@ def in_list(words: Iterable[str]) -> str:
     return "(" + ", ".join(q(w) for w in sorted(set(words))) + ")"
 
 
-SUFFIX_RE = r"-?~?,?:?\.?$"
-PREFIX_RE = r"^\.?:?,?~?-?"
+SUFFIX_RE = "".join(re.escape(ch) + "?" for ch in reversed(C.STRIP_ORDER)) + "$"
+PREFIX_RE = "^" + "".join(re.escape(ch) + "?" for ch in C.STRIP_ORDER)
 SPLIT_RE = r"[ \n\t\r]"
 
 
