@@ -89,20 +89,24 @@ def term_document_frequency(tokens: DataFrame) -> DataFrame:
 def token_filter_audit(cases: DataFrame, dictionaries: dict[str, Sequence[str]] | None = None,
                        prefixes: Sequence[str] = C.DROP_PREFIXES) -> DataFrame:
     """(rule, dropped): how many raw tokens each rule matches (rules can overlap),
-    plus ``total`` and ``kept`` rows.  One pass, conditional sums."""
+    plus ``total`` and ``kept`` rows: conditional sums of token counts, the
+    rules evaluated once per distinct token."""
     if dictionaries is None:
         dictionaries = {"stop_words": C.STOP_WORDS, "domain_stop_words": C.DOMAIN_STOP_WORDS,
                         "names": C.NAMES_AND_MONTHS}
     raw = T.explode_once(cases, F.transform(
         T.raw_tokens(T.null_default("history", C.DEFAULT_HISTORY)), T.strip_affixes), "w")
+    # rules are evaluated once per distinct token, weighted by its count
+    distinct = raw.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     w = F.col("w")
     flags = T.token_rule_flags(w, prefixes)
     for name, words in dictionaries.items():
         flags[name] = w.isin(sorted(set(words)))
     kept = T.token_is_kept(w, dictionaries.values(), prefixes)
-    aggs = [F.sum(F.when(f, 1).otherwise(0)).alias(n) for n, f in flags.items()]
-    aggs += [F.count(F.lit(1)).alias("total"), F.sum(F.when(kept, 1).otherwise(0)).alias("kept")]
-    wide = raw.agg(*aggs)
+    n = F.col("n")
+    aggs = [F.sum(F.when(f, n).otherwise(0)).alias(k) for k, f in flags.items()]
+    aggs += [F.sum(n).alias("total"), F.sum(F.when(kept, n).otherwise(0)).alias("kept")]
+    wide = distinct.agg(*aggs)
     names = list(flags) + ["total", "kept"]
     stack = "stack({}, {}) as (rule, dropped)".format(
         len(names), ", ".join(f"'{n}', `{n}`" for n in names))
