@@ -61,3 +61,19 @@ def test_kafka_options():
     o = kafka_options("b1:9092", "cases", group_id="g")
     assert o["subscribe"] == "cases" and o["startingOffsets"] == "earliest"
     assert o["kafka.bootstrap.servers"] == "b1:9092" and o["kafka.group.id"] == "g"
+
+
+def test_streaming_job_cli_files_once(spark, sf_dir):
+    import subprocess
+    import sys
+    base = tempfile.mkdtemp(prefix="cm-stream-cli-")
+    src = os.path.join(base, "events")
+    events = S.table(spark, sf_dir, "events")
+    events.coalesce(1).write.parquet(src)
+    out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-m", "casemine.streaming.job", "--source", "files", "--path", src,
+                    "--out", out, "--checkpoint", ckpt, "--once"],
+                   cwd=repo, check=True, timeout=600, capture_output=True)
+    got = W.flatten(SK.read_latest(spark, out, ["window", "word"]))
+    assert rows(got) == rows(batch_counts(events))
