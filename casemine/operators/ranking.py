@@ -3,18 +3,18 @@ a whole group through one task.
 
 ``Window.partitionBy(g).orderBy(...)`` puts each group into a single task; a
 global window puts everything into one.  Here rows are range-partitioned on
-(group, order) into balanced partitions, numbered locally, and shifted by the
-row counts of earlier partitions of the same group.  Because the range
-partitioner splits a sorted order, a group spans several partitions only at
-partition boundaries, so the offsets table has at most 2 x partitions rows and
-is broadcast with that bound.  The partitioned data is checkpointed to the
-shared checkpoint folder so every consumer sees the same partition ids, also
-after an executor loss.
+(group, order) into balanced partitions, sorted and numbered there, and shifted
+by the row counts of the earlier partitions (one row per partition, broadcast).
+Within a group the number counts from the group's first place.  The numbered
+data is checkpointed to the shared checkpoint folder so every consumer sees the
+same places, also after an executor loss.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,29 +34,31 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group_cols] + list(order)
+    # rows already lie in their range, so a sort inside the partition is enough:
+    # the low 33 bits of the id are the row's place in its partition
     parted = (df.repartitionByRange(num_partitions, *keys)
-              .withColumn("_pid", F.spark_partition_id())
+              .sortWithinPartitions(*keys)
+              .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-    local_w = Window.partitionBy("_pid", *group_cols).orderBy(*order)
-    local = parted.withColumn("_lrn", F.row_number().over(local_w))
-    counts = parted.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    all_counts = counts
+    pid = F.shiftright("_mid", 33)
+    counts = parted.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
+    # one row per partition
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    place = F.col("_off") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    out = (parted.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid")
+           .withColumn(name, place.cast("long")).drop("_pid", "_off", "_mid"))
     if group_cols:
-        split = (counts.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_np"))
-                 .where("_np > 1").drop("_np"))
-        counts = counts.join(split, list(group_cols), "left_semi")
-    # bounded: (#partitions - 1) boundaries, each splitting at most one group
-    off_w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \
-        if group_cols else Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "_pid",
-                            F.coalesce(F.sum("_cnt").over(off_w), F.lit(0)).alias("_off"))
-    out = local.join(F.broadcast(offsets), [*group_cols, "_pid"], "left")
-    out = out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lrn")).cast("long")) \
-        .drop("_pid", "_lrn", "_off")
-    if size_name:
-        sizes = all_counts.groupBy(*group_cols).agg(F.sum("_cnt").cast("long").alias(size_name))
-        if group_cols:
-            out = out.join(bounded_broadcast(sizes, 100_000), list(group_cols))
-        else:  # one number
-            out = out.withColumn(size_name, F.lit(sizes.first()[0]).cast("long"))
+        # a group's first global place, to count from; its size comes along
+        spans = out.groupBy(*group_cols).agg(F.min(name).alias("_start"),
+                                             F.count(F.lit(1)).cast("long").alias(size_name or "_size"))
+        out = out.alias("o").join(
+            bounded_broadcast(spans, 100_000).alias("s"),
+            reduce(and_, [F.col(f"o.{g}").eqNullSafe(F.col(f"s.{g}")) for g in group_cols]))
+        kept = [F.col(f"o.{c}") for c in df.columns]
+        kept.append((F.col(f"o.{name}") - F.col("s._start") + 1).cast("long").alias(name))
+        return out.select(*kept, *([F.col(f"s.{size_name}")] if size_name else []))
+    if size_name:  # one number
+        total = counts.agg(F.coalesce(F.sum("_cnt"), F.lit(0))).first()[0]
+        out = out.withColumn(size_name, F.lit(total).cast("long"))
     return out

@@ -59,10 +59,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a private folder for this process."""
+    """Use the configured ``spark.checkpoint.dir``; only when it is unset and
+    the master is ``local`` (tests) create a private folder for this process.
+    Any other master must name a folder that all its machines share."""
     value = checkpoint_dir(spark)
     if value is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is unset; name a shared folder for master {master}")
         value = tempfile.mkdtemp(prefix="casemine-ckpt-")
         spark.conf.set("spark.checkpoint.dir", value)
     if spark.sparkContext.getCheckpointDir() is None:
