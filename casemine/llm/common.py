@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def row_slices(batches: Iterator[pa.RecordBatch], text: str = "text",
     (one row at least), so a task's working memory does not follow the batch."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:

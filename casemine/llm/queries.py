@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import sharding
+from . import bpe, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +25,19 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+def bpe_path() -> str:
+    """The vocabulary file that the encoding queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_bpe")
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = bpe.encode(table(spark, sf_dir, "documents"), bpe_path(), decoded=True)
+    return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
