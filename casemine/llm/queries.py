@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, sharding
+from . import bpe, sharding, toxicity
+from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 SHARDS = 24
+TOXIC_SCORE = 0.3
 
 
 def query(name: str, sql: str | None = None):
@@ -38,6 +40,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn_from=~held_out)
+    got = toxicity.score(docs, model)
+    return got.select("doc_id", held_out.alias("held_out"), "score",
+                      (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
+
+
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
