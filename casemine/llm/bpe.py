@@ -21,6 +21,7 @@ gives an empty result; columns other than the id and text are not read.
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
 from functools import lru_cache
 
@@ -51,7 +52,7 @@ NEW_CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0
                 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
                 **{c: c + 32 for c in range(0x10D50, 0x10D66)},
                 **{c: c + 27 for c in range(0x16EA0, 0x16EB9)}}
-WORD_TABLE = 300_000  # distinct words kept per worker before the table starts anew
+WORD_TABLE = 500_000  # distinct words kept per worker before the table starts anew
 LONGEST_KEPT = 64     # characters of a word that is worth keeping
 
 
@@ -92,9 +93,8 @@ class Bpe:
             pattern.replace(r"[^", rf"(?:[{NOT_YET_LETTERS}]|[^").replace(r"\p{N}]+", r"\p{N}])+")
             .replace(r"[\p{L}]", rf"(?:(?![{NOT_YET_LETTERS}])\p{{L}})")
             .replace(r"|[\p{N}]|", rf"|(?![{NOT_YET_LETTERS}])\p{{N}}|"))
-        self.space = regex.compile(r"\p{White_Space}+")
         self.cut = regex.compile("|".join(regex.escape(t) for t in self.special))
-        self.table: dict[str, bytes] = {}
+        self.table = _Words(self)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word: merge the root's pair until there is none."""
@@ -104,61 +104,53 @@ class Bpe:
         n = len(ids)
         if n == 1:
             return ids
-        rank, made = self.rank, self.made
+        rank, made = self.rank.get, self.made
         size = 1 << (n - 2).bit_length()
         tree = [EMPTY] * (2 * size)
         for i in range(n - 1):
-            r = rank.get(ids[i] << 20 | ids[i + 1])
+            r = rank(ids[i] << 20 | ids[i + 1])
             if r is not None:
                 tree[size + i] = r << 32 | i
         for p in range(size - 1, 0, -1):
-            tree[p] = min(tree[2 * p], tree[2 * p + 1])
+            a, b = tree[2 * p], tree[2 * p + 1]
+            tree[p] = a if a < b else b
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def put(i: int, j: int) -> None:
-            """Leaf i is now the pair of symbols i and j (none if j is n)."""
-            r = rank.get(ids[i] << 20 | ids[j]) if j < n else None
-            value, p = EMPTY if r is None else r << 32 | i, size + i
-            while p and tree[p] != value:
-                tree[p] = value
-                p >>= 1
-                if p:
-                    value = min(tree[2 * p], tree[2 * p + 1])
-
-        while tree[1] != EMPTY:
-            i, new = tree[1] & 0xFFFFFFFF, made[tree[1] >> 32]
+        root = tree[1]
+        while root != EMPTY:
+            i, new = root & 0xFFFFFFFF, made[root >> 32]
             j = after[i]
-            ids[i], ids[j] = new, -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            if j < n - 1:
-                put_empty(tree, size + j)
-            if i < n - 1:
-                put(i, after[i])
-            if before[i] >= 0:
-                put(before[i], i)
+            k, h = after[j], before[i]
+            ids[i], ids[j], after[i] = new, -1, k
+            changed = []
+            if k < n:
+                before[k] = i
+                changed.append((size + j, EMPTY))
+                r = rank(new << 20 | ids[k])
+                changed.append((size + i, EMPTY if r is None else r << 32 | i))
+            else:
+                changed.append((size + i, EMPTY))
+            if h >= 0:
+                r = rank(ids[h] << 20 | new)
+                changed.append((size + h, EMPTY if r is None else r << 32 | h))
+            for p, value in changed:
+                while tree[p] != value:
+                    tree[p] = value
+                    if p == 1:
+                        break
+                    a, p = tree[p ^ 1], p >> 1
+                    if a < value:
+                        value = a
+            root = tree[1]
         return [x for x in ids if x >= 0]
 
-    def word(self, word: str) -> bytes:
-        """Ids of a word as little-endian 32-bit integers, from the table."""
-        got = self.table.get(word)
-        if got is None:
-            got = np.array(self.merge(word), dtype="<u4").tobytes()
-            if len(word) <= LONGEST_KEPT:
-                if len(self.table) >= WORD_TABLE:
-                    self.table.clear()
-                self.table[word] = got
-        return got
-
     def _plain(self, text: str) -> bytes:
-        text = self.space.sub(" ", unicodedata.normalize("NFC", text))
-        pattern, rare = self.words, not text.isascii() and self.rare.search(text)
+        # the file also turns white space runs into one blank; no word holds any
+        text = unicodedata.normalize("NFC", text)
+        pattern, rare = self.words, not _latin(text) and self.rare.search(text)
         if rare:
             pattern, text = self.rare_words, text.translate(NEW_CAPITALS)
         text = text.replace("Σ", "σ").lower()  # per character: no final sigma
-        word = self.word
-        return b"".join([word(w) for w in pattern.findall(text)])
+        return b"".join(map(self.table.__getitem__, pattern.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
@@ -175,16 +167,30 @@ class Bpe:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-def put_empty(tree: list[int], p: int) -> None:
-    """Empty a leaf and mend its path to the root."""
-    tree[p] = EMPTY
-    p >>= 1
-    while p:
-        value = min(tree[2 * p], tree[2 * p + 1])
-        if tree[p] == value:
-            break
-        tree[p] = value
-        p >>= 1
+def _latin(text: str) -> bool:
+    """Whether all characters are below U+0100."""
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return False
+
+
+class _Words(dict):
+    """Ids of words as little-endian 32-bit integers, found on first use."""
+
+    def __init__(self, bpe: Bpe):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.bpe.merge(word)
+        got = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= WORD_TABLE:
+                self.clear()
+            self[word] = got
+        return got
 
 
 @lru_cache(maxsize=4)
