@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, sharding, toxicity
+from . import bpe, sharding, simhash, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return got.select("doc_id", "fingerprint", "component_id")
