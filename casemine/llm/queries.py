@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, sharding, simhash, toxicity
+from . import bpe, language, sharding, simhash, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return got.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 0
+    model = language.fit(docs, learn_from=~held_out)
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
