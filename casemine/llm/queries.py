@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, language, sharding, simhash, toxicity
+from . import bpe, language, sharding, simhash, suffix_dedup, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 0
     model = language.fit(docs, learn_from=~held_out)
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op5_suffix_array")
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
