@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, language, sharding, simhash, suffix_dedup, toxicity
+from . import bpe, language, lattice_lm, sharding, simhash, suffix_dedup, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,17 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def piece_path() -> str:
+    """The subword vocabulary whose pieces make the lattices."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op9_lattice_lm")
+def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 7) == 2
+    got = lattice_lm.score(table(spark, sf_dir, "documents"), piece_path(), learn_from=~held_out)
+    return got.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
