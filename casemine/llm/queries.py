@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, language, lattice_lm, sharding, simhash, suffix_dedup, toxicity
+from . import bpe, decontaminate, language, lattice_lm, quality, sharding, simhash, suffix_dedup, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model, host=F.col("source"), path=F.col("lang")).drop("text_hash")
+
+
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
@@ -85,3 +92,23 @@ def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = lattice_lm.score(table(spark, sf_dir, "documents"), piece_path(), learn_from=~held_out)
     return got.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                       "base_score", "score")
+
+
+# words of a text, and its distinct shingles of five words
+_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+_SHINGLES = """list_distinct(CASE WHEN len(ws) >= 5
+    THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)"""
+
+
+@query("op10_decontamination", f"""
+WITH items AS (SELECT item_id, {_SHINGLES} AS s FROM (SELECT DISTINCT item_id, text, {_WORDS} AS ws FROM benchmark)),
+item_rows AS (SELECT item_id, len(s) AS n_shingles, unnest(s) AS g FROM items),
+docs AS (SELECT doc_id, {_SHINGLES} AS s FROM (SELECT DISTINCT doc_id, text, {_WORDS} AS ws FROM documents)),
+doc_rows AS (SELECT doc_id, unnest(s) AS g FROM docs)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles::DOUBLE AS containment
+FROM doc_rows JOIN item_rows USING (g)
+GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles
+""")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
