@@ -44,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import cut, row_slices, slots, text_size
 
@@ -446,8 +447,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: Co
     block = F.pmod(F.pmod("dk", F.lit(blocks)) + F.pmod("th", F.lit(blocks)), F.lit(blocks)).alias("block")
     placed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *key, raw.alias("text"),
                          *([carry.alias("row")] if carry is not None else [])).withColumn("block", block)
-    out = [f"doc_id long, row {placed.schema['row'].dataType.simpleString()}" if carry is not None else "doc_id long",
-           "n_bytes long, n_removed long, n_spans long, kept binary"]
+    out = StructType([placed.schema["doc_id"], *([placed.schema["row"]] if carry is not None else []),
+                      *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary")])
 
     grouped = cut(rows.mapInArrow(lambda it: _seed_rows(it, buckets), "bucket long, payload binary")
                   .groupBy("bucket").applyInArrow(lambda g: _group_seeds(g, blocks, hot),
@@ -460,4 +461,4 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: Co
     if not grouped.where(F.col("kind") == FETCH_HOT).isEmpty():
         found.append(_hot_marks(compact, grouped.where(F.col("kind") == FETCH_HOT), blocks))
     marks = reduce(DataFrame.unionByName, found)
-    return placed.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_apply, ", ".join(out))
+    return placed.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_apply, out)
