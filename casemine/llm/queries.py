@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, decontaminate, language, lattice_lm, quality, sharding, simhash, suffix_dedup, toxicity
+from . import ann, bpe, decontaminate, language, lattice_lm, quality, sharding, simhash, suffix_dedup, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles
 """)
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+@query("op8_neighbours")
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
