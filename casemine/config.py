@@ -123,6 +123,7 @@ LDA_BETA_NUMERATOR = 200        # beta = 200 / |V| + 1
 TOPIC_TOP_FRACTION = 0.15
 TOPIC_MIN_TERM_LENGTH = 3
 FP_MIN_SUPPORT = 0.25
+FP_SETS_SUPPORT = 0.15          # of the registered itemsets: low enough for sets of several items
 FP_PATTERN_WEIGHT = 100
 KMEANS_START_K = 20
 KMEANS_K_STEP = 5
@@ -134,5 +135,4 @@ HASH_SCALE = 4294967296.0       # 2^32: top 32 bits of md5 scaled to [0, 1)
 STREAM_WINDOW = "5 minutes"
 STREAM_SLIDE = "10 seconds"
 STREAM_TRIGGER = "10 seconds"
-STREAM_WATERMARK = "10 minutes"
 STREAM_PARTITIONS = 2

@@ -1,9 +1,11 @@
 """Broadcast only behind a size check.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of a side (a cheap
-limited job).  Within the bound the side is broadcast; beyond it the frame is
-returned unchanged and Spark plans a shuffle join (AQE may still switch to a
-broadcast at run time from real shuffle sizes).
+``bounded_broadcast`` counts the rows of a side (one partial row per task) and
+sums their bytes in the same aggregation.
+Within both bounds the side is broadcast; beyond them the frame is returned
+unchanged and Spark plans a shuffle join (AQE may still switch to a broadcast at
+run time from real shuffle sizes).  Callers pass sides that are cheap to compute
+twice, or written ones.
 """
 
 from __future__ import annotations
@@ -12,23 +14,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 100_000
+DEFAULT_MAX_BYTES = 64 << 20
+FIXED_BYTES = 16  # a number and its place in a row
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame):
+    """Bytes of a row as a column: texts by their length, arrays by their
+    elements, everything else as a number."""
+    size = F.lit(0)
+    for f in df.schema.fields:
+        kind, c = f.dataType.typeName(), F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind == "array":
+            text = f.dataType.elementType.typeName() in ("string", "binary")
+            size = size + F.coalesce(F.octet_length(F.array_join(c.cast("array<string>"), "")) + F.size(c) * 8
+                                     if text else F.size(c) * 8, F.lit(0))
+        size = size + FIXED_BYTES
+    return size
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """Whether a side has at most so many rows and bytes (one aggregation)."""
+    got = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("long"))).first()
+    return got[0] <= max_rows and (got[1] or 0) <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                      max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def bounded_values(df: DataFrame, column: str, max_rows: int = 1_000) -> list | None:
     """The distinct values of ``column`` when there are at most ``max_rows``
-    of them (checked with a limited count), else None: the caller then keeps
+    of them (checked with a count), else None: the caller then keeps
     its join-based path.  Kept small: every value becomes a literal of the
     plan."""
     d = df.select(column).distinct()
-    if not row_count_at_most(d, max_rows):
+    if d.count() > max_rows:
         return None
     return sorted(r[0] for r in d.collect() if r[0] is not None)
 
@@ -37,7 +60,7 @@ def join_small(big: DataFrame, small: DataFrame, key: str, how: str,
                max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Join with a small side: broadcast when a checked count proves it small;
     otherwise a shuffle join with hot keys of ``big`` salted (``skew.py``)."""
-    if max_rows > 0 and row_count_at_most(small, max_rows):
+    if max_rows > 0 and is_small(small, max_rows):
         return big.join(F.broadcast(small), key, how)
     from .skew import salted_join
     return salted_join(big, small, key, how)

@@ -54,11 +54,13 @@ def case_hashes(cases: DataFrame) -> DataFrame:
 def given_value(cases: DataFrame) -> DataFrame:
     """x = (md5(platform) % 10000 + 1000) + (md5(product) % 1000 + 100) +
     md5(series) % 100 + (1 / md5(customer) + 1); the last term is 1 in double
-    arithmetic, so x is a whole number."""
+    arithmetic, so x is a whole number.  A missing platform counts as the
+    default software, a missing product or series as the default hardware."""
     sw = T.null_default("platform", C.DEFAULT_SOFTWARE)
+    product, series = (T.null_default(c, C.DEFAULT_HARDWARE) for c in ("product", "series"))
     return cases.select(
         "case_id",
-        (md5_mod(sw, 10000) + 1000 + md5_mod("product", 1000) + 100 + md5_mod("series", 100))
+        (md5_mod(sw, 10000) + 1000 + md5_mod(product, 1000) + 100 + md5_mod(series, 100))
         .cast("double").__add__(F.lit(1.0)).alias("x"))
 
 

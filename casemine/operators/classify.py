@@ -44,9 +44,20 @@ def fit(tokens: DataFrame, labels: DataFrame, vocab_size: int, smoothing: float
     return classes, probs
 
 
-def predict_cases(tokens: DataFrame, classes: DataFrame, probs: DataFrame,
-                  class_values: list, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(case_id, prediction); ties go to the smaller label.
+MAX_CLASSES = 10_000  # classes become columns of the pivoted model
+
+
+def class_list(classes: DataFrame) -> list:
+    """The class labels in order, after a check that they are few."""
+    if classes.count() > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return [r["label"] for r in classes.select("label").orderBy("label").collect()]
+
+
+def predict_cases(tokens: DataFrame, classes: DataFrame, probs: DataFrame, class_values: list,
+                  cases: DataFrame | None = None) -> DataFrame:
+    """(case_id, prediction); ties go to the smaller label.  Cases of ``cases``
+    (case_id) without any token get the class of the largest prior.
 
     The classes are a bounded list, so the model is pivoted to one row per
     term with one gain column per class (log_prob - log_unseen).  Scoring is
@@ -59,10 +70,13 @@ def predict_cases(tokens: DataFrame, classes: DataFrame, probs: DataFrame,
     gains = probs.groupBy("term").pivot("label", class_values).agg(F.first("log_prob"))
     gains = gains.select(F.col("term").alias("token"), *[
         (F.col(f"`{c}`") - F.lit(unseen[c])).alias(f"g{i}") for i, c in enumerate(class_values)])
-    joined = join_small(tokens, gains, "token", "left", broadcast_rows)
+    joined = join_small(tokens, gains, "token", "left")
     per_case = joined.groupBy("case_id").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.coalesce(f"g{i}", F.lit(0.0))).alias(f"s{i}") for i in range(len(class_values))])
+    if cases is not None:
+        per_case = cases.select("case_id").distinct().join(per_case, "case_id", "left").na.fill(
+            0, ["n"]).na.fill(0.0, [f"s{i}" for i in range(len(class_values))])
     scores = F.array(*[F.struct(
         (F.lit(pri[c][0]) + F.col("n") * F.lit(unseen[c]) + F.col(f"s{i}")).alias("score"),
         F.lit(-c).alias("neg")) for i, c in enumerate(class_values)])

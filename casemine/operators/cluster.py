@@ -22,9 +22,15 @@ def points(given: DataFrame, y: DataFrame) -> DataFrame:
     return given.join(y.select("case_id", "y"), "case_id", "inner").select("case_id", "x", "y")
 
 
-def first_centres(pts: DataFrame, k: int) -> list[tuple[float, float]]:
-    """k starting centres: the points of the k smallest case keys (k rows)."""
-    return [(r["x"], r["y"]) for r in pts.orderBy("case_id").limit(k).select("x", "y").collect()]
+def product_centres(pts: DataFrame, cases: DataFrame, k: int) -> list[tuple[float, float]]:
+    """Centres from all points: the mean point of each of the k products with
+    most cases (ties by name), in the order of the names; rounded to 6 places
+    so that the order of summation doesn't show (k rows)."""
+    means = (pts.join(cases.select("case_id", F.coalesce("product", F.lit("")).alias("product")), "case_id")
+             .groupBy("product").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("x"), 6).alias("cx"),
+                                     F.round(F.avg("y"), 6).alias("cy"))
+             .orderBy(F.desc("n"), "product").limit(k).collect())
+    return [(r["cx"], r["cy"]) for r in sorted(means, key=lambda r: r["product"])]
 
 
 def nearest(x: Column, y: Column, centres: Sequence[tuple[float, float]]) -> Column:

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from ..functions.text import pack
 from .broadcast import bounded_broadcast
 
-DEFAULT_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+DEFAULT_SEGMENTS = ("AUTOMOBILE", "BUILDING", "MACHINERY")
+DEFAULT_CONDITIONS = ("AMERICA", "ASIA", "EUROPE")
 
 
 def date_prefix_filter(df: DataFrame, c: str, prefix: str):
@@ -32,26 +33,28 @@ def date_prefix_filter(df: DataFrame, c: str, prefix: str):
     typ = df.schema[c].dataType.simpleString()
     if typ in ("date", "timestamp", "timestamp_ntz") and prefix.isdigit() and len(prefix) <= 4:
         lo = int(prefix.ljust(4, "0"))
-        hi = int(str(int(prefix) + 1).ljust(4, "0"))
+        last = int(prefix.ljust(4, "9"))  # years 0999 and 10000 have no such string
         if lo >= 1000:
             cond = F.col(c) >= F.lit(f"{lo:04d}-01-01").cast(typ)
-            if hi <= 9999:
-                cond = cond & (F.col(c) < F.lit(f"{hi:04d}-01-01").cast(typ))
-            return cond
+            if last < 9999:
+                return cond & (F.col(c) < F.lit(f"{last + 1:04d}-01-01").cast(typ))
+            # beyond 9999 the string starts with a sign, so the text decides there
+            return cond & F.col(c).cast("string").startswith(prefix)
     return F.col(c).cast("string").startswith(prefix)
 
 
 def case_notes_extract(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                        nation: DataFrame, region: DataFrame, status: str = "O",
                        segments: Sequence[str] = DEFAULT_SEGMENTS,
-                       date_prefix: str = "199", dim_rows: int = 10_000) -> DataFrame:
+                       date_prefix: str = "199", conditions: Sequence[str] = DEFAULT_CONDITIONS,
+                       dim_rows: int = 10_000) -> DataFrame:
     o = (orders.where((F.col("o_orderstatus") == status)
                       & date_prefix_filter(orders, "o_orderdate", date_prefix))
          .select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"))
     c = (customer.where(F.col("c_mktsegment").isin(list(segments)))
          .select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
-    r = region.select(F.col("r_regionkey").alias("n_regionkey"))
+    r = region.where(F.col("r_name").isin(list(conditions))).select(F.col("r_regionkey").alias("n_regionkey"))
     owners = n.join(bounded_broadcast(r, dim_rows), "n_regionkey", "left_semi")
     sites = c.join(bounded_broadcast(owners, dim_rows), c.c_nationkey == owners.n_nationkey, "inner")
     case = o.join(sites, o.o_custkey == sites.c_custkey, "inner")

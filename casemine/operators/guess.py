@@ -36,15 +36,16 @@ def best_line(lines: Column, templates: Sequence[str], default: str) -> Column:
         F.struct(F.lit(0.0).alias("score"), F.lit(1).alias("neg_no"), F.lit(default).alias("line")))
 
 
-def guessed_lines(cases: DataFrame) -> DataFrame:
+def guessed_lines(cases: DataFrame, problem_templates: Sequence[str] = C.PROBLEM_TEMPLATES,
+                  solution_templates: Sequence[str] = C.SOLUTION_TEMPLATES) -> DataFrame:
     """case_id, problem, problem_score, solution, solution_score."""
     lines = cases.select("case_id", T.history_lines(F.col("history")).alias("lines"))
     regions = lines.select("case_id", T.leading_slice(F.col("lines")).alias("pl"),
                            T.trailing_slice(F.col("lines")).alias("sl"))
     best = regions.select(
         "case_id",
-        best_line(F.col("pl"), C.PROBLEM_TEMPLATES, C.UNKNOWN_PROBLEM).alias("p"),
-        best_line(F.col("sl"), C.SOLUTION_TEMPLATES, C.UNKNOWN_SOLUTION).alias("s"))
+        best_line(F.col("pl"), problem_templates, C.UNKNOWN_PROBLEM).alias("p"),
+        best_line(F.col("sl"), solution_templates, C.UNKNOWN_SOLUTION).alias("s"))
     return best.select(
         "case_id", F.col("p.line").alias("problem"), F.col("p.score").alias("problem_score"),
         F.col("s.line").alias("solution"), F.col("s.score").alias("solution_score"))

@@ -1,45 +1,42 @@
 """Weighted document vectors, LDA topics, frequent itemsets (Spark MLlib).
 
-Vectors: a binary CountVectorizer times the per-term weight
-(``ElementwiseProduct``); valid because a term's weight does not depend on the
-document.  The vocabulary and the weight vector are model parameters held by
-the driver, as Spark ML requires.  The case model uses the whole vocabulary
-(as the original); ``max_vocab`` can bound it to the most frequent terms.
+Vectors: the long form (case, term) is joined with the term ids and weights and
+folded into one sparse line per case in the libsvm text form, which Spark reads
+back as vectors in the JVM; neither vocabulary nor weights pass through the
+driver.  Topics: a saved EM model holds its term counts as a table with one row
+per term, from which the topic-term table is read, distributed.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.clustering import LDA
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct
 from pyspark.ml.fpm import FPGrowth
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-
-MAX_VOCAB = 1 << 18
-
-
-def weighted_vectors(arrays: DataFrame, weights: DataFrame, max_vocab: int = MAX_VOCAB,
-                     tokens_col: str = "tokens"):
-    """Binary term vectors of the ``max_vocab`` most frequent terms (pass the
-    vocabulary size for the whole vocabulary, as the original program uses),
-    fitted in the JVM so the vocabulary never crosses Py4J element by element,
-    scaled by the per-term weight.  Returns (vectors with ``features``,
-    vocabulary frame ``term_id, term``)."""
-    spark = arrays.sparkSession
-    cv = CountVectorizer(inputCol=tokens_col, outputCol="tf", binary=True, vocabSize=max_vocab).fit(arrays)
-    vocab = pd.DataFrame({"term_id": range(len(cv.vocabulary)), "term": cv.vocabulary})
-    vocab_df = spark.createDataFrame(vocab, "term_id long, term string")
-    w = (vocab_df.join(weights, "term", "left")
-         .select("term_id", F.coalesce("weight", F.lit(1.0)).alias("weight")).toPandas())
-    scale = np.ones(len(vocab))
-    scale[w["term_id"].to_numpy()] = w["weight"].to_numpy()
-    ep = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="tf", outputCol="features")
-    return ep.transform(cv.transform(arrays)).drop("tf"), vocab_df
+from ..session import drop_path, scratch_path
+from .skew import salted_join
+
+
+def weighted_vectors(corpus: DataFrame, vocabulary: DataFrame, weights: DataFrame, path: str) -> DataFrame:
+    """Sparse vectors (``features``) of the cases of ``corpus`` (case_id,
+    token): the weight of each of a case's terms at its term id.  ``path`` is
+    a scratch folder for the written vectors."""
+    spark = corpus.sparkSession
+    terms = (vocabulary.select("term", "term_id").join(weights, "term", "left")
+             .select(F.col("term").alias("token"), "term_id", F.coalesce("weight", F.lit(1.0)).alias("weight")))
+    size = vocabulary.agg(F.max("term_id")).first()[0]
+    entries = salted_join(corpus.select("case_id", "token"), terms.checkpoint(eager=True), "token")
+    pair = F.struct("term_id", "weight")
+    line = F.concat(F.lit("0"), F.array_join(F.transform(
+        F.array_sort(F.collect_set(pair)),
+        lambda p: F.concat(F.lit(" "), (p["term_id"] + 1).cast("string"), F.lit(":"), p["weight"].cast("string"))), ""))
+    entries.groupBy("case_id").agg(line.alias("value")).select("value").write.text(path)
+    return spark.read.format("libsvm").option("numFeatures", str((size if size is not None else -1) + 1)).load(path)
 
 
 def lda_priors(vocab_size: int, k: int = C.LDA_TOPICS) -> tuple[float, float]:
@@ -55,39 +52,41 @@ def fit_lda(docs: DataFrame, vocab_size: int, k: int = C.LDA_TOPICS,
     return lda.fit(docs)
 
 
-def topic_terms(model, vocab_df: DataFrame) -> DataFrame:
-    """(topic, term, weight) over the whole model vocabulary."""
-    desc = model.describeTopics(maxTermsPerTopic=model.vocabSize())
-    z = desc.select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("z"))
-    return z.select("topic", F.col("z.termIndices").cast("long").alias("term_id"),
-                    F.col("z.termWeights").alias("weight")) \
-        .join(vocab_df, "term_id").select("topic", "term", "weight")
-
-
-def persisted_ids(spark) -> set[int]:
-    return {int(k) for k in spark.sparkContext._jsc.getPersistentRDDs().keys()}
+def topic_terms(spark, path: str, vocabulary: DataFrame) -> DataFrame:
+    """(topic, term, weight) of a saved EM model: the term's count in the topic
+    over the topic's total.  The model's table has a row per document and, under
+    the id -(term id + 1), per term."""
+    data = f"{path}/oldModel/data"
+    totals = spark.read.parquet(f"{data}/globalTopicTotals").first()[0].toArray().tolist()  # a number per topic
+    counts = spark.read.parquet(f"{data}/topicCounts").where("id < 0").select(
+        (-F.col("id") - 1).alias("term_id"), F.posexplode(vector_to_array("topicWeights")).alias("topic", "n"))
+    total = F.array(*[F.lit(t) for t in totals])
+    return counts.join(vocabulary.select("term_id", "term"), "term_id").select(
+        "topic", "term", (F.col("n") / F.element_at(total, F.col("topic") + 1)).alias("weight"))
 
 
-def release_since(spark, before: set[int]) -> None:
-    """Unpersist the RDDs persisted after ``before`` was taken (the EM graph
-    of a fitted LDA stays cached as long as its model lives otherwise)."""
+def graph_ids(spark) -> dict:
+    """Persisted RDDs of graphs (an EM LDA model keeps its last ones)."""
     rdds = spark.sparkContext._jsc.getPersistentRDDs()
-    for k in list(rdds.keys()):
-        if int(k) not in before:
-            rdds[k].unpersist(False)
+    return {int(k): rdds[k] for k in list(rdds.keys()) if any(n in rdds[k].toString() for n in ("VertexRDD", "EdgeRDD"))}
 
 
-def lda_topics(docs: DataFrame, vocab_df: DataFrame, vocab_size: int, k: int = C.LDA_TOPICS,
-               iterations: int = C.LDA_ITERATIONS, seed: int = 7, optimizer: str = "em") -> DataFrame:
-    """Fit LDA and return its (topic, term, weight) table, written to the
-    checkpoint folder; the fit's cached graph and checkpoint files are released."""
+def lda_topics(docs: DataFrame, vocabulary: DataFrame, vocab_size: int, k: int = C.LDA_TOPICS,
+               iterations: int = C.LDA_ITERATIONS, seed: int = 7) -> DataFrame:
+    """Fit LDA (EM) and return its (topic, term, weight) table, written to the
+    checkpoint folder; the fit's graph and its files are released."""
     spark = docs.sparkSession
-    before = persisted_ids(spark)
-    model = fit_lda(docs, vocab_size, k, iterations, seed, optimizer)
-    topics = topic_terms(model, vocab_df).checkpoint(eager=True)
-    if hasattr(model, "deleteCheckpointFiles") and model.isDistributed():
-        model.deleteCheckpointFiles()
-    release_since(spark, before)
+    before = set(graph_ids(spark))
+    path = scratch_path(spark, f"lda-{uuid.uuid4().hex}")
+    model = fit_lda(docs, vocab_size, k, iterations, seed)
+    model.save(path)
+    topics = topic_terms(spark, path, vocabulary).checkpoint(eager=True)
+    for file in model.getCheckpointFiles():
+        drop_path(spark, file)
+    for key, rdd in graph_ids(spark).items():
+        if key not in before:
+            rdd.unpersist(False)
+    drop_path(spark, path)
     return topics
 
 

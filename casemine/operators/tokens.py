@@ -46,18 +46,21 @@ def owner_words(notes: DataFrame) -> DataFrame:
 
 
 def clean_tokens(cases: DataFrame, notes: DataFrame | None = None,
-                 extra_words: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """(case_id, token) pairs, each pair once.
+                 extra_words: DataFrame | None = None, keep: Sequence[str] = (),
+                 prefixes: Sequence[str] = C.DROP_PREFIXES) -> DataFrame:
+    """(case_id, token) pairs, each pair once; ``extra_words`` (word) and
+    tokens that start with one of ``prefixes`` are dropped too.
 
     ``cases`` is keyed by case_id (one row per case); with several rows per
     case (note-level input) use ``clean_tokens_by_case``.
     """
-    arrays, rest = clean_arrays(cases, notes, keep)
+    arrays, rest = clean_arrays(cases, notes, keep, prefixes)
     long = explode_tokens(arrays, keep)
     return drop_words(drop_words(long, rest), extra_words)
 
 
-def clean_arrays(cases: DataFrame, notes: DataFrame | None = None, keep: Sequence[str] = ()):
+def clean_arrays(cases: DataFrame, notes: DataFrame | None = None, keep: Sequence[str] = (),
+                 prefixes: Sequence[str] = C.DROP_PREFIXES):
     """(case_id, *keep, tokens) with the owner words removed inside the row
     when the owner list is proven small (checked count); otherwise the owner
     list is returned for an anti join on the long form."""
@@ -70,7 +73,7 @@ def clean_arrays(cases: DataFrame, notes: DataFrame | None = None, keep: Sequenc
             rest = owners
         else:
             dictionaries.append(values)
-    return corpus_arrays(cases, dictionaries, keep=keep), rest
+    return corpus_arrays(cases, dictionaries, prefixes, keep), rest
 
 
 def clean_tokens_by_case(note_rows: DataFrame, notes: DataFrame | None = None) -> DataFrame:

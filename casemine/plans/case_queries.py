@@ -20,8 +20,8 @@ def _sorted_join(c):
 @query("case_dimensions", f"""
 SELECT d.doc_id AS case_id, coalesce(d.source, {P.q(C.DEFAULT_CUSTOMER)}) AS customer,
        d.lang AS series, d.source AS product,
-       CASE WHEN lower(d.source) = {P.q(C.PLATFORM_UNSET)} THEN {P.q(C.PLATFORM_UNKNOWN)}
-            ELSE lower(d.source) END AS platform,
+       CASE WHEN lower({P.PLATFORM}) = {P.q(C.PLATFORM_UNSET)} THEN {P.q(C.PLATFORM_UNKNOWN)}
+            ELSE lower({P.PLATFORM}) END AS platform,
        array_to_string(list_sort(list_distinct(string_split(lower(
            coalesce(coalesce(d.lang, '') || '--' || coalesce(d.source, ''), {P.q(C.DEFAULT_CAUSE)})), '--'))),
            ' ') AS cause_words,
@@ -54,8 +54,9 @@ def case_hashes(spark, sf_dir):
 
 _GIVEN_SQL = f"""
 SELECT doc_id AS case_id,
-       cast({P.md5_mod("coalesce(source, " + P.q(C.DEFAULT_SOFTWARE) + ")", 10000)} + 1000
-            + {P.md5_mod("source", 1000)} + 100 + {P.md5_mod("lang", 100)} AS DOUBLE) + 1.0 AS x
+       cast({P.md5_mod(f"coalesce({P.PLATFORM}, {P.q(C.DEFAULT_SOFTWARE)})", 10000)} + 1000
+            + {P.md5_mod(f"coalesce(source, {P.q(C.DEFAULT_HARDWARE)})", 1000)} + 100
+            + {P.md5_mod(f"coalesce(lang, {P.q(C.DEFAULT_HARDWARE)})", 100)} AS DOUBLE) + 1.0 AS x
 FROM documents
 """
 

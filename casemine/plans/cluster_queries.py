@@ -1,5 +1,5 @@
-"""Cluster queries: points, assignment to the first k points as centres,
-cluster summary, the report and its text lines."""
+"""Cluster queries: points, assignment to centres made from all points (the
+mean point of each product), cluster summary, the report and its text lines."""
 
 from __future__ import annotations
 
@@ -25,8 +25,10 @@ def assigned_frame(spark, sf_dir):
 _POINTS = f"(SELECT g.case_id, g.x, y.y FROM ({_GIVEN_SQL}) g JOIN {_Y} y ON y.case_id = g.case_id)"
 _ASSIGNED = f"""
 (WITH p AS {_POINTS},
- c AS (SELECT row_number() OVER (ORDER BY case_id) - 1 AS cluster, x AS cx, y AS cy
-       FROM (SELECT * FROM p ORDER BY case_id LIMIT {K}) f),
+ m AS (SELECT coalesce(d.source, '') AS product, count(*) AS n, round(avg(x), 6) AS cx, round(avg(y), 6) AS cy
+       FROM p JOIN documents d ON d.doc_id = p.case_id GROUP BY 1),
+ c AS (SELECT row_number() OVER (ORDER BY product) - 1 AS cluster, cx, cy
+       FROM (SELECT * FROM m ORDER BY n DESC, product LIMIT {K}) f),
  d AS (SELECT p.case_id, p.x, p.y, c.cluster, (p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy) AS dist2
        FROM p, c)
  SELECT case_id, x, y, cluster, dist2 FROM (
@@ -61,8 +63,8 @@ _REPORT = f"""
  g AS {_GUESSED}
  SELECT keep.cluster, keep.x, keep.y, cast(keep.case_id AS VARCHAR) AS case_id,
         d.source AS customer, d.lang AS series, d.source AS product,
-        CASE WHEN lower(d.source) = {P.q(C.PLATFORM_UNSET)} THEN {P.q(C.PLATFORM_UNKNOWN)}
-             ELSE lower(d.source) END AS platform,
+        CASE WHEN lower({P.PLATFORM}) = {P.q(C.PLATFORM_UNSET)} THEN {P.q(C.PLATFORM_UNKNOWN)}
+             ELSE lower({P.PLATFORM}) END AS platform,
         list_min(list_filter(string_split(lower(coalesce(d.lang, '') || '--' || coalesce(d.source, '')), '--'),
                              lambda w: w <> '')) AS cause_word,
         list_min(list_filter({P.raw_tokens("string_split(d.text, chr(10))[1]")}, lambda w: w <> ''))

@@ -20,10 +20,10 @@ SELECT cast(l.l_orderkey AS VARCHAR) || '-' || cast(l.l_linenumber AS VARCHAR) A
        n.n_name AS owner
 FROM lineitem l, orders o, customer c, nation n
 WHERE o.o_orderstatus = 'O'
-  AND c.c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
+  AND c.c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY')
   AND cast(o.o_orderdate AS VARCHAR) LIKE '199%'
   AND l.l_orderkey = o.o_orderkey AND o.o_custkey = c.c_custkey AND c.c_nationkey = n.n_nationkey
-  AND n.n_regionkey IN (SELECT r_regionkey FROM region)
+  AND n.n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name IN ('AMERICA', 'ASIA', 'EUROPE'))
 """
 
 

@@ -1,34 +1,41 @@
 """Model queries: naive Bayes (closed form, SQL-checked), FP-growth itemsets,
-LDA topics and k-means clusters (seeded; checked by invariants in tests)."""
+LDA topics and k-means clusters (seeded; what they must satisfy by definition
+is checked by companion queries)."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import classify as NB
 from ..operators import cluster as CL
 from ..operators import mining as MN
+from ..session import scratch_path
 from ..sources import tables as S
+from ..sources.streams import file_stream
+from ..streaming import scoring as SC
 from . import sqlparts as P
 from .model import CaseModel
 from .registry import query
-from .term_queries import _FREQUENT, _ITEMS
+from .cluster_queries import _ASSIGNED, K
+from .term_queries import _ITEMS
 
 
 def _nb(spark, sf_dir):
     m = CaseModel(spark, sf_dir)
     labels = S.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("case_id"),
                                                       F.col("quality").alias("label"))
-    vocab_size = m.term_df.count()
-    classes, probs = NB.fit(m.corpus, labels, vocab_size)
-    return m, labels, classes, probs
+    classes, probs = NB.fit(m.corpus, labels, m.term_df.count())
+    return m, labels, classes.checkpoint(eager=True), probs.checkpoint(eager=True)
 
 
-_NB = f"""
+_NB_OF = f"""
 WITH tok AS {P.CLEAN_TOKENS},
  v AS (SELECT count(DISTINCT token) AS vsize FROM tok),
- lab AS (SELECT doc_id AS case_id, quality AS label FROM labels),
+ lab AS (LABELS),
  docs AS (SELECT label, count(*) AS docs FROM lab GROUP BY label),
  tot AS (SELECT sum(docs) AS n, count(*) AS c FROM docs),
  ncw AS (SELECT label, token AS term, count(*) AS n_cw FROM tok JOIN lab USING (case_id) GROUP BY ALL),
@@ -40,6 +47,7 @@ WITH tok AS {P.CLEAN_TOKENS},
  probs AS (SELECT ncw.label, term, ln(n_cw + {C.NB_SMOOTHING}) - ln(denom) AS log_prob
            FROM ncw JOIN classes USING (label))
 """
+_NB = _NB_OF.replace("LABELS", "SELECT doc_id AS case_id, quality AS label FROM labels")
 
 
 @query("nb_class_priors", _NB + """
@@ -58,8 +66,9 @@ def nb_term_log_probs(spark, sf_dir):
     return probs.select("label", "term", F.round("log_prob", 9).alias("log_prob"))
 
 
-_NB_PRED = _NB + """,
- ntok AS (SELECT case_id, count(*) AS n FROM tok GROUP BY case_id),
+_PREDICT = """,
+ ntok AS (SELECT d.doc_id AS case_id, count(tok.token) AS n
+          FROM documents d LEFT JOIN tok ON tok.case_id = d.doc_id GROUP BY d.doc_id),
  base AS (SELECT case_id, label, prior + n * (ln(1.0) - ln(denom)) AS base, ln(1.0) - ln(denom) AS lu
           FROM ntok, classes),
  seen AS (SELECT case_id, label, sum(log_prob) AS s_seen, count(*) AS k_seen
@@ -70,6 +79,7 @@ _NB_PRED = _NB + """,
             SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY score DESC, label) AS k FROM scored) z
           WHERE k = 1)
 """
+_NB_PRED = _NB + _PREDICT
 
 
 @query("nb_accuracy", _NB_PRED + """
@@ -79,15 +89,15 @@ FROM pred p JOIN lab l USING (case_id)
 """)
 def nb_accuracy(spark, sf_dir):
     m, labels, classes, probs = _nb(spark, sf_dir)
-    values = [r["label"] for r in classes.select("label").orderBy("label").collect()]
-    pred = NB.predict_cases(m.corpus, classes, probs, values)
+    pred = NB.predict_cases(m.corpus, classes, probs, NB.class_list(classes), m.cases)
     return NB.accuracy(pred, labels)
 
 
 _FP_SQL = f"""
 WITH RECURSIVE t AS (SELECT case_id, items FROM {_ITEMS} it),
- f1 AS (SELECT * FROM {_FREQUENT} fi),
- mc AS (SELECT ceil({C.FP_MIN_SUPPORT} * (SELECT count(*) FROM documents)) AS m),
+ f1 AS (SELECT item, count(*) AS support FROM (SELECT unnest(items) AS item FROM t) u GROUP BY item
+        HAVING count(*) >= ceil({C.FP_SETS_SUPPORT} * (SELECT count(*) FROM documents))),
+ mc AS (SELECT ceil({C.FP_SETS_SUPPORT} * (SELECT count(*) FROM documents)) AS m),
  sets(items, last, freq) AS (
    SELECT [item], item, support FROM f1
    UNION ALL
@@ -102,8 +112,8 @@ SELECT array_to_string(items, ' ') AS items, freq FROM sets
 
 @query("fp_growth_itemsets", _FP_SQL)
 def fp_growth_itemsets(spark, sf_dir):
-    """Frequent itemsets of the case items (Spark ML FP-growth, minSupport 0.25)."""
-    sets, _ = MN.fp_growth(CaseModel(spark, sf_dir).items)
+    """Frequent itemsets of the case items (Spark ML FP-growth)."""
+    sets, _ = MN.fp_growth(CaseModel(spark, sf_dir).items, C.FP_SETS_SUPPORT)
     return sets.select(F.array_join(F.array_sort("items"), " ").alias("items"), "freq")
 
 
@@ -121,42 +131,84 @@ def kmeans_clusters(spark, sf_dir):
     return CL.kmeans_assign(pts, model).select("case_id", "cluster", "dist2")
 
 
-_NB_PREDICTIONS_SQL = _NB_PRED + "SELECT case_id, prediction FROM pred"
+@query("lda_topic_checks", f"""
+SELECT topic, count(DISTINCT token) AS terms, 1.0::DOUBLE AS weight
+FROM {P.CLEAN_TOKENS} t, range(0, {C.LDA_TOPICS}) k(topic) GROUP BY topic
+""")
+def lda_topic_checks(spark, sf_dir):
+    """By definition every topic spreads a weight of 1 over the vocabulary."""
+    topics = CaseModel(spark, sf_dir).lda_topics
+    return topics.groupBy(F.col("topic").cast("long").alias("topic")).agg(
+        F.countDistinct("term").alias("terms"), F.round(F.sum("weight"), 6).alias("weight"))
 
 
-def _nb_model(spark, sf_dir):
-    m, labels, classes, probs = _nb(spark, sf_dir)
-    classes = classes.checkpoint(eager=True)
-    probs = probs.checkpoint(eager=True)
-    values = [r["label"] for r in classes.select("label").orderBy("label").collect()]
-    return m, classes, probs, values
+@query("kmeans_checks", f"""
+SELECT count(*) AS cases, count(DISTINCT doc_id) AS distinct_cases, count(*) AS in_range,
+       count(*) AS at_nearest, true AS cost_is_sum
+FROM documents
+""")
+def kmeans_checks(spark, sf_dir):
+    """By definition every case has one cluster in 0..k-1, its centre is the
+    nearest one, and the cost is the sum of squared distances."""
+    m = CaseModel(spark, sf_dir, centres="kmeans")
+    model, _, history = CL.choose_k(m.points)
+    mine = CL.kmeans_assign(m.points, model)
+    # distances to all k centres, computed apart from the assignment
+    centres = F.explode(F.array(*[F.struct(F.lit(float(c[0])).alias("x"), F.lit(float(c[1])).alias("y"))
+                                  for c in model.clusterCenters()]))
+    far = mine.withColumn("c", centres).groupBy("case_id", "cluster", "dist2").agg(
+        F.min((F.col("x") - F.col("c.x")) ** 2 + (F.col("y") - F.col("c.y")) ** 2).alias("least"))
+    return far.agg(F.count(F.lit(1)).alias("cases"), F.countDistinct("case_id").alias("distinct_cases"),
+                   F.count_if(F.col("cluster").between(0, K - 1)).alias("in_range"),
+                   F.count_if(F.abs(F.col("dist2") - F.col("least")) <= 1e-6).alias("at_nearest"),
+                   (F.abs(F.sum("dist2") - history[-1][1]) <= 1e-6 * (history[-1][1] + 1)).alias("cost_is_sum"))
+
+
+@query("case_report_lda_checks", """
+SELECT count(*) AS cases, 0::BIGINT AS singletons FROM documents
+""")
+def case_report_lda_checks(spark, sf_dir):
+    """By definition the report holds every case but those alone in their
+    cluster: reported and left-out cases add up, no reported cluster is one."""
+    m = CaseModel(spark, sf_dir, topics="lda", centres="kmeans")
+    sizes = m.report.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    alone = m.assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n = 1")
+    return sizes.select("n", (F.col("n") < 2).alias("one")).unionByName(alone.select("n", F.lit(False).alias("one"))) \
+        .agg(F.sum("n").alias("cases"), F.count_if("one").alias("singletons"))
+
+
+_NB_PREDICTIONS_SQL = _NB_PRED + "SELECT case_id, prediction FROM pred"
 
 
 @query("nb_predictions", _NB_PREDICTIONS_SQL)
 def nb_predictions(spark, sf_dir):
-    """Class of every case with terms, by the naive Bayes model of the labels."""
-    m, classes, probs, values = _nb_model(spark, sf_dir)
-    return NB.predict_cases(m.corpus, classes, probs, values)
+    """Class of every case, by the naive Bayes model of the labels."""
+    m, _, classes, probs = _nb(spark, sf_dir)
+    return NB.predict_cases(m.corpus, classes, probs, NB.class_list(classes), m.cases)
+
+
+@query("nb_cluster_predictions", _NB_OF.replace("LABELS", f"SELECT case_id, cluster AS label FROM {_ASSIGNED} a")
+       + _PREDICT + "SELECT case_id, prediction FROM pred")
+def nb_cluster_predictions(spark, sf_dir):
+    """Cases matched to the clusters: naive Bayes fitted on the clustered cases."""
+    m = CaseModel(spark, sf_dir)
+    labels = m.assigned.select("case_id", F.col("cluster").cast("long").alias("label"))
+    classes, probs = NB.fit(m.corpus, labels, m.term_df.count())
+    classes, probs = classes.checkpoint(eager=True), probs.checkpoint(eager=True)
+    return NB.predict_cases(m.corpus, classes, probs, NB.class_list(classes), m.cases)
 
 
 @query("stream_nb_predictions", _NB_PREDICTIONS_SQL)
 def stream_nb_predictions(spark, sf_dir):
     """The same cases arriving as a stream: cleaned on the stream and scored per
     micro-batch (must equal ``nb_predictions``)."""
-    import uuid
-
-    from ..session import scratch_path
-    from ..sources.streams import file_stream
-    from ..streaming import scoring as SC
-
-    m, classes, probs, values = _nb_model(spark, sf_dir)
+    m, _, classes, probs = _nb(spark, sf_dir)
     docs = S.table(spark, sf_dir, "documents")
-    stream = file_stream(spark, sf_dir, docs, glob="documents.parquet")
+    stream = file_stream(spark, os.path.join(sf_dir, "documents.parquet"), docs)
     cases = stream.select(F.col("doc_id").alias("case_id"), F.col("text").alias("history"))
     run_id = uuid.uuid4().hex[:12]
     out = scratch_path(spark, f"nb_predictions_{run_id}")
-    q = SC.run_scoring(SC.new_case_tokens(cases, m.notes), out,
-                       scratch_path(spark, f"nb_predictions_ckpt_{run_id}"), classes, probs, values)
+    q = SC.run_scoring(cases, m.notes, out, scratch_path(spark, f"nb_predictions_ckpt_{run_id}"), classes, probs)
     q.awaitTermination()
     return spark.read.parquet(out).select("case_id", "prediction")
 

@@ -1,13 +1,15 @@
 """The batch case job as a set of lazily built, reusable intermediates.
 
 Intermediates that several later steps read (the cleaned corpus, the guessed
-lines, the per-case items, the points) are checkpointed once to the shared
+lines, the per-case items, the points) are written once as tables of the shared
 checkpoint folder: the CPU-heavy text work runs once, lineage is cut, and a
-lost executor only costs re-reading the written files.
+lost executor only costs re-reading the written files.  ``release`` deletes them.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,24 +22,41 @@ from ..operators import guess as G
 from ..operators import mining as MN
 from ..operators import terms as TR
 from ..operators import tokens as TK
-from ..session import ensure_checkpoint_dir
+from ..session import drop_path, ensure_checkpoint_dir, scratch_path
 from ..sources import tables as S
-from ..sources.tables import spread
 
 
 class CaseModel:
     def __init__(self, spark: SparkSession, sf_dir: str, k: int = C.KMEANS_START_K + C.KMEANS_K_STEP,
-                 topics: str = "series", centres: str = "first", lda_iterations: int = C.LDA_ITERATIONS,
-                 y_mode: str = "correct"):
+                 topics: str = "series", centres: str = "product", lda_iterations: int = C.LDA_ITERATIONS,
+                 y_mode: str = "correct", extra_words: DataFrame | None = None,
+                 problem_templates: Sequence[str] = C.PROBLEM_TEMPLATES,
+                 solution_templates: Sequence[str] = C.SOLUTION_TEMPLATES):
         """topics: "series" (each product series is a topic; deterministic) or
         "lda" (EM LDA over weighted vectors, as the original program).
-        centres: "first" (the first k points) or "kmeans" (Spark ML k-means).
-        y_mode: "correct" or "compat" (the as-coded 101 * max(n, 1))."""
+        centres: "product" (the mean of all points of each product, for the k
+        products with most cases; deterministic) or "kmeans" (Spark ML k-means).
+        y_mode: "correct" or "compat" (the as-coded 101 * max(n, 1)).
+        extra_words, problem_templates, solution_templates: dictionaries beside
+        or in place of the built-in ones."""
         self.spark, self.sf_dir, self.k = spark, sf_dir, k
         self.topics, self.centres, self.lda_iterations = topics, centres, lda_iterations
         self.y_mode = y_mode
         self.kmeans_history: list[tuple[int, float]] = []
+        self.extra_words = extra_words
+        self.problem_templates, self.solution_templates = problem_templates, solution_templates
         ensure_checkpoint_dir(spark)
+        self.folder = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate to the shared folder and go on from there."""
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Delete what the model wrote; its frames can't be read any more."""
+        drop_path(self.spark, self.folder)
 
     @cached_property
     def cases(self) -> DataFrame:
@@ -53,10 +72,14 @@ class CaseModel:
         written once; both the long form and the ML vectors derive from it
         without a shuffle."""
         arrays, rest = TK.clean_arrays(self.cases, self.notes, keep=("series",))
-        if rest is not None:  # owner list too large for the row: join on the long form
+        if self.extra_words is not None:
+            rest = self.extra_words.select("word").unionByName(rest) if rest is not None else self.extra_words
+        if rest is not None:  # word lists too large for the row: join on the long form
             long = TK.drop_words(TK.explode_tokens(arrays, ("series",)), rest)
-            arrays = long.groupBy("case_id", "series").agg(F.collect_list("token").alias("tokens"))
-        return arrays.checkpoint(eager=True)
+            found = long.groupBy("case_id").agg(F.collect_list("token").alias("tokens"))
+            arrays = arrays.drop("tokens").join(found, "case_id", "left").withColumn(
+                "tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+        return self._keep(arrays, "corpus")
 
     @cached_property
     def corpus_s(self) -> DataFrame:
@@ -77,7 +100,7 @@ class CaseModel:
 
     @cached_property
     def guessed(self) -> DataFrame:
-        return G.guessed_lines(self.cases).checkpoint(eager=True)
+        return self._keep(G.guessed_lines(self.cases, self.problem_templates, self.solution_templates), "guessed")
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -90,12 +113,12 @@ class CaseModel:
     @cached_property
     def lda_topics(self) -> DataFrame:
         """(topic, term, weight) of the EM LDA over weighted case vectors."""
-        arrays = self.corpus_arrays.where(F.size("tokens") > 0).select("case_id", "tokens")
-        docs, vocab = MN.weighted_vectors(spread(arrays), self.weights,
-                                          max_vocab=max(1, self.term_df.count()))
-        docs = docs.select(F.col("case_id").alias("id"), "features").checkpoint(eager=True)
-        vocab = vocab.checkpoint(eager=True)
-        return MN.lda_topics(docs, vocab, vocab.count(), iterations=self.lda_iterations)
+        vocabulary = self._keep(self.vocabulary, "vocabulary")
+        path = f"{self.folder}/vectors"
+        docs = MN.weighted_vectors(self.corpus, vocabulary, self.weights, path)
+        topics = MN.lda_topics(docs, vocabulary, vocabulary.count(), iterations=self.lda_iterations)
+        drop_path(self.spark, path)
+        return topics
 
     @cached_property
     def topic_scores(self) -> DataFrame:
@@ -107,7 +130,7 @@ class CaseModel:
     def topic_top(self) -> DataFrame:
         """Top terms per topic (read by the hv set, its size check and the
         items): written once."""
-        return TR.topic_top_terms(self.topic_scores).checkpoint(eager=True)
+        return self._keep(TR.topic_top_terms(self.topic_scores), "topic_top")
 
     @cached_property
     def hv_terms(self) -> DataFrame:
@@ -115,7 +138,7 @@ class CaseModel:
 
     @cached_property
     def items(self) -> DataFrame:
-        return TR.case_items(self.corpus, self.hv_terms, self.cases).checkpoint(eager=True)
+        return self._keep(TR.case_items(self.corpus, self.hv_terms, self.cases), "items")
 
     @cached_property
     def frequent(self) -> DataFrame:
@@ -134,14 +157,14 @@ class CaseModel:
         y = self.y
         if self.y_mode == "compat":
             y = y.select("case_id", F.col("y_compat").alias("y"))
-        return CL.points(self.given, y).checkpoint(eager=True)
+        return self._keep(CL.points(self.given, y), "points")
 
     @cached_property
     def assigned(self) -> DataFrame:
         if self.centres == "kmeans":
             model, _, self.kmeans_history = CL.choose_k(self.points)
             return CL.kmeans_assign(self.points, model)
-        return CL.assign(self.points, CL.first_centres(self.points, self.k))
+        return CL.assign(self.points, CL.product_centres(self.points, self.cases, self.k))
 
     @cached_property
     def report(self) -> DataFrame:

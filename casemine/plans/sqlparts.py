@@ -38,6 +38,9 @@ def rule_flags(w: str, prefixes=C.DROP_PREFIXES) -> dict[str, str]:
     return flags
 
 
+# the platform of a case: one source of the documents has none set
+PLATFORM = "CASE WHEN source = 'src13' THEN 'Please specify' ELSE source END"
+
 FIXED_WORDS = sorted(set(C.STOP_WORDS) | set(C.DOMAIN_STOP_WORDS) | set(C.NAMES_AND_MONTHS))
 
 

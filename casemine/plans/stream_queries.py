@@ -1,24 +1,27 @@
 """Streaming queries: sliding-window word counts as a batch plan and as a
-Structured Streaming query (replayed from the events table) whose upserted
-result must equal the batch one."""
+Structured Streaming query (replayed from the events or conversations table)
+whose summed log must equal the batch result."""
 
 from __future__ import annotations
 
+import os
 import uuid
 
-from .. import config as C
 from ..session import scratch_path
 from ..sources import tables as S
 from ..sources.streams import file_stream
-from ..streaming import sinks as SK
 from ..streaming import windows as W
+from ..streaming.job import counts_log, run_counts
 from .registry import query
 
 _SLIDE_US = 10_000_000
 _N_WINDOWS = 30  # 5 minutes / 10 seconds
 
-_WINDOW_SQL = f"""
-WITH w AS (SELECT ts, unnest(string_split(event_type, ' ')) AS word FROM events),
+
+def _window_sql(words: str) -> str:
+    """Every word of a line in every window that covers its time."""
+    return f"""
+WITH w AS ({words}),
 x AS (SELECT word, make_timestamp(((epoch_us(ts) // {_SLIDE_US}) - k) * {_SLIDE_US}) AS window_start
       FROM w, range(0, {_N_WINDOWS}) r(k))
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, word, count(*) AS count
@@ -26,29 +29,37 @@ FROM x GROUP BY window_start, word
 """
 
 
-@query("window_word_counts", _WINDOW_SQL)
-def window_word_counts(spark, sf_dir):
-    lines = W.event_lines(S.table(spark, sf_dir, "events"))
-    return W.flatten(W.sliding_counts(W.words(lines)))
+_EVENTS_SQL = _window_sql("SELECT ts, unnest(string_split(event_type, ' ')) AS word FROM events")
+_NOTES_SQL = _window_sql("SELECT make_timestamp((conv_id * 60 + turn * 10) * 1000000) AS ts, "
+                         "unnest(string_split(text, ' ')) AS word FROM conversations")
 
 
-def run_stream_counts(spark, source, out: str, checkpoint: str, trigger: dict | None = None,
-                      watermark: str = C.STREAM_WATERMARK):
-    """Start the streaming count into the keyed log sink; returns the query."""
-    counts = W.sliding_counts(W.words(W.event_lines(source)), watermark=watermark)
-    return (counts.writeStream.outputMode("update")
-            .foreachBatch(SK.keyed_log_sink(out, ["window", "word"]))
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .start())
+def _streamed(spark, sf_dir, name: str, to_lines):
+    """Replay a table (one file or a folder of part files) through the stream
+    and read the summed log back as windows."""
+    source = file_stream(spark, os.path.join(sf_dir, f"{name}.parquet"), S.table(spark, sf_dir, name))
+    run_id = uuid.uuid4().hex[:12]
+    out = scratch_path(spark, f"window_counts_{run_id}")
+    run_counts(to_lines(source), out, scratch_path(spark, f"window_counts_ckpt_{run_id}")).awaitTermination()
+    return W.flatten(W.windows_of(counts_log(out).read(spark)))
+
+
+@query("window_word_counts", _EVENTS_SQL)
+def window_word_counts(spark, sf_dir):
+    return W.flatten(W.sliding_counts(W.words(W.event_lines(S.table(spark, sf_dir, "events")))))
 
 
-@query("stream_window_word_counts", _WINDOW_SQL)
+@query("stream_window_word_counts", _EVENTS_SQL)
 def stream_window_word_counts(spark, sf_dir):
-    events = S.table(spark, sf_dir, "events")
-    src = file_stream(spark, sf_dir, events, glob="events.parquet")
-    run_id = uuid.uuid4().hex[:12]
-    out = scratch_path(spark, f"window_counts_{run_id}")
-    q = run_stream_counts(spark, src, out, scratch_path(spark, f"window_counts_ckpt_{run_id}"))
-    q.awaitTermination()
-    return W.flatten(SK.read_latest(spark, out, ["window", "word"]))
+    return _streamed(spark, sf_dir, "events", W.event_lines)
+
+
+@query("note_window_word_counts", _NOTES_SQL)
+def note_window_word_counts(spark, sf_dir):
+    """Lines of several words: the turns of conversations."""
+    return W.flatten(W.sliding_counts(W.words(W.note_lines(S.table(spark, sf_dir, "conversations")))))
+
+
+@query("stream_note_window_word_counts", _NOTES_SQL)
+def stream_note_window_word_counts(spark, sf_dir):
+    return _streamed(spark, sf_dir, "conversations", W.note_lines)

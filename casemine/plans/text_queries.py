@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import tokens as TK
 from ..operators import wordcount as WC
+from ..session import scratch_path
 from ..sources import tables as S
+from ..sources.dictionary import read_word_list
 from . import sqlparts as P
 from .registry import query
 
@@ -87,3 +91,23 @@ def note_corpus_term_df(spark, sf_dir):
     notes = S.notes(spark, sf_dir)
     rows = S.spread(notes).select("case_id", F.col("text").alias("history"))
     return TK.term_document_frequency(TK.clean_tokens_by_case(rows, notes))
+
+
+_MORE_PREFIXES = ["re", "un"]
+
+
+@query("clean_tokens_more_filters", f"""
+SELECT case_id, token FROM {P.CLEAN_TOKENS} t
+WHERE NOT (starts_with(token, 're') OR starts_with(token, 'un'))
+  AND token NOT IN (SELECT DISTINCT trim(unnest(string_split(lower(text), chr(10)))) FROM benchmark)
+  AND token NOT IN (SELECT DISTINCT unnest(string_split(lower(text), ' ')) FROM benchmark)
+""")
+def clean_tokens_more_filters(spark, sf_dir):
+    """Clean tokens without those of a dictionary file (one word per line,
+    written from the benchmark's words) and of two more prefixes."""
+    path = scratch_path(spark, f"dictionary-{uuid.uuid4().hex}")
+    lines = S.table(spark, sf_dir, "benchmark").select(F.explode(F.flatten(F.array(
+        F.split("text", "\n"), F.split("text", " ")))).alias("value"))
+    lines.where(~F.col("value").contains("\n")).write.text(path)
+    return TK.clean_tokens(S.cases(spark, sf_dir), S.notes(spark, sf_dir), read_word_list(spark, path),
+                           prefixes=[*C.DROP_PREFIXES, *_MORE_PREFIXES])

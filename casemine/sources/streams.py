@@ -12,17 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def kafka_options(brokers: str, topic: str, starting: str = "earliest",
-                  group_id: str | None = None) -> dict[str, str]:
+def kafka_options(brokers: str, topic: str, starting: str = "earliest", group_id: str | None = None,
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
     opts = {"kafka.bootstrap.servers": brokers, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
     if group_id:
         opts["kafka.group.id"] = group_id
     return opts
 
 
-def kafka_lines(spark: SparkSession, brokers: str, topic: str, starting: str = "earliest") -> DataFrame:
-    raw = spark.readStream.format("kafka").options(**kafka_options(brokers, topic, starting)).load()
+def kafka_lines(spark: SparkSession, brokers: str, topic: str, starting: str = "earliest",
+                group_id: str | None = None, fail_on_data_loss: bool = True) -> DataFrame:
+    """Message values as lines.  Offsets that are gone from the topic fail the
+    query unless ``fail_on_data_loss`` is lifted."""
+    raw = spark.readStream.format("kafka").options(
+        **kafka_options(brokers, topic, starting, group_id, fail_on_data_loss)).load()
     return raw.select(F.col("timestamp").alias("ts"), F.col("value").cast("string").alias("value"),
                       "partition", "offset")
 
@@ -37,13 +41,15 @@ def publish(df: DataFrame, brokers: str, topic: str) -> None:
         .write.format("kafka").options(**kafka_write_options(brokers, topic)).save()
 
 
-def file_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = None,
-                glob: str | None = None) -> DataFrame:
-    """Parquet files in the directory ``path`` (optionally only names matching
-    ``glob``) as a stream with the schema of ``like``."""
+def file_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = None) -> DataFrame:
+    """A parquet table (a file or a folder of part files) as a stream with the
+    schema of ``like``."""
     r = spark.readStream.schema(like.schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if "*" not in path and fs.exists(at) and not fs.getFileStatus(at).isDirectory():
+        # a stream watches folders: this one, for this name
+        return r.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
     return r.parquet(path)

@@ -4,7 +4,8 @@ Case model (one row per case):
     case_id, customer, series, product, platform, cause, history, title
 built from ``documents``:
     case_id = doc_id, history = text, series = lang, product = customer =
-    platform = source, cause = lang || '--' || source, title = first line of text.
+    platform = source (one source has an unset platform), cause = lang || '--' ||
+    source, title = first line of text.
 Note log (many rows per case) from ``conversations``:
     case_id = conv_id, note = turn, owner = role, text = text.
 """
@@ -36,11 +37,7 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    for name in TABLES:
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            table(spark, sf_dir, name).createOrReplaceTempView(name)
+UNSET_PLATFORM_SOURCE = "src13"  # a source whose cases say "Please specify"
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +47,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("customer"),
         F.col("lang").alias("series"),
         F.col("source").alias("product"),
-        F.col("source").alias("platform"),
+        F.when(F.col("source") == UNSET_PLATFORM_SOURCE, "Please specify").otherwise(F.col("source")).alias("platform"),
         pack("lang", "source").alias("cause"),
         F.col("text").alias("history"),
         F.split(F.col("text"), "\n").getItem(0).alias("title"),

@@ -1,5 +1,5 @@
-"""The streaming word-count job: message lines -> words -> counts per sliding
-event-time window -> console and/or the idempotent keyed sink.
+"""The streaming word-count job: message lines -> words -> counts per pane ->
+idempotent keyed log (read back as sliding windows) and/or the console.
 
     python -m casemine.streaming.job --source kafka --brokers b:9092 --topic t \
         --out /shared/counts --checkpoint /shared/ckpt/counts
@@ -10,17 +10,41 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from .. import config as C
 from ..session import get_session
-from ..sources.streams import kafka_lines
+from ..sources.streams import file_stream, kafka_lines
 from . import sinks as SK
 from . import windows as W
 
 
-def build_counts(lines, watermark: str = C.STREAM_WATERMARK):
-    return W.sliding_counts(W.words(lines), watermark=watermark)
+def counts_log(path: str) -> SK.KeyedLog:
+    """The log of pane counts; ``W.windows_of`` turns its rows into windows."""
+    return SK.KeyedLog(path, W.PANE_KEYS, W.PANE_SCHEMA, fold=SK.added)
+
+
+def run_counts(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None, console: bool = False,
+               compact_every: int = 100, partitions: int | None = None):
+    """Start counting ``lines`` (ts, value); returns the query.  Every
+    ``compact_every`` batches the finished ones are folded into a snapshot."""
+    log = counts_log(out)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        panes = W.pane_counts(W.words(batch))
+        if partitions:
+            panes = panes.coalesce(partitions)
+        if console:
+            panes = panes.persist()
+            SK.console_batch(W.windows_of(panes), batch_id)
+        log.write(panes, batch_id)
+        if console:
+            panes.unpersist()
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            log.compact(batch.sparkSession, batch_id - 1)  # this batch may still be replayed
+
+    return (lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def main() -> None:
@@ -28,28 +52,28 @@ def main() -> None:
     ap.add_argument("--source", choices=["kafka", "files"], default="kafka")
     ap.add_argument("--brokers")
     ap.add_argument("--topic")
-    ap.add_argument("--path", help="directory of event parquet files (ts, event_type)")
+    ap.add_argument("--group-id")
+    ap.add_argument("--starting", default="earliest", help="starting offsets of a new query")
+    ap.add_argument("--skip-lost-offsets", action="store_true",
+                    help="go on when offsets are gone from the topic instead of failing")
+    ap.add_argument("--path", help="event parquet table (ts, event_type)")
+    ap.add_argument("--files-per-trigger", type=int)
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--trigger", default=C.STREAM_TRIGGER)
+    ap.add_argument("--partitions", type=int, default=C.STREAM_PARTITIONS, help="files a batch writes")
+    ap.add_argument("--compact-every", type=int, default=100, help="batches between snapshots, 0 for none")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--once", action="store_true", help="process what is available and stop")
     a = ap.parse_args()
     spark = get_session(app="casemine-stream")
     if a.source == "kafka":
-        lines = kafka_lines(spark, a.brokers, a.topic).select("ts", "value")
+        lines = kafka_lines(spark, a.brokers, a.topic, a.starting, a.group_id,
+                            fail_on_data_loss=not a.skip_lost_offsets).select("ts", "value")
     else:
-        sample = spark.read.parquet(a.path)
-        lines = W.event_lines(spark.readStream.schema(sample.schema).parquet(a.path))
-    counts = build_counts(lines)
+        lines = W.event_lines(file_stream(spark, a.path, spark.read.parquet(a.path), a.files_per_trigger))
     trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
-    q = (counts.writeStream.outputMode("update")
-         .foreachBatch(SK.keyed_log_sink(a.out, ["window", "word"]))
-         .option("checkpointLocation", a.checkpoint).trigger(**trigger).start())
-    if a.console:
-        SK.console(counts.select("window", "word", F.col("count")), mode="update",
-                   trigger=trigger, checkpoint=a.checkpoint + "-console").start()
-    q.awaitTermination()
+    run_counts(lines, a.out, a.checkpoint, trigger, a.console, a.compact_every, a.partitions).awaitTermination()
 
 
 if __name__ == "__main__":

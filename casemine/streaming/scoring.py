@@ -1,10 +1,9 @@
 """Clean new cases on a stream and match them to classes with a fitted naive
 Bayes model.
 
-Cleaning is stateless column work on the stream (the owner word list is a
-static side of a stream-static anti join).  A case arrives whole in one row,
-so its score is complete inside the micro-batch: scoring runs per batch in
-``foreachBatch`` with the batch DataFrame API and writes the partition
+A case arrives whole in one row, so it is cleaned and scored inside its
+micro-batch with the batch DataFrame API (``foreachBatch``); the batch's tokens
+are kept while the scoring joins read them.  The output goes to the partition
 ``batch_id=<id>`` with dynamic overwrite (a replayed batch replaces its own
 output).
 """
@@ -18,24 +17,26 @@ from ..operators import classify as NB
 from ..operators import tokens as TK
 
 
-def new_case_tokens(cases_stream: DataFrame, notes: DataFrame | None = None) -> DataFrame:
-    """(case_id, token) of cases arriving on a stream (cleaning only)."""
-    return TK.clean_tokens(cases_stream, notes)
+def prediction_sink(path: str, notes: DataFrame | None, classes: DataFrame, probs: DataFrame):
+    values = NB.class_list(classes)
 
-
-def prediction_sink(path: str, classes: DataFrame, probs: DataFrame, class_values: list):
     def write(batch: DataFrame, batch_id: int) -> None:
-        pred = NB.predict_cases(batch, classes, probs, class_values)
+        cases = batch.persist()
+        tokens = TK.clean_tokens(cases, notes).persist()
+        pred = NB.predict_cases(tokens, classes, probs, values, cases)
         (pred.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(path))
+        tokens.unpersist()
+        cases.unpersist()
     return write
 
 
-def run_scoring(tokens_stream: DataFrame, path: str, checkpoint: str, classes: DataFrame,
-                probs: DataFrame, class_values: list, trigger: dict | None = None):
-    return (tokens_stream.writeStream
-            .foreachBatch(prediction_sink(path, classes, probs, class_values))
+def run_scoring(cases_stream: DataFrame, notes: DataFrame | None, path: str, checkpoint: str,
+                classes: DataFrame, probs: DataFrame, trigger: dict | None = None):
+    """Score cases (case_id, history) as they arrive."""
+    return (cases_stream.writeStream
+            .foreachBatch(prediction_sink(path, notes, classes, probs))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start())

@@ -1,55 +1,110 @@
 """Streaming sinks.
 
-* ``console``: print each micro-batch (smoke only).
-* ``keyed_log_sink``: keyed upsert by ``foreachBatch``.  Every micro-batch
-  writes its rows into the partition ``batch_id=<id>`` of a parquet table with
-  dynamic partition overwrite, so a replayed batch (after a failure) replaces
-  exactly its own output: the sink is idempotent.  ``read_latest`` resolves
-  the newest row per key, which is the upsert result; the log can be
-  compacted with ``compact``.
+* ``console_batch``: print a micro-batch (smoke only).
+* ``KeyedLog``: a keyed table written by ``foreachBatch``.  Every micro-batch
+  writes its rows into ``log/batch_id=<id>`` with dynamic partition overwrite,
+  so a replayed batch (after a failure) replaces exactly its own output: the
+  sink is idempotent.  Reading folds snapshot and newer batches per key: the
+  newest row (``latest``, an upsert) or the sum (``added``).  ``compact`` folds
+  everything up to a batch into a snapshot and removes what it replaces.
 * ``offset_ranges``: per-partition first/last offset and record count of a
   batch read from a partitioned log such as Kafka.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def console(df: DataFrame, mode: str = "update", trigger: dict | None = None, checkpoint: str | None = None):
-    w = df.writeStream.format("console").outputMode(mode).option("truncate", "false")
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w
+def console_batch(batch: DataFrame, batch_id: int, rows: int = 20) -> None:
+    print(f"batch {batch_id}")
+    batch.show(rows, truncate=False)
 
 
-def keyed_log_sink(path: str, keys: Sequence[str]):
-    """foreachBatch function writing an idempotent keyed change log at ``path``."""
-    keys = list(keys)
+def latest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For every key the row of the newest batch."""
+    values = [c for c in log.columns if c not in {*keys, "batch_id"}]
+    return log.groupBy(*keys).agg(F.max_by(F.struct(*values, "batch_id"), "batch_id").alias("_v")) \
+        .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in [*values, "batch_id"]])
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+
+def added(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For every key the sums over all batches."""
+    values = [c for c in log.columns if c not in {*keys, "batch_id"}]
+    return log.groupBy(*keys).agg(*[F.sum(c).cast(dict(log.dtypes)[c]).alias(c) for c in values],
+                                  F.max("batch_id").alias("batch_id"))
+
+
+class KeyedLog:
+    def __init__(self, path: str, keys: Sequence[str], schema: str, fold: Callable = latest):
+        """``schema``: DDL of the rows, keys included, batch_id not."""
+        self.path, self.keys, self.schema, self.fold = path, list(keys), schema, fold
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """The foreachBatch function."""
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
-    write.keys = keys  # type: ignore[attr-defined]
-    return write
+         .partitionBy("batch_id").parquet(f"{self.path}/log"))
+
+    def _fs(self, spark: SparkSession):
+        jvm = spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        return root.getFileSystem(spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+    def _numbers(self, spark: SparkSession, folder: str, name: str) -> list[int]:
+        """The values of the partition folders ``name=<n>`` of a folder."""
+        fs, path = self._fs(spark)
+        at = path(f"{self.path}/{folder}")
+        if not fs.exists(at):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(at)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))
 
+    def _snapshot(self, spark: SparkSession) -> int:
+        """The newest complete snapshot's last batch, -1 without one."""
+        fs, path = self._fs(spark)
+        done = [n for n in self._numbers(spark, "snapshots", "through")
+                if fs.exists(path(f"{self.path}/snapshots/through={n}/_SUCCESS"))]
+        return max(done, default=-1)
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The upserted table: for every key the row of the newest batch."""
-    log = spark.read.parquet(path)
-    values = [c for c in log.columns if c not in set(keys) | {"batch_id"}]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    def _rows(self, spark: SparkSession, through: int | None = None) -> DataFrame:
+        schema = f"{self.schema}, batch_id long"
+        snap = self._snapshot(spark)
+        out = spark.createDataFrame([], schema)
+        if snap >= 0:
+            out = out.unionByName(spark.read.schema(schema).parquet(f"{self.path}/snapshots/through={snap}"))
+        newer = [n for n in self._numbers(spark, "log", "batch_id") if n > snap and (through is None or n <= through)]
+        if newer:
+            parts = [f"{self.path}/log/batch_id={n}" for n in newer]
+            out = out.unionByName(spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*parts))
+        return out
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The folded table; empty before the first batch."""
+        return self.fold(self._rows(spark), self.keys).drop("batch_id")
 
-def compact(spark: SparkSession, path: str, out: str, keys: Sequence[str]) -> None:
-    read_latest(spark, path, keys).write.mode("overwrite").parquet(out)
+    def compact(self, spark: SparkSession, through: int | None = None) -> int:
+        """Fold all batches up to ``through`` (default: the newest) into one
+        snapshot, then remove the batches and snapshots it replaces.  A reader
+        sees the old or the new snapshot; a crash in between leaves both."""
+        before = self._snapshot(spark)
+        batches = self._numbers(spark, "log", "batch_id")
+        through = max(batches, default=-1) if through is None else through
+        if through <= before:
+            return before
+        self.fold(self._rows(spark, through), self.keys).write.mode("overwrite").parquet(
+            f"{self.path}/snapshots/through={through}")
+        fs, path = self._fs(spark)
+        for n in batches:
+            if n <= through:
+                fs.delete(path(f"{self.path}/log/batch_id={n}"), True)
+        for n in self._numbers(spark, "snapshots", "through"):
+            if n < through:
+                fs.delete(path(f"{self.path}/snapshots/through={n}"), True)
+        return through
 
 
 def offset_ranges(batch: DataFrame, partition: str = "partition", offset: str = "offset") -> DataFrame:

@@ -1,12 +1,11 @@
-"""Sliding-window word counts: the same DataFrame plan runs as a batch job and
-as a Structured Streaming query.
-
-Lines are split on single spaces into words; words are counted per
-(event-time window of 5 minutes sliding every 10 seconds, word).  On a stream
-a watermark bounds the state: events later than the watermark are dropped,
-windows whose end passed the watermark are evicted.  Windows are event time
-(the original counted by arrival time and kept zero counts; we emit no zero
-rows).
+"""Sliding-window word counts from pane counts.
+
+Lines are split on single spaces into words.  Words are counted once per pane
+(the slide, 10 seconds) and word; a window (5 minutes) is the sum of the 30
+panes it covers.  Pane counts are additive, so a stream only has to add up what
+its micro-batches wrote: there is no state and no watermark, and no row is
+dropped for being late.  Windows are event time (the original counted by arrival
+time and kept zero counts; we emit no zero rows).
 """
 
 from __future__ import annotations
@@ -16,6 +15,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 
+PANE_KEYS = ["pane", "word"]
+PANE_SCHEMA = "pane timestamp, word string, count long"
+
 
 def event_lines(events: DataFrame) -> DataFrame:
     """(ts timestamp, value string): an event becomes a one-line message
@@ -24,16 +26,36 @@ def event_lines(events: DataFrame) -> DataFrame:
                          F.col("event_type").alias("value"))
 
 
+def note_lines(conversations: DataFrame) -> DataFrame:
+    """(ts, value): a conversation turn as a message of several words.  Turns
+    carry no time; conversation n starts n minutes after the epoch, with ten
+    seconds a turn."""
+    return conversations.select(
+        F.timestamp_seconds(F.col("conv_id") * 60 + F.col("turn") * 10).alias("ts"), F.col("text").alias("value"))
+
+
 def words(lines: DataFrame, value: str = "value", ts: str = "ts") -> DataFrame:
     return lines.select(F.col(ts).alias("ts"), F.explode(F.split(F.col(value), " ")).alias("word"))
 
 
-def sliding_counts(w: DataFrame, window: str = C.STREAM_WINDOW, slide: str = C.STREAM_SLIDE,
-                   watermark: str | None = None) -> DataFrame:
-    if watermark:
-        w = w.withWatermark("ts", watermark)
-    return w.groupBy(F.window("ts", window, slide).alias("window"), "word") \
-        .agg(F.count(F.lit(1)).alias("count"))
+def pane_counts(w: DataFrame, slide: str = C.STREAM_SLIDE) -> DataFrame:
+    """(pane, word, count): words per slide interval, named by its start."""
+    return w.groupBy(F.window("ts", slide).alias("_p"), "word").agg(F.count(F.lit(1)).alias("count")) \
+        .select(F.col("_p.start").alias("pane"), "word", "count")
+
+
+def windows_of(panes: DataFrame, window: str = C.STREAM_WINDOW, slide: str = C.STREAM_SLIDE) -> DataFrame:
+    """(window, word, count): sum of the panes of every window that has any."""
+    first = F.col("pane") - F.expr(f"INTERVAL {window}") + F.expr(f"INTERVAL {slide}")
+    start = F.explode(F.sequence(first, F.col("pane"), F.expr(f"INTERVAL {slide}")))
+    return (panes.select(start.alias("start"), "word", "count").groupBy("start", "word")
+            .agg(F.sum("count").cast("long").alias("count"))
+            .select(F.struct("start", (F.col("start") + F.expr(f"INTERVAL {window}")).alias("end")).alias("window"),
+                    "word", "count"))
+
+
+def sliding_counts(w: DataFrame, window: str = C.STREAM_WINDOW, slide: str = C.STREAM_SLIDE) -> DataFrame:
+    return windows_of(pane_counts(w, slide), window, slide)
 
 
 def flatten(counts: DataFrame) -> DataFrame:

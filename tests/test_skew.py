@@ -1,6 +1,7 @@
 """A term held by a third of all rows: it is detected as hot and its rows are
 spread over several join tasks (salting); results equal the plain join."""
 
+from casemine.operators import broadcast as BC
 from casemine.operators import classify as NB
 from casemine.operators import skew as SK
 
@@ -11,22 +12,30 @@ def fixture(spark, n=30000):
 
 
 def rows(df):
-    return sorted(map(tuple, df.collect()))
+    return sorted(map(tuple, df.collect()), key=str)
 
 
 def test_hot_key_detection(spark):
-    assert SK.hot_keys(fixture(spark), "token", partitions=8) == ["hot"]
+    assert SK.hot_keys(fixture(spark), "token", partitions=8) == {"hot": 3}
+    assert SK.hot_keys(fixture(spark), "token", partitions=200) == {"hot": 67}  # its share of 200 tasks
 
 
 def test_salted_join_equals_plain_join(spark):
     big = fixture(spark)
     small = spark.createDataFrame([("hot", 1.0), ("t1", 2.0), ("zz", 3.0)], "token string, v double")
     for how in ("inner", "left", "left_semi", "left_anti"):
-        salted = SK.salted_join(big, small, "token", how, salts=8, hot=["hot"])
+        salted = SK.salted_join(big, small, "token", how, hot={"hot": 8})
         assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
         assert rows(salted) == rows(big.join(small, "token", how)), how
 
 
+def test_big_side_of_keys_only(spark):
+    big = fixture(spark, 3000).select("token")
+    small = spark.createDataFrame([("hot", 1.0), ("t1", 2.0), ("zz", 3.0)], "token string, v double")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(SK.salted_join(big, small, "token", how, hot={"hot": 7})) == rows(big.join(small, "token", how)), how
+
+
 def test_hot_rows_spread_over_tasks(spark):
     from pyspark.sql import functions as F
     confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -41,17 +50,24 @@ def test_hot_rows_spread_over_tasks(spark):
         def biggest_task(df):
             return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
         plain = biggest_task(big.join(small, "token"))
-        salted = biggest_task(SK.salted_join(big, small, "token", "inner", salts=8, hot=["hot"]))
+        salted = biggest_task(SK.salted_join(big, small, "token", "inner", hot={"hot": 8}))
         assert plain >= 10000 and salted <= plain / 2
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
 
 
-def test_naive_bayes_shuffle_path_with_hot_term(spark):
+def test_size_check_in_one_aggregation(spark):
+    small = fixture(spark, 100)
+    assert BC.is_small(small, 100) and not BC.is_small(small, 99) and not BC.is_small(small, 100, max_bytes=1000)
+    wide = spark.createDataFrame([(1, ["x" * 1000] * 50)], "id long, words array<string>")
+    assert not BC.is_small(wide, 10, max_bytes=40_000) and BC.is_small(wide, 10, max_bytes=60_000)
+
+
+def test_naive_bayes_shuffle_path_with_hot_term(spark, monkeypatch):
     tokens = fixture(spark)
     labels = spark.createDataFrame([(i, i % 2) for i in range(0, 30000, 7)], "case_id long, label int")
     classes, probs = NB.fit(tokens, labels, vocab_size=998)
-    salted = NB.predict_cases(tokens, classes, probs, [0, 1], broadcast_rows=0)
-    broadcast = NB.predict_cases(tokens, classes, probs, [0, 1])
-    assert rows(salted) == rows(broadcast)
+    broadcast = rows(NB.predict_cases(tokens, classes, probs, [0, 1]))
+    monkeypatch.setattr(BC, "is_small", lambda *a, **k: False)
+    assert rows(NB.predict_cases(tokens, classes, probs, [0, 1])) == broadcast

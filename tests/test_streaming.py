@@ -5,11 +5,12 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from casemine.plans.stream_queries import run_stream_counts
+from casemine.plans.registry import QUERIES, load_all
 from casemine.sources import tables as S
 from casemine.sources.streams import file_stream, kafka_options
 from casemine.streaming import sinks as SK
 from casemine.streaming import windows as W
+from casemine.streaming.job import counts_log, run_counts
 
 
 def batch_counts(events):
@@ -20,35 +21,66 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_stream_restart_equals_batch(spark, sf_dir):
+def summed(spark, out):
+    return W.flatten(W.windows_of(counts_log(out).read(spark)))
+
+
+def test_files_out_of_time_order_and_a_restart(spark, sf_dir):
+    """The later half arrives first; the earlier half after a restart."""
     events = S.table(spark, sf_dir, "events")
     base = tempfile.mkdtemp(prefix="cm-stream-")
     src_dir = os.path.join(base, "src")
-    # two halves by time arrive as two files; the second after a restart
     cut = events.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
-    events.where(F.col("ts") < cut).coalesce(1).write.parquet(os.path.join(src_dir, "a"))
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
-    src = file_stream(spark, os.path.join(src_dir, "*"), events)
-    run_stream_counts(spark, src, out, ckpt).awaitTermination()
-    first = SK.read_latest(spark, out, ["window", "word"]).count()
-    assert first > 0
-    events.where(F.col("ts") >= cut).coalesce(1).write.parquet(os.path.join(src_dir, "b"))
-    src = file_stream(spark, os.path.join(src_dir, "*"), events)
-    run_stream_counts(spark, src, out, ckpt).awaitTermination()
-    got = W.flatten(SK.read_latest(spark, out, ["window", "word"]))
-    assert rows(got) == rows(batch_counts(events))
-
-
-def test_keyed_sink_is_idempotent(spark):
-    base = tempfile.mkdtemp(prefix="cm-sink-")
-    sink = SK.keyed_log_sink(base, ["k"])
+    events.where(F.col("ts") >= cut).coalesce(1).write.parquet(os.path.join(src_dir, "a"))
+    for part in ("a", "b"):
+        if part == "b":
+            assert 0 < sum(r["count"] for r in summed(spark, out).collect()) < 30 * events.count()
+            events.where(F.col("ts") < cut).coalesce(1).write.parquet(os.path.join(src_dir, "b"))
+        lines = W.event_lines(file_stream(spark, os.path.join(src_dir, "*"), events))
+        run_counts(lines, out, ckpt).awaitTermination()
+    got = rows(summed(spark, out))
+    assert got == rows(batch_counts(events))
+    assert sum(r[3] for r in got) == 30 * events.count()
+
+
+def test_tables_that_are_folders(spark, sf_dir, tmp_path):
+    """Queries on streams read folders of part files, over several batches."""
+    load_all()
+    for name in ("events", "documents", "conversations", "labels"):
+        S.table(spark, sf_dir, name).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    for stream, batch in (("stream_window_word_counts", "window_word_counts"),
+                          ("stream_note_window_word_counts", "note_window_word_counts"),
+                          ("stream_nb_predictions", "nb_predictions")):
+        assert rows(QUERIES[stream](spark, str(tmp_path))) == rows(QUERIES[batch](spark, sf_dir))
+    events = S.table(spark, sf_dir, "events")
+    lines = W.event_lines(file_stream(spark, f"{tmp_path}/events.parquet", events, max_files=1))
+    run_counts(lines, f"{tmp_path}/out", f"{tmp_path}/ckpt", compact_every=0).awaitTermination()
+    assert len(os.listdir(f"{tmp_path}/out/log")) >= 3
+    before = rows(summed(spark, f"{tmp_path}/out"))
+    assert before == rows(batch_counts(events))
+    # compaction: results stay, old batches go
+    log = counts_log(f"{tmp_path}/out")
+    assert log.compact(spark, 1) == 1
+    left = sorted(n for n in os.listdir(f"{tmp_path}/out/log") if n.startswith("batch_id"))
+    assert left[0] == "batch_id=2" and rows(summed(spark, f"{tmp_path}/out")) == before
+    assert log.compact(spark) == 2 and rows(summed(spark, f"{tmp_path}/out")) == before
+    assert sorted(os.listdir(f"{tmp_path}/out/snapshots")) == ["through=2"]
+    assert log.compact(spark) == 2
+
+
+def test_keyed_log_is_idempotent(spark, tmp_path):
+    log = SK.KeyedLog(str(tmp_path), ["k"], "k string, v long")
+    assert log.read(spark).count() == 0 and log.compact(spark) == -1
     b0 = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v long")
     b1 = spark.createDataFrame([("a", 2)], "k string, v long")
-    sink(b0, 0)
-    sink(b1, 1)
-    sink(b1, 1)  # replay after a failure
-    got = sorted(tuple(r) for r in SK.read_latest(spark, base, ["k"]).collect())
-    assert got == [("a", 2), ("b", 1)]
+    log.write(b0, 0)
+    log.write(b1, 1)
+    log.write(b1, 1)  # replay after a failure
+    assert rows(log.read(spark)) == [("a", 2), ("b", 1)]
+    log.compact(spark)
+    log.write(spark.createDataFrame([("b", 5)], "k string, v long"), 2)
+    assert rows(log.read(spark)) == [("a", 2), ("b", 5)]
 
 
 def test_offset_ranges(spark):
@@ -61,6 +93,8 @@ def test_kafka_options():
     o = kafka_options("b1:9092", "cases", group_id="g")
     assert o["subscribe"] == "cases" and o["startingOffsets"] == "earliest"
     assert o["kafka.bootstrap.servers"] == "b1:9092" and o["kafka.group.id"] == "g"
+    assert o["failOnDataLoss"] == "true"
+    assert kafka_options("b", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
 
 
 def test_streaming_job_cli_files_once(spark, sf_dir):
@@ -73,7 +107,6 @@ def test_streaming_job_cli_files_once(spark, sf_dir):
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-m", "casemine.streaming.job", "--source", "files", "--path", src,
-                    "--out", out, "--checkpoint", ckpt, "--once"],
+                    "--out", out, "--checkpoint", ckpt, "--once", "--console"],
                    cwd=repo, check=True, timeout=600, capture_output=True)
-    got = W.flatten(SK.read_latest(spark, out, ["window", "word"]))
-    assert rows(got) == rows(batch_counts(events))
+    assert rows(summed(spark, out)) == rows(batch_counts(events))
