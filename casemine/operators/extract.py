@@ -19,7 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import pack
+from ..config import PACK_SEPARATOR
+from ..functions.text import pack, unpack
 from .broadcast import bounded_broadcast
 
 DEFAULT_SEGMENTS = ("AUTOMOBILE", "BUILDING", "MACHINERY")
@@ -71,3 +72,25 @@ def case_notes_extract(lineitem: DataFrame, orders: DataFrame, customer: DataFra
         pack("l_returnflag", "l_linestatus").alias("cause"),
         F.col("n_name").alias("owner"),
     )
+
+
+def case_histories(notes: DataFrame, documents: DataFrame) -> DataFrame:
+    """(case_id, history, title = first line) of the extract's cases, once per
+    case however many notes it has: the document of the same number."""
+    ids = notes.select("case_id").distinct()
+    return documents.select(F.col("doc_id").cast("string").alias("case_id"), F.col("text").alias("history"),
+                            F.split("text", "\n").getItem(0).alias("title")).join(ids, "case_id", "left_semi")
+
+
+def case_sets(notes: DataFrame) -> DataFrame:
+    """One row per case from note rows (several per case): the sets of its
+    customers, series, platforms, cause words and owners as sorted arrays, and
+    its number of notes.  Sets are collected per map task first, so a case with
+    very many notes sends only its distinct values."""
+    words = F.split(F.lower("cause"), PACK_SEPARATOR)
+    sets = {"customers": F.col("customer"), "series": unpack("jhw", 1), "platforms": unpack("jhw", 2),
+            "owners": F.col("owner")}
+    return notes.groupBy("case_id").agg(
+        *[F.array_sort(F.collect_set(c)).alias(name) for name, c in sets.items()],
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(words)))).alias("cause_words"),
+        F.count(F.lit(1)).alias("notes"))

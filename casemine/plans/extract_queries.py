@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import unpack
-from ..operators.extract import case_notes_extract
+from ..operators import tokens as TK
+from ..operators.extract import case_histories, case_notes_extract, case_sets
 from ..sources import tables as S
+from . import sqlparts as P
 from .registry import query
 
 _EXTRACT_SQL = """
@@ -60,3 +62,35 @@ def extract_series_platforms(spark, sf_dir):
     return e.select(unpack("jhw", 1).alias("series"), unpack("jhw", 2).alias("platform"), "case_id") \
         .groupBy("series", "platform").agg(F.count(F.lit(1)).alias("notes"),
                                            F.countDistinct("case_id").alias("cases"))
+
+
+def _set_sql(expr: str) -> str:
+    return f"array_to_string(list_sort(list(DISTINCT {expr})), ' ')"
+
+
+@query("extract_case_sets", f"""
+SELECT e.case_id, {_set_sql("customer")} AS customers, {_set_sql("split_part(jhw, '--', 1)")} AS series,
+       {_set_sql("split_part(jhw, '--', 2)")} AS platforms, {_set_sql("owner")} AS owners,
+       max(c.words) AS cause_words, count(*) AS notes
+FROM ({_EXTRACT_SQL}) e JOIN (
+    SELECT case_id, {_set_sql("word")} AS words FROM (
+        SELECT case_id, unnest(string_split(lower(cause), '--')) AS word FROM ({_EXTRACT_SQL}) x) y
+    GROUP BY case_id) c ON c.case_id = e.case_id
+GROUP BY e.case_id
+""")
+def extract_case_sets(spark, sf_dir):
+    """Note rows of the extract united per case (set union per dimension)."""
+    sets = case_sets(_extract(spark, sf_dir))
+    return sets.select("case_id", *[F.array_join(c, " ").alias(c) for c in
+                                    ("customers", "series", "platforms", "owners", "cause_words")], "notes")
+
+
+@query("extract_term_df", f"""
+SELECT token AS term, count(*) AS df FROM {P.CLEAN_TOKENS} t
+WHERE cast(case_id AS VARCHAR) IN (SELECT case_id FROM ({_EXTRACT_SQL}) e) GROUP BY token
+""")
+def extract_term_df(spark, sf_dir):
+    """The extract feeding the corpus: document frequencies over the histories
+    of its cases."""
+    cases = case_histories(_extract(spark, sf_dir), S.table(spark, sf_dir, "documents"))
+    return TK.term_document_frequency(TK.clean_tokens(cases, S.notes(spark, sf_dir)))
