@@ -1,6 +1,8 @@
 """The join-based fallbacks (used when a word list is too large to apply in
 the row) give the same results as the in-row paths."""
 
+from pyspark.sql import functions as F
+
 from casemine.operators import terms as TR
 from casemine.operators import tokens as TK
 from casemine.plans.model import CaseModel
@@ -31,3 +33,32 @@ def test_case_model_owner_join_path(spark, sf_dir, monkeypatch):
     base = rows(CaseModel(spark, sf_dir).corpus_s)
     monkeypatch.setattr(TK, "bounded_values", lambda *a, **k: None)
     assert rows(CaseModel(spark, sf_dir).corpus_s) == base
+
+
+def test_owner_fallback_keeps_cases_without_tokens(spark, sf_dir, monkeypatch):
+    m = CaseModel(spark, sf_dir)
+    some = S.cases(spark, sf_dir).limit(3)
+    cases = some.unionByName(some.limit(1).withColumn("case_id", F.lit(-1).cast("long")).withColumn(
+        "history", F.lit("the a of")))
+    monkeypatch.setattr(TK, "bounded_values", lambda *a, **k: None)
+    m.__dict__["cases"] = cases
+    got = {r["case_id"]: r["tokens"] for r in m.corpus_arrays.collect()}
+    assert len(got) == 4 and got[-1] == []
+
+
+def test_dictionaries_from_files(spark, sf_dir, tmp_path):
+    from casemine import config as C
+    from casemine.operators import guess as G
+    from casemine.sources.dictionary import read_templates, read_word_list
+    base = CaseModel(spark, sf_dir)
+    word = base.corpus.groupBy("token").count().orderBy("count", ascending=False).first()["token"]
+    (tmp_path / "stop.txt").write_text(f"{word}\n")
+    (tmp_path / "t.txt").write_text("\n".join(C.PROBLEM_TEMPLATES) + "\n")
+    model = CaseModel(spark, sf_dir, extra_words=read_word_list(spark, str(tmp_path / "stop.txt")))
+    assert rows(model.corpus) == [r for r in rows(base.corpus) if r[1] != word]
+    templates = read_templates(spark, str(tmp_path / "t.txt"))
+    assert templates == C.PROBLEM_TEMPLATES
+    cases = S.cases(spark, sf_dir).limit(20)
+    assert rows(G.guessed_lines(cases, templates)) == rows(G.guessed_lines(cases))
+    model.release()
+    base.release()
