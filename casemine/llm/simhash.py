@@ -27,6 +27,7 @@ columns other than the id and text are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -45,24 +46,39 @@ BUCKET_ROWS = 20_000
 NEAR = 48   # rows of a bucket up to which all its pairs are formed at once
 BLOCK = 256  # rows of a larger bucket that are compared at a time
 HASHES = 1 << 16  # shingle hashes expanded to bits at a time
+PIECE_BYTES = 4 << 20
+BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     from xxhash import xxh64_intdigest
-    # bytes.lower and bytes.split know ASCII letters and the six blanks only
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
-    if len(words) < shingle:
-        hashes = [xxh64_intdigest(b" ".join(words), SEED)]
-    else:
+    raw = (text or "").encode("utf-8", "replace")
+    ones, n, last = np.zeros(BITS, dtype=np.int64), 0, []
+    for words in _words(raw):
+        words = last + words
+        last = words[max(0, len(words) - shingle + 1):] if shingle > 1 else []
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-        hashes = list(map(xxh64_intdigest, grams, repeat(SEED)))
-    ones = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, len(hashes), HASHES):
-        some = np.array(hashes[at:at + HASHES], dtype=">u8")
-        ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
+        hashes = np.fromiter(map(xxh64_intdigest, grams, repeat(SEED)), dtype=">u8")
+        n += len(hashes)
+        for at in range(0, len(hashes), HASHES):
+            some = hashes[at:at + HASHES]
+            ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    if not n:  # fewer words than a shingle has
+        return xxh64_intdigest(b" ".join(last), SEED) if last else 0
+    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+
+
+def _words(raw: bytes) -> Iterator[list[bytes]]:
+    """Lower-cased words, some megabytes of text at a time, cut after a word.
+    bytes.lower and bytes.split know ASCII letters and the six blanks only."""
+    at = 0
+    while at < len(raw):
+        end = at + PIECE_BYTES
+        if end < len(raw):
+            blank = BLANK.search(raw, end)
+            end = blank.start() if blank else len(raw)
+        yield raw[at:end].lower().split()
+        at = end
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -42,6 +42,13 @@ def test_fingerprint():
         assert fingerprint(t) == plain_fingerprint(t)
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    text = " ".join(f"W{i * 7 % 31}" + "\t\n"[i % 2] * (i % 3) for i in range(500)) + " end"
+    monkeypatch.setattr(simhash, "PIECE_BYTES", 40)
+    for t in (text, "one two", "one", "a" * 200, " " * 100, "a b " + " " * 90 + "c"):
+        assert fingerprint(t) == plain_fingerprint(t)
+
+
 def test_links_against_all_pairs(spark):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(60)]
