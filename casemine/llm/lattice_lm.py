@@ -4,11 +4,12 @@ A word's lattice holds every way to write it (with its word-start mark) as
 pieces of an existing subword vocabulary; characters that no piece covers go as
 byte pieces.  A forward recursion in log space sums the probabilities of all
 segmentations.  The vocabulary's scores are merge ranks, so they enter as Zipf
-weights; one expectation step over the counts of all training words (forward
-and backward over the lattices) turns them into piece probabilities.  A training
+weights; one expectation step over all distinct training words (forward and
+backward over the lattices) turns them into piece probabilities.  A training
 word is also an arc of its own, over the whole word, with its relative
-frequency; the share of the single arcs is the Good-Turing estimate of unseen
-words (words seen once / all words).  A document's probability is the product
+frequency; the share of the pieces is the Good-Turing estimate of unseen words
+(words seen once / all words), and as they write unseen words, each distinct
+word teaches them once.  A document's probability is the product
 over its words and its end.
 
 Counts cover all training documents and no vocabulary of the corpus is ever in
@@ -233,7 +234,7 @@ def _expect(group: pa.Table, path: str) -> pa.Table:
     _, total = _totals(group)
     words = [w for w, c in total.items() if c]
     counts = np.array([total[w] for w in words], dtype=np.int64)
-    uses = Lattice(path).expected(words, counts) if words else np.zeros(0)
+    uses = Lattice(path).expected(words, np.ones(len(words))) if words else np.zeros(0)
     return pa.table({"tokens": [int(counts.sum())], "types": [len(words)], "singles": [int((counts == 1).sum())],
                      "uses": pa.array([uses.astype("<f8").tobytes()], pa.binary())})
 
