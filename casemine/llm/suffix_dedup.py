@@ -10,8 +10,9 @@ corpus can't be sorted in one place, so equal strings are first brought together
    strings that share one seed place start next to each other; together they are one
    passage, at most ``2 * LENGTH - SEED`` bytes long.
 2. Passages are grouped by seed hash.  Of equal passages (two 64-bit hashes
-   and the length) all but the first are repeats; only the first ones of a seed
-   with several different passages need their bytes compared.
+   and the length) all but the first are repeats, found within each slice of
+   rows before the shuffle and between slices after it; only the first ones of a
+   seed with several different passages need their bytes compared.
 3. Those passages are fetched from the documents and dealt by seed.  Each
    bucket gets a suffix array by two-stage sorting: suffixes that are
    smaller than their successors are sorted directly, all others are induced by
@@ -26,7 +27,8 @@ corpus can't be sorted in one place, so equal strings are first brought together
 
 What moves is packed into compressed arrays (about 22 bytes for 32 bytes of
 text); texts are shuffled by a hash of (doc_id, text), in blocks of about
-``BLOCK_BYTES``, never by content, so copies and hot sources spread.
+``BLOCK_BYTES``, never by content, so copies and hot sources spread, and
+compressed with their neighbours of the same block.
 
 Edge cases: null text counts as empty; texts below ``LENGTH`` bytes are kept
 whole; a null doc_id counts as the largest; rows with the same doc_id are
@@ -44,6 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from .common import cut, row_slices, slots, text_size
@@ -53,6 +56,10 @@ SEED = 32
 HOT = 10_000
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20  # text whose seeds make one bucket
+BOX_BYTES = 16 << 20
+SLICE_BYTES = 16 << 20  # text whose passages collapse before they are dealt
+PIECE_BYTES = 2 << 20  # of a long text that are hashed at a time
+FINER = 4  # buckets of passages for one bucket of seeds
 NO_ID = (1 << 63) - 1
 WORDS = -(-LENGTH // 8)
 
@@ -124,10 +131,16 @@ def _whole(h: dict[int, np.ndarray], n: int, length: int) -> np.ndarray:
 
 def seeds(raw: np.ndarray) -> dict | None:
     """The passages of a text: seed hash ``h``, content hash ``c``, first start
-    ``at`` and number of starts ``n``."""
-    size = len(raw)
-    if size < LENGTH:
+    ``at`` and number of starts ``n``.  A long text is read piece by piece; the
+    strings that start in a piece are looked at there, whole."""
+    if len(raw) < LENGTH:
         return None
+    parts = [_seeds(raw[p:p + PIECE_BYTES + LENGTH - 1], p) for p in range(0, len(raw) - LENGTH + 1, PIECE_BYTES)]
+    return {k: np.concatenate([x[k] for x in parts]) for k in parts[0]} if len(parts) > 1 else parts[0]
+
+
+def _seeds(raw: np.ndarray, start: int) -> dict:
+    size = len(raw)
     h = string_hashes(raw)
     low = _mix(h[SEED])
     place, span = np.arange(len(low), dtype=np.int32), 1
@@ -143,11 +156,35 @@ def seeds(raw: np.ndarray) -> dict | None:
     last = np.r_[first[1:], len(place)] - 1
     whole = _whole(h, size, LENGTH)
     c = _mix(whole[first]) * np.uint64(0x9FB21C651E98DF25) + _mix(whole[last] + (last - first).astype(np.uint64))
-    return {"h": grams[place[first]], "c": c, "at": first.astype(np.int32), "n": (last - first + 1).astype(np.uint8)}
+    return {"h": grams[place[first]], "c": c, "at": (first + start).astype(np.int32), "n": (last - first + 1).astype(np.uint8)}
+
+
+def _repeats(s: dict) -> tuple[np.ndarray, np.ndarray]:
+    """For passages sorted by seed, content and place: which are the first of
+    their content, and which repeat it.  A row given twice is the same passage:
+    neither."""
+    new = np.r_[True, (s["h"][1:] != s["h"][:-1]) | (s["c"][1:] != s["c"][:-1]) | (s["n"][1:] != s["n"][:-1])]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    same = (s["dk"] == s["dk"][first]) & (s["th"] == s["th"][first]) & (s["at"] == s["at"][first])
+    return new, ~new & ~same
+
+
+def _sorted(s: dict) -> dict:
+    order = np.lexsort((s["at"], s["th"], s["dk"], s["n"], s["c"], s["h"]))
+    return {k: v[order] for k, v in s.items()}
+
 
+def _marks_of(s: dict, again: np.ndarray) -> dict:
+    return intervals(s["dk"][again], s["th"][again], s["at"][again],
+                     s["at"][again].astype(np.int64) + s["n"][again] - 1 + LENGTH)
 
-def _seed_rows(batches, buckets: int):
-    for batch in row_slices(batches, "text"):
+
+def _seed_rows(batches, buckets: int, blocks: int):
+    """Packed passages by bucket.  Equal passages of a slice of rows collapse
+    to the first of them here, so a passage that a third of all documents share
+    reaches its bucket once per slice; the others are marks already, and travel
+    in any bucket."""
+    for batch in row_slices(batches, "text", SLICE_BYTES):
         parts = {k: [] for k, _ in SEEDS}
         for dk, th, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
             got = seeds(np.frombuffer(raw or b"", dtype=np.uint8))
@@ -157,10 +194,17 @@ def _seed_rows(batches, buckets: int):
                 parts["dk"].append(np.full(len(got["h"]), dk))
                 parts["th"].append(np.full(len(got["h"]), th))
         if parts["h"]:
-            columns = {k: np.concatenate(v) for k, v in parts.items()}
-            rows = list(split_by((columns["h"] % np.uint64(buckets)).astype(np.int64), SEEDS, columns))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()),
-                                              pa.array([p for _, p in rows], pa.binary())], ["bucket", "payload"])
+            s = _sorted({k: np.concatenate(v) for k, v in parts.items()})
+            first, again = _repeats(s)
+            marks = _marks_of(s, again)
+            left = {k: v[first] for k, v in s.items()}
+            order = np.lexsort((left["at"], left["th"], left["dk"]))  # packs better by document
+            left = {k: v[order] for k, v in left.items()}
+            rows = [(k, -1, p) for k, p in split_by((left["h"] % np.uint64(buckets)).astype(np.int64), SEEDS, left)]
+            rows += [(k % buckets, k, p) for k, p in split_by(_block_of(marks["dk"], marks["th"], blocks), MARKS, marks)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
+                                              pa.array([r[1] for r in rows], pa.int64()),
+                                              pa.array([r[2] for r in rows], pa.binary())], ["bucket", "block", "payload"])
 
 
 # grouping by seed ----------------------------------------------------------
@@ -198,21 +242,20 @@ MARK, FETCH, FETCH_HOT = 0, 1, 2
 
 
 def _group_seeds(group: pa.Table, blocks: int, hot: int) -> pa.Table:
-    """Repeats among equal passages, and which passages to compare."""
-    s = unpack_all(SEEDS, group.column("payload").to_pylist())
-    order = np.lexsort((s["at"], s["th"], s["dk"], s["n"], s["c"], s["h"]))
-    s = {k: v[order] for k, v in s.items()}
+    """Repeats among equal passages, and which passages to compare; marks that
+    were found before pass through."""
+    block = group.column("block").to_numpy()
+    payloads = group.column("payload").to_pylist()
+    rows = [(int(b), MARK, p) for b, p in zip(block, payloads) if b >= 0]
+    s = _sorted(unpack_all(SEEDS, [p for b, p in zip(block, payloads) if b < 0]))
+    if not len(s["h"]):
+        return _rows(rows)
     new_h = np.r_[True, s["h"][1:] != s["h"][:-1]]
-    new = new_h | np.r_[True, (s["c"][1:] != s["c"][:-1]) | (s["n"][1:] != s["n"][:-1])]
-    first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-    # a row given twice is the same passage, not a repeat
-    same = (s["dk"] == s["dk"][first]) & (s["th"] == s["th"][first]) & (s["at"] == s["at"][first])
-    again = ~new & ~same
-    marks = intervals(s["dk"][again], s["th"][again], s["at"][again],
-                      s["at"][again].astype(np.int64) + s["n"][again] - 1 + LENGTH)
+    new, again = _repeats(s)
+    marks = _marks_of(s, again)
     run = np.cumsum(new_h) - 1
     kinds = np.bincount(run, weights=new)[run]
-    rows = _output(MARK, _block_of(marks["dk"], marks["th"], blocks), MARKS, marks)
+    rows += _output(MARK, _block_of(marks["dk"], marks["th"], blocks), MARKS, marks)
     for kind, some in ((FETCH, new & (kinds > 1) & (kinds <= hot)), (FETCH_HOT, new & (kinds > hot))):
         want = {k: s[k][some] for k, _ in WANTED}
         rows += _output(kind, _block_of(want["dk"], want["th"], blocks), WANTED, want)
@@ -221,7 +264,8 @@ def _group_seeds(group: pa.Table, blocks: int, hot: int) -> pa.Table:
 
 # passages and suffix arrays ----------------------------------------------
 
-def _texts(docs: pa.Table) -> dict:
+def _texts(boxes: pa.Table) -> dict:
+    docs = _unbox(boxes)
     return {(dk, th): raw or b"" for dk, th, raw in
             zip(*(docs.column(k).to_pylist() for k in ("dk", "th", "text")))}
 
@@ -410,10 +454,42 @@ def _hot_marks(docs: DataFrame, hot: DataFrame, blocks: int) -> DataFrame:
     return again.select(block.alias("block"), "dk", "th", "at").mapInArrow(run, "block long, kind int, payload binary")
 
 
+# rows in boxes ---------------------------------------------------------------
+
+def _box(batches, blocks: int):
+    """Rows of one block that lie together become one compressed box."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in row_slices(batches, "text", BOX_BYTES):
+        table = pa.Table.from_batches([batch])
+        block = _block_of(table.column("dk").to_numpy(), table.column("th").to_numpy(), blocks)
+        order = np.argsort(block, kind="stable")
+        edges = np.flatnonzero(np.r_[True, block[order][1:] != block[order][:-1]])
+        names, boxes = [], []
+        for a, b in zip(edges, [*edges[1:], len(order)]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+                writer.write_table(table.take(pa.array(order[a:b])))
+            names.append(int(block[order[a]]))
+            boxes.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(boxes, pa.binary())], ["block", "box"])
+
+
+def _unbox(boxes: pa.Table) -> pa.Table | None:
+    tables = [pa.ipc.open_stream(b).read_all() for b in boxes.column("box").to_pylist()]
+    return pa.concat_tables(tables) if tables else None
+
+
+def _boxed(rows: DataFrame, blocks: int) -> DataFrame:
+    return rows.mapInArrow(lambda it: _box(it, blocks), "block long, box binary")
+
+
 # the operator ----------------------------------------------------------------
 
-def _apply(docs: pa.Table, marks: pa.Table) -> pa.Table:
+def _apply(boxes: pa.Table, marks: pa.Table, schema: pa.Schema) -> pa.Table:
     """Cut the marked intervals out of a block's texts."""
+    docs = _unbox(boxes)
+    if docs is None:
+        return schema.empty_table()
     m = unpack_all(MARKS, marks.column("payload").to_pylist())
     m = intervals(m["dk"], m["th"], m["lo"], m["hi"])
     doc = np.r_[True, (m["dk"][1:] != m["dk"][:-1]) | (m["th"][1:] != m["th"][:-1])] if len(m["dk"]) else []
@@ -428,7 +504,7 @@ def _apply(docs: pa.Table, marks: pa.Table) -> pa.Table:
         for k, v in zip(out, (len(raw), len(raw) - len(kept), len(lo), kept)):
             out[k].append(v)
     columns = {k: pa.array(v, pa.binary() if k == "kept" else pa.int64()) for k, v in out.items()}
-    carried = [k for k in docs.column_names if k not in ("dk", "th", "text", "block")]
+    carried = [k for k in docs.column_names if k not in ("dk", "th", "text")]
     return pa.table({**{k: docs.column(k) for k in carried}, **columns})
 
 
@@ -444,21 +520,22 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: Co
     blocks = max(slots(spark), math.ceil(total / BLOCK_BYTES))
     buckets = max(1, math.ceil(total / BUCKET_BYTES))
     rows = docs.select(*key, raw.alias("text"))
-    block = F.pmod(F.pmod("dk", F.lit(blocks)) + F.pmod("th", F.lit(blocks)), F.lit(blocks)).alias("block")
     placed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *key, raw.alias("text"),
-                         *([carry.alias("row")] if carry is not None else [])).withColumn("block", block)
+                         *([carry.alias("row")] if carry is not None else []))
     out = StructType([placed.schema["doc_id"], *([placed.schema["row"]] if carry is not None else []),
                       *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary")])
+    shape = to_arrow_schema(out)
 
-    grouped = cut(rows.mapInArrow(lambda it: _seed_rows(it, buckets), "bucket long, payload binary")
+    grouped = cut(rows.mapInArrow(lambda it: _seed_rows(it, buckets, blocks), "bucket long, block long, payload binary")
                   .groupBy("bucket").applyInArrow(lambda g: _group_seeds(g, blocks, hot),
                                                   "block long, kind int, payload binary"))
-    compact = placed.select("dk", "th", "text", "block").where(F.octet_length("text") >= LENGTH)
+    compact = _boxed(rows.where(F.octet_length("text") >= LENGTH), blocks)
     found = [grouped.where(F.col("kind") == MARK)]
     found.append(compact.groupBy("block").cogroup(grouped.where(F.col("kind") == FETCH).groupBy("block"))
-                 .applyInArrow(lambda a, b: _fetch(a, b, buckets), "bucket long, payload binary")
+                 .applyInArrow(lambda a, b: _fetch(a, b, buckets * FINER), "bucket long, payload binary")
                  .groupBy("bucket").applyInArrow(lambda g: _compare(g, blocks), "block long, kind int, payload binary"))
     if not grouped.where(F.col("kind") == FETCH_HOT).isEmpty():
         found.append(_hot_marks(compact, grouped.where(F.col("kind") == FETCH_HOT), blocks))
     marks = reduce(DataFrame.unionByName, found)
-    return placed.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_apply, out)
+    return _boxed(placed, blocks).groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(
+        lambda a, b: _apply(a, b, shape), out)

@@ -73,6 +73,14 @@ def corpus(seed=1):
     return rows
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    raw = np.random.default_rng(5).integers(97, 101, 5000).astype(np.uint8)
+    whole = sd.seeds(raw)
+    starts = lambda s: [(int(a) + i, int(h)) for a, n, h in zip(s["at"], s["n"], s["h"]) for i in range(n)]
+    monkeypatch.setattr(sd, "PIECE_BYTES", 700)
+    assert starts(sd.seeds(raw)) == starts(whole) and len(starts(whole)) == 4901
+
+
 @pytest.mark.parametrize("hot", [10_000, 2])
 def test_against_brute_force(spark, frame, hot):
     rows = corpus()
