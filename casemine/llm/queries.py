@@ -74,7 +74,30 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@query("op5_suffix_array")
+@query("op5_suffix_array", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+-- every string of 100 bytes (200 hex digits) and where it starts
+w AS (SELECT doc_id, i AS place, substr(h, 2 * i + 1, 200) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 99, 0))) AS i FROM d) x),
+f AS (SELECT s, min(struct_pack(doc_id := doc_id, place := place)) AS first FROM w GROUP BY s HAVING count(*) > 1),
+r AS (SELECT w.doc_id, w.place FROM w JOIN f USING (s)
+      WHERE w.doc_id <> f.first.doc_id OR w.place <> f.first.place),
+-- covered bytes: runs of starts no more than 100 apart
+g AS (SELECT doc_id, place, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM r),
+n AS (SELECT doc_id, place, sum(CASE WHEN place <= before + 100 THEN 0 ELSE 1 END)
+        OVER (PARTITION BY doc_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS run FROM g),
+sp AS (SELECT doc_id, min(place) AS lo, max(place) + 100 AS hi FROM n GROUP BY doc_id, run),
+-- what is kept before each run, and behind the last one
+k AS (SELECT sp.doc_id, lo, hi, h, coalesce(lag(hi) OVER (PARTITION BY sp.doc_id ORDER BY lo), 0) AS kept_from
+      FROM sp JOIN d USING (doc_id)),
+a AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+             string_agg(substr(h, 2 * kept_from + 1, 2 * (lo - kept_from)), '' ORDER BY lo) AS kept
+      FROM k GROUP BY doc_id)
+SELECT d.doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN a.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id
+""")
 def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
