@@ -16,8 +16,9 @@ are dealt into parts by a hash.  A query first searches the parts of its own
 cell, which bounds its k-th distance; then the other cells whose boxes the
 stopping test does not exclude.  Inside a part a local kd-tree gives leaves;
 queries visit them in the order of projected distance to their boxes, all
-queries of a round together, until the test holds for each.  Equal vectors of a
-part are one point that knows its smallest ids.  Queries of a cell are dealt
+queries of a round together, until the test holds for each.  Of equal vectors
+only the k + 1 smallest ids are searched (no query needs more), so a vector that
+a third of all rows share does not fill cells.  Queries of a cell are dealt
 into groups too, so no task's memory follows the table.
 
 Scores are cosines of the original vectors in double precision, computed pair
@@ -190,10 +191,7 @@ def search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np
         for p in which[i]:
             if p < 0:
                 continue
-            some = [x for x in ids[first[p]:min(last[p], first[p] + 64)].tolist()]
-            some = [x for x in dict.fromkeys(some) if x != own]
-            if len(some) < k and last[p] > first[p] + 64:  # an id that is repeated very often
-                some = [x for x in np.unique(ids[first[p]:last[p]]).tolist() if x != own]
+            some = [x for x in ids[first[p]:last[p]].tolist() if x != own]
             score = exact(v, data[first[p]])
             found += [(-score, x) for x in some[:k]]
         out += [(own, x, -s) for s, x in sorted(found)[:k]]
@@ -269,10 +267,15 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 5, vec_id: str = "ve
                  pa.array(cell.astype(np.int32))], ["vec_id", "v", "asked", "cell"])
 
     index = cut(rows.mapInArrow(place, "vec_id long, v binary, asked boolean, cell int"))
-    parts = {r["cell"]: -(-r["n"] // CELL_ROWS) for r in
-             index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per cell
     asked = index.where("asked").select(F.col("vec_id").alias("query_id"), "v", "cell").dropDuplicates(["query_id"])
     asked = cut(asked)
+    # of equal vectors only the k + 1 smallest ids can be among k neighbours;
+    # Spark limits the groups of this window before their shuffle
+    place = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    index = cut(index.dropDuplicates(["v", "vec_id"]).withColumn("place", place).where(F.col("place") <= k + 1)
+                .select("vec_id", "v", "cell"))
+    parts = {r["cell"]: -(-r["n"] // CELL_ROWS) for r in
+             index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per cell
     home = cut(_visit(index, asked.withColumn("bound", F.lit(-2.0)), parts, size, k))
     kth = _best(home, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
     if depth:
