@@ -12,16 +12,17 @@ corpus can't be sorted in one place, so equal strings are first brought together
 2. Passages are grouped by seed hash.  Of equal passages (two 64-bit hashes
    and the length) all but the first are repeats, found within each slice of
    rows before the shuffle and between slices after it; only the first ones of a
-   seed with several different passages need their bytes compared.
+   seed with several different passages need their bytes compared.  Hot seeds
+   (more than ``HOT`` rows) are counted beforehand, and their passages are dealt
+   by content, so equal ones still meet and no task gets a seed whole.
 3. Those passages are fetched from the documents and dealt by seed.  Each
    bucket gets a suffix array by two-stage sorting: suffixes that are
    smaller than their successors are sorted directly, all others are induced by
    scanning the buckets of first bytes in order, as a suffix that is larger than
    its successor follows that one's order.  Adjacent common prefixes of at least
    ``LENGTH`` bytes join equal strings; all but the first of them are repeats.
-   A seed with more than ``HOT`` different passages (edges of a passage that very
-   many documents share) is not brought into one task: its strings are grouped
-   one by one over all tasks.
+   A hot seed (edges of a passage that very many documents share) is not
+   brought into one task: its strings are grouped one by one over all tasks.
 4. Repeats travel back to their documents as intervals, and the bytes they
    cover are cut out.
 
@@ -54,6 +55,7 @@ from .common import cut, row_slices, slots, text_size
 LENGTH = 100
 SEED = 32
 HOT = 10_000
+MOST_HOT = 100_000  # seeds that are told apart; beyond, only hotter ones count as hot
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20  # text whose seeds make one bucket
 BOX_BYTES = 16 << 20
@@ -179,11 +181,46 @@ def _marks_of(s: dict, again: np.ndarray) -> dict:
                      s["at"][again].astype(np.int64) + s["n"][again] - 1 + LENGTH)
 
 
-def _seed_rows(batches, buckets: int, blocks: int):
-    """Packed passages by bucket.  Equal passages of a slice of rows collapse
-    to the first of them here, so a passage that a third of all documents share
-    reaches its bucket once per slice; the others are marks already, and travel
-    in any bucket."""
+def _slice_hot(batches, least: int):
+    """Seeds with more than ``least`` different passages in a slice of rows, and
+    how many: the rows that the slice sends for them."""
+    for batch in row_slices(batches, "text", SLICE_BYTES):
+        parts = [x for x in (seeds(np.frombuffer(raw or b"", dtype=np.uint8)) for raw in batch.column(0).to_pylist()) if x]
+        if parts:
+            h, c, n = (np.concatenate([x[k] for x in parts]) for k in ("h", "c", "n"))
+            order = np.argsort(h)
+            edge = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
+            size = np.diff(np.r_[edge, len(h)])
+            some = order[np.repeat(size > least, size)]  # only these can have as many different ones
+            h, c, n = h[some], c[some], n[some]
+            order = np.lexsort((n, c, h))
+            h, c, n = h[order], c[order], n[order]
+            new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])][:len(h)]
+            h, count = np.unique(h[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h[count > least].view(np.int64)), pa.array(count[count > least])],
+                                             ["h", "n"])
+
+
+def hot_seeds(rows: DataFrame, total: int, hot: int) -> np.ndarray:
+    """Seeds with more than ``hot`` rows, ascending.  A slice names only those
+    with more than its share of ``hot``, so a seed that is missed has at most
+    ``hot`` rows besides, or one for each slice."""
+    least = max(1, hot // math.ceil(max(total, 1) / SLICE_BYTES))
+    most = max(hot, total // (SEED * MOST_HOT))
+    counts = rows.select("text").mapInArrow(lambda it: _slice_hot(it, least), "h long, n long")
+    found = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > most).orderBy(F.desc("n"), "h")
+    return np.sort(np.array([r["h"] for r in found.limit(MOST_HOT).select("h").collect()], dtype=np.int64).view(np.uint64))
+
+
+def _among(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return np.isin(h, hot) if len(hot) else np.zeros(len(h), dtype=bool)
+
+
+def _seed_rows(batches, buckets: int, blocks: int, hot: np.ndarray):
+    """Packed passages by bucket, those of ``hot`` seeds by content.  Equal
+    passages of a slice of rows collapse to the first of them here, so a passage
+    that a third of all documents share reaches its bucket once per slice; the
+    others are marks already, and travel in any bucket."""
     for batch in row_slices(batches, "text", SLICE_BYTES):
         parts = {k: [] for k, _ in SEEDS}
         for dk, th, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -200,7 +237,8 @@ def _seed_rows(batches, buckets: int, blocks: int):
             left = {k: v[first] for k, v in s.items()}
             order = np.lexsort((left["at"], left["th"], left["dk"]))  # packs better by document
             left = {k: v[order] for k, v in left.items()}
-            rows = [(k, -1, p) for k, p in split_by((left["h"] % np.uint64(buckets)).astype(np.int64), SEEDS, left)]
+            deal = np.where(_among(left["h"], hot), _mix(left["h"] + left["c"]), left["h"])
+            rows = [(k, -1, p) for k, p in split_by((deal % np.uint64(buckets)).astype(np.int64), SEEDS, left)]
             rows += [(k % buckets, k, p) for k, p in split_by(_block_of(marks["dk"], marks["th"], blocks), MARKS, marks)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
                                               pa.array([r[1] for r in rows], pa.int64()),
@@ -241,9 +279,10 @@ def _rows(rows: list[tuple]) -> pa.Table:
 MARK, FETCH, FETCH_HOT = 0, 1, 2
 
 
-def _group_seeds(group: pa.Table, blocks: int, hot: int) -> pa.Table:
+def _group_seeds(group: pa.Table, blocks: int, hot: int, known: np.ndarray) -> pa.Table:
     """Repeats among equal passages, and which passages to compare; marks that
-    were found before pass through."""
+    were found before pass through.  Of the hot seeds ``known`` before, only
+    some passages are here."""
     block = group.column("block").to_numpy()
     payloads = group.column("payload").to_pylist()
     rows = [(int(b), MARK, p) for b, p in zip(block, payloads) if b >= 0]
@@ -256,7 +295,8 @@ def _group_seeds(group: pa.Table, blocks: int, hot: int) -> pa.Table:
     run = np.cumsum(new_h) - 1
     kinds = np.bincount(run, weights=new)[run]
     rows += _output(MARK, _block_of(marks["dk"], marks["th"], blocks), MARKS, marks)
-    for kind, some in ((FETCH, new & (kinds > 1) & (kinds <= hot)), (FETCH_HOT, new & (kinds > hot))):
+    apart = _among(s["h"], known) | (kinds > hot)
+    for kind, some in ((FETCH, new & (kinds > 1) & ~apart), (FETCH_HOT, new & apart)):
         want = {k: s[k][some] for k, _ in WANTED}
         rows += _output(kind, _block_of(want["dk"], want["th"], blocks), WANTED, want)
     return _rows(rows)
@@ -526,8 +566,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: Co
                       *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary")])
     shape = to_arrow_schema(out)
 
-    grouped = cut(rows.mapInArrow(lambda it: _seed_rows(it, buckets, blocks), "bucket long, block long, payload binary")
-                  .groupBy("bucket").applyInArrow(lambda g: _group_seeds(g, blocks, hot),
+    known = hot_seeds(rows, total, hot)
+    grouped = cut(rows.mapInArrow(lambda it: _seed_rows(it, buckets, blocks, known), "bucket long, block long, payload binary")
+                  .groupBy("bucket").applyInArrow(lambda g: _group_seeds(g, blocks, hot, known),
                                                   "block long, kind int, payload binary"))
     compact = _boxed(rows.where(F.octet_length("text") >= LENGTH), blocks)
     found = [grouped.where(F.col("kind") == MARK)]

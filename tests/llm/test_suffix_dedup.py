@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from casemine.llm import suffix_dedup as sd
 from casemine.llm.suffix_dedup import dedup, two_stage
@@ -88,6 +89,27 @@ def test_against_brute_force(spark, frame, hot):
     assert got(dedup(docs, hot=hot)) == brute(rows)
 
 
+def test_hot_seed_reaches_no_task_whole(spark, frame):
+    """A passage that all documents share: its edges differ from document to
+    document but have one seed."""
+    rng = random.Random(4)
+    noise = lambda: "".join(rng.choice("ghijkl ") for _ in range(150))
+    shared = "".join(rng.choice("mnopqr ") for _ in range(300))
+    rows = [(i, noise() + shared + noise()) for i in range(400)]
+    docs = frame(rows).select(F.col("doc_id").alias("dk"), F.xxhash64("text").alias("th"),
+                              F.col("text").cast("binary").alias("text")).repartition(4).cache()
+    hot = sd.hot_seeds(docs, sum(len(t) for _, t in rows), 50)
+    batches = docs.toArrow().to_batches()
+    dealt = {}
+    for batch in sd._seed_rows(batches, 16, 4, hot):
+        for bucket, block, payload in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for h in sd.unpack(sd.SEEDS, payload)[0]["h"].tolist() if block < 0 else ():
+                dealt.setdefault(h, []).append(bucket)
+    most = max(dealt.values(), key=len)
+    assert len(most) >= 400 and max(most.count(b) for b in set(most)) <= 50
+    assert got(dedup(frame(rows), hot=50)) == brute(rows)
+
+
 def test_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert got(dedup(docs)) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
