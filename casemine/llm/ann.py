@@ -22,7 +22,9 @@ a third of all rows share does not fill cells.  Queries of a cell are dealt
 into groups too, so no task's memory follows the table.
 
 Scores are cosines of the original vectors in double precision, computed pair
-by pair at the end, so that equal vectors get equal scores.
+by pair at the end, so that equal vectors get equal scores.  Where different
+vectors tie at the cut (scaled copies, vectors of signs), all points within
+``TIE`` of it are scored that way and the smaller ids stay.
 
 Edge cases: null ids and vectors, zero vectors and vectors with null or
 non-finite components take no part, nor vectors of another length than the
@@ -48,6 +50,7 @@ SAMPLE = 16_384
 CELL_ROWS = 8_192
 QUERY_ROWS = 4_096
 LEAF = 64
+TIE = 1e-12  # scores that rounding may have put in either order
 SEED = 20
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -146,6 +149,29 @@ def exact(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.dot(a, b) / (math.sqrt(aa) * math.sqrt(bb)))
 
 
+def _exact_rows(a: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``exact`` of one vector with many."""
+    aa, bb = np.dot(a, a), np.vecdot(rows, rows)
+    plain = (1e-200 < bb) & (bb < 1e200) & (1e-200 < aa < 1e200)
+    out = np.empty(len(rows))
+    out[plain] = np.vecdot(rows[plain], a) / (math.sqrt(aa) * np.sqrt(bb[plain]))
+    for i in np.flatnonzero(~plain):
+        out[i] = exact(a, rows[i])
+    return out
+
+
+def _tied(own: int, v: np.ndarray, near: np.ndarray, ids: np.ndarray, data: np.ndarray, first: np.ndarray,
+          last: np.ndarray, k: int) -> list[tuple[float, int]]:
+    """The k best (-score, id) among the points ``near``, smaller ids first."""
+    minus = -_exact_rows(v, data[first[near]])
+    size = np.minimum(last[near] - first[near], k + 1)  # the query itself may be one of equal vectors
+    row = np.repeat(first[near], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    minus, some = np.repeat(minus, size), ids[row]
+    minus, some = minus[some != own], some[some != own]
+    order = np.lexsort((some, minus))[:k]
+    return list(zip(minus[order].tolist(), some[order].tolist()))
+
+
 def search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, bound: np.ndarray,
            k: int) -> list[tuple[int, int, float]]:
     """The k best of a part for every query: (query id, id, score).  ``bound``
@@ -164,9 +190,10 @@ def search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np
     ahead = box_distance(low_queries, *map(np.array, zip(*corners)))
     turn = np.argsort(ahead, axis=1, kind="stable")
     ahead = np.take_along_axis(ahead, turn, axis=1)
-    # one more than k, as the query itself may be among them; ties are sorted out at the end
-    best = np.full((len(q), k + 1), -2.0)
-    which = np.full((len(q), k + 1), -1)
+    # one more than k, as the query itself may be among them, and the first one
+    # that is cut: where it ties, the cut is sorted out at the end
+    best = np.full((len(q), k + 2), -2.0)
+    which = np.full((len(q), k + 2), -1)
     active = np.arange(len(q))
     for step in range(len(leaves)):
         # the k-th best so far: the query's own point is the best of all, if it is here
@@ -182,13 +209,21 @@ def search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np
             some, rows = active[by[a:b]], leaves[leaf[by[a]]]
             score = np.c_[best[some], q[some] @ points[rows].T]
             name = np.c_[which[some], np.broadcast_to(rows, (len(some), len(rows)))]
-            top = np.argsort(-score, axis=1, kind="stable")[:, :k + 1]
+            top = np.argsort(-score, axis=1, kind="stable")[:, :k + 2]
             best[some] = np.take_along_axis(score, top, axis=1)
             which[some] = np.take_along_axis(name, top, axis=1)
+    ties = (which[:, k + 1] >= 0) & (best[:, k + 1] >= best[:, k] - TIE)
     out = []
     for i, (own, v) in enumerate(zip(query_ids.tolist(), queries)):
+        if ties[i]:
+            least = best[i, k] - TIE
+            reach = FAR * max(2 - 2 * least, 0) + 1e-12
+            rows = np.concatenate([leaves[x] for x in turn[i, :np.searchsorted(ahead[i], reach, side="right")]])
+            near = rows[points[rows] @ q[i] >= least]
+            out += [(own, x, -s) for s, x in _tied(own, v, near, ids, data, first, last, k)]
+            continue
         found = []
-        for p in which[i]:
+        for p in which[i, :k + 1]:
             if p < 0:
                 continue
             some = [x for x in ids[first[p]:last[p]].tolist() if x != own]

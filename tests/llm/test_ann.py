@@ -83,3 +83,18 @@ def test_hot_vector_and_odd_rows(spark):
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours(odd, F.col("vec_id") % 50 == 0).collect()) \
         == [(0, 1, 50), (0, 2, 2), (50, 1, 0), (50, 2, 2)]
     assert neighbours(odd.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_ties_of_different_vectors_go_to_smaller_ids(spark):
+    """Scaled copies, vectors of signs and one-hot vectors: far more than k + 1
+    different vectors have one cosine."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=16)
+    scaled = [(v * 2.0 ** e).tolist() for e in rng.permutation(np.arange(-60, 60))]
+    signs = rng.choice([-1.0, 1.0], size=(3000, 12)).tolist()
+    hot = np.eye(40).tolist()
+    for vectors in (scaled, signs, hot):
+        rows = list(zip(rng.permutation(len(vectors)).tolist(), vectors))
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = neighbours(table, F.col("vec_id") % 50 == 0).collect()
+        assert recall(got, brute(rows)) == 1.0
