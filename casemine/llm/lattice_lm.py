@@ -29,7 +29,8 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from array import array
+from collections import Counter, deque
 from functools import lru_cache
 
 import numpy as np
@@ -106,6 +107,35 @@ class Lattice:
             del alpha[:-self.longest]
         return float(alpha[-1])
 
+    def _long_uses(self, word: str, weight: float, out: np.ndarray) -> None:
+        """Add one long word's expected uses; all forward sums are stored, but
+        only the last few backward ones."""
+        n, alpha = len(word), array("d", [0.0])
+
+        def arc(i: int, s: int) -> tuple[int | None, float] | None:
+            k = self.ids.get(word[i:i + s])
+            if k is not None:
+                return k, float(self.logp[k])
+            return (None, float(self.logp[self.byte_ids(word[i])].sum())) if s == 1 else None
+
+        def total(terms: list[float]) -> float:
+            top = max(terms)
+            return top + math.log(sum(math.exp(t - top) for t in terms))
+
+        for j in range(1, n + 1):
+            arcs = ((s, arc(j - s, s)) for s in range(1, min(self.longest, j) + 1))
+            alpha.append(total([alpha[j - s] + a[1] for s, a in arcs if a]))
+        beta = deque([0.0], maxlen=self.longest)  # of the places after i
+        for i in range(n - 1, -1, -1):
+            arcs = [(s, a) for s in range(1, min(self.longest, n - i) + 1) if (a := arc(i, s))]
+            for s, (k, lp) in arcs:
+                share = weight * math.exp(alpha[i] + lp + beta[s - 1] - alpha[n])
+                if k is None:
+                    np.add.at(out, self.byte_ids(word[i]), share)
+                else:
+                    out[k] += share
+            beta.appendleft(total([lp + beta[s - 1] for s, (_, lp) in arcs]))
+
     def _batches(self, words: list[bytes]):
         """Marked words of one length, some thousand at a time, with places."""
         marked = [MARK + w.decode("utf-8", "surrogateescape") for w in words]
@@ -127,16 +157,13 @@ class Lattice:
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece over all segmentations of the words.
-        Words too long to share a table count as their character pieces."""
+        """Expected uses of each piece over all segmentations of the words."""
         out = np.zeros(len(self.logp))
         for n, where, some in self._batches(words):
             c = counts[where].astype(float)
             if n > VECTOR_CHARS:
                 for w, x in zip(some, c):
-                    for ch, k in Counter(w).items():
-                        i = self.ids.get(ch)
-                        np.add.at(out, self.byte_ids(ch) if i is None else i, x * k)
+                    self._long_uses(w, float(x), out)
                 continue
             arcs = self._arcs(some)
             alpha, beta = self._forward(arcs, n, len(some)), {n: np.zeros(len(some))}

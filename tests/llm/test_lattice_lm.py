@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from casemine.llm import lattice_lm as lm
 from casemine.llm.common import remainder
 from casemine.llm.lattice_lm import MARK, Lattice, score
 
@@ -76,3 +77,11 @@ def test_edges(spark, frame):
     none = score(docs, PATH, F.lit(False)).collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and math.isfinite(r["score"]) for r in none)
     assert score(frame([]), PATH, F.lit(True)).count() == 0
+
+
+def test_long_words_teach_pieces_as_short_ones_do(monkeypatch):
+    words = [w.encode() for w in ("internationalization", "reading", "a", "déjàvu", "日本語のテキスト", "\U0001f9ff" * 3, "x" * 30)]
+    lattice, counts = Lattice(PATH), np.arange(1, 8)
+    want = lattice.expected(words, counts)
+    monkeypatch.setattr(lm, "VECTOR_CHARS", 3)
+    assert np.allclose(lattice.expected(words, counts), want, rtol=1e-9, atol=1e-12)
