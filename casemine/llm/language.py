@@ -10,7 +10,9 @@ probabilities are calibrated on texts that took no part in training
 all but ``REJECT`` of the right calibration predictions reach.
 
 Training uses a bounded sample: about ``per_language`` labelled rows of each
-language, of at most ``train_bytes`` bytes, chosen by a hash of the id.  As the
+language, chosen by a hash of the id; all of a text of at most ``train_bytes``
+bytes, and a stretch of ``train_bytes // 4`` characters of a longer one, from a
+place chosen by that hash.  As the
 model is linear, embeddings and output layer fold into one table (hash bucket x
 language, under a megabyte) that travels with the tasks; predicting a whole
 text is a gather and a sum, without a shuffle.
@@ -42,6 +44,7 @@ NONE = 1 << BUCKET_BITS  # bucket of no gram; its embedding stays zero
 LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 MOST_LANGUAGES = 1000
 PIECE_BYTES = 1 << 20
+TRAIN_PIECE = 4096  # a training text is dealt whole in pieces of so many bytes
 
 
 @dataclass(frozen=True)
@@ -123,8 +126,8 @@ def train(texts: list[str], names: list[str], seed: int = 11) -> Model:
         for size in (12, 40, 150, 600, 1 << 30):
             start = int(rng.integers(0, max(1, len(raw) - size)))
             piece = raw[start:start + size].strip()
-            if piece:
-                parts.append(piece[:4096])
+            for a in range(0, len(piece), TRAIN_PIECE):
+                parts.append(piece[a:a + TRAIN_PIECE])
                 label.append(at[name])
                 late.append(held)
     y, late = np.array(label, dtype=np.int64), np.array(late, dtype=bool)
@@ -176,16 +179,21 @@ def train(texts: list[str], names: list[str], seed: int = 11) -> Model:
 
 
 def fit(docs: DataFrame, learn_from: Column | None = None, per_language: int = 400, train_bytes: int = 1 << 16,
-        doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Train on about ``per_language`` rows of each of the (at most
-    ``MOST_LANGUAGES``) languages among the rows that ``learn_from`` allows."""
-    known = docs.where(F.col(lang).isNotNull() & F.octet_length(text).between(1, train_bytes))
+        doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+        most_languages: int = MOST_LANGUAGES) -> Model:
+    """Train on about ``per_language`` rows of each language among the rows that
+    ``learn_from`` allows.  The model takes 64 KB a language; more than
+    ``most_languages`` are an error."""
+    known = docs.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0))
     if learn_from is not None:
         known = known.where(learn_from)
-    known = known.select(F.col(lang).alias("_l"), F.col(text).alias("_t"), F.xxhash64(F.col(doc_id), F.col(text)).alias("_h"))
+    h, stretch = F.xxhash64(F.col(doc_id), F.col(text)), train_bytes // 4
+    place = F.pmod(F.shiftright(h, 30), F.length(text) - stretch + 1).cast("int") + 1
+    part = F.when(F.octet_length(text) <= train_bytes, F.col(text)).otherwise(F.substring(F.col(text), place, F.lit(stretch)))
+    known = known.select(F.col(lang).alias("_l"), part.alias("_t"), h.alias("_h"))
     counts = known.groupBy("_l").agg(F.count(F.lit(1)).alias("_n"))
-    if counts.count() > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if counts.count() > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     share = F.lit(float(per_language)) / F.col("_n")
     chosen = known.join(F.broadcast(counts), "_l").where(
         F.pmod("_h", F.lit(1 << 30)) < share * (1 << 30)).select("_l", "_t", "_h").collect()

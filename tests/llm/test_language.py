@@ -1,3 +1,6 @@
+import random
+
+from casemine.llm import language
 from casemine.llm.language import Model, fit, logits, plain, predict
 from casemine.llm.queries import QUERIES
 
@@ -44,3 +47,22 @@ def test_long_texts_are_summed_whole(spark, frame, monkeypatch):
     whole = logits(raws, model)
     monkeypatch.setattr(language, "PIECE_BYTES", 50)
     assert abs(logits(raws, model) - whole).max() < 1e-6
+
+
+def test_all_of_a_training_text_and_long_texts_teach(spark, frame):
+    """A language whose texts start with 4 KB of another, and one that only
+    occurs in texts above ``train_bytes``."""
+    rng = random.Random(6)
+    words = {x: ["".join(rng.choice(c) for _ in range(rng.randint(2, 7))) for _ in range(300)]
+             for x, c in (("a", "abcdef"), ("b", "ghijkl"), ("c", "mnopqr"))}
+    prose = lambda x, n: " ".join(rng.choice(words[x]) for _ in range(n))
+    rows = [(i, prose("a", 300), "a") for i in range(20)] + [(100 + i, prose("c", 6000), "c") for i in range(20)]
+    docs = frame(rows)
+    model = language.fit(docs, train_bytes=1 << 13)
+    assert model.languages == ("a", "c")
+    got = language.predict(frame([(1, prose("a", 40)), (2, prose("c", 40))]), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "a", 2: "c"}
+    late = language.train([prose("a", 800)[:4200] + " " + prose("b", 8000) for _ in range(40)]
+                          + [prose("c", 2000) for _ in range(40)], ["b"] * 40 + ["c"] * 40)
+    z = language.logits([language.plain(prose("b", 200))], late)[0]
+    assert late.languages[z.argmax()] == "b" and language.softmax(z[None] / late.temperature)[0].max() > 0.9
