@@ -170,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, pe
                     for late in (False, True))
     plain = [w for t in learn[0] for w in windows(t)]
     random.Random(7).shuffle(plain)
-    ordinary = train_dictionary(plain[:40_000], ORDINARY_BYTES)
+    ordinary = train_dictionary(plain, ORDINARY_BYTES)
     marked = passages(learn[1], learn[0]) or [w for t in learn[1] for w in windows(t)]
     # short passages, mixed and joined, so that one segment can hold several
     mixed = random.Random(3).sample(marked * 3, 3 * len(marked))

@@ -1,3 +1,6 @@
+import random
+
+from casemine.llm import toxicity
 from casemine.llm.queries import QUERIES
 from casemine.llm.toxicity import Model, fit, score, windows
 
@@ -32,3 +35,14 @@ def test_edges(spark, frame):
     assert min(got[i] for i in range(1, 40, 2)) > max(got[i] for i in range(0, 40, 2))
     assert score(docs, model).count() == 5 and score(frame([]), model).count() == 0
     assert isinstance(fit(frame([]), labels), Model)
+
+
+def test_all_windows_train_the_ordinary_dictionary(spark, monkeypatch):
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    docs = spark.createDataFrame([(i, prose(2000)) for i in range(420)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 6)) for i in range(420)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train_dictionary", lambda samples, *a, **b: seen.append(len(samples)) or b"abcdefgh")
+    toxicity.fit(docs, labels)
+    assert seen[0] > 50_000
