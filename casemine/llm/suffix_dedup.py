@@ -525,7 +525,27 @@ def _boxed(rows: DataFrame, blocks: int) -> DataFrame:
 
 # the operator ----------------------------------------------------------------
 
-def _apply(boxes: pa.Table, marks: pa.Table, schema: pa.Schema) -> pa.Table:
+def _to_characters(raw: bytes, lo: list[int], hi: list[int]) -> tuple[list[int], list[int]]:
+    """Intervals of UTF-8 bytes, widened to whole characters."""
+    def start(at: int) -> int:
+        """First byte of the character that holds the byte ``at``."""
+        back = at
+        while back > 0 and at - back < 3 and back < len(raw) and raw[back] & 0xC0 == 0x80:
+            back -= 1
+        return back
+
+    def size(lead: int) -> int:
+        return 1 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+
+    out = [], []
+    for a, b in zip(lo, hi):
+        first, last = start(a), start(b - 1)
+        out[0].append(first if first + size(raw[first]) > a else a)
+        out[1].append(min(len(raw), max(b, last + size(raw[last]))))
+    return out
+
+
+def _apply(boxes: pa.Table, marks: pa.Table, schema: pa.Schema, characters: bool) -> pa.Table:
     """Cut the marked intervals out of a block's texts."""
     docs = _unbox(boxes)
     if docs is None:
@@ -540,6 +560,8 @@ def _apply(boxes: pa.Table, marks: pa.Table, schema: pa.Schema) -> pa.Table:
     for dk, th, raw in zip(*(docs.column(k).to_pylist() for k in ("dk", "th", "text"))):
         raw = raw or b""
         lo, hi = spans.get((dk, th), ((), ()))
+        if characters:
+            lo, hi = _to_characters(raw, lo, hi)
         kept = b"".join(raw[a:b] for a, b in zip([0, *hi], [*lo, len(raw)])) if lo else raw
         for k, v in zip(out, (len(raw), len(raw) - len(kept), len(lo), kept)):
             out[k].append(v)
@@ -549,9 +571,10 @@ def _apply(boxes: pa.Table, marks: pa.Table, schema: pa.Schema) -> pa.Table:
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: Column | None = None,
-          hot: int | None = None) -> DataFrame:
+          hot: int | None = None, characters: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) per
-    row; ``carry`` is a column of ``docs`` that comes along as ``row``."""
+    row; ``carry`` is a column of ``docs`` that comes along as ``row``.  With
+    ``characters``, a character that loses some of its bytes goes whole."""
     spark = docs.sparkSession
     hot = HOT if hot is None else hot
     raw = F.col(text).cast("binary")
@@ -579,4 +602,4 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: Co
         found.append(_hot_marks(compact, grouped.where(F.col("kind") == FETCH_HOT), blocks))
     marks = reduce(DataFrame.unionByName, found)
     return _boxed(placed, blocks).groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(
-        lambda a, b: _apply(a, b, shape), out)
+        lambda a, b: _apply(a, b, shape, characters), out)

@@ -57,23 +57,15 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     of its bytes goes with them.  ``n_chars`` follows the new text."""
     other = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     row = F.struct(F.col("text").isNull().alias("no_text"), *[F.col(c) for c in other])
-    got = suffix_dedup.dedup(docs, carry=row)
-    # invalid bytes decode to U+FFFD; texts that had the character before keep it
-    whole = F.when(F.col("n_removed") == 0, F.decode("kept", "UTF-8")).otherwise(_valid_text(F.col("kept")))
-    text = F.when(~F.col("row.no_text"), whole)
+    got = suffix_dedup.dedup(docs, carry=row, characters=True)
+    # bytes that were no UTF-8 before become U+FFFD; the cut makes none
+    text = F.when(~F.col("row.no_text"), F.make_valid_utf8(F.col("kept").cast("string")))
     kinds = dict(docs.dtypes)
     columns = {"doc_id": F.col("doc_id").cast(kinds["doc_id"]), "text": text,
                "n_chars": F.length(text).cast(kinds.get("n_chars", "long"))}
     return got.select(*[(columns[c] if c in columns else F.col(f"row.{c}")).alias(c) for c in docs.columns])
 
 
-def _valid_text(raw):
-    """UTF-8 text of bytes from which runs were cut: halves of characters go."""
-    replaced = F.make_valid_utf8(raw.cast("string"))
-    return F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")).otherwise(
-        F.regexp_replace(replaced, "�", ""))
-
-
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return _rows_of(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")), "left_anti")

@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +97,13 @@ def test_odd_rows(spark, frame, tmp_path):
     for _, stage in cp.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
     assert simhash.fingerprint(None) == 0
+
+
+def test_cut_inside_characters(spark, frame):
+    """The passage starts and ends inside characters; both go, and no other
+    character, nor do their halves make a new one."""
+    rng = random.Random(5)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    data = [(1, "one é" + shared + "é end"), (2, "\ufffd two ĩ" + shared + "è \ufffd end")]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in cp.cut_repeats(spark, frame(data), "").collect()}
+    assert got == {1: (data[0][1], len(data[0][1])), 2: ("\ufffd two  \ufffd end", 12)}
