@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, bpe, decontaminate, language, lattice_lm, quality, sharding, simhash, suffix_dedup, toxicity
+from . import (ann, bpe, decontaminate, language, lattice_lm, merkle, quality, sharding, simhash, suffix_dedup,
+               toxicity)
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +141,68 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_neighbours")
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+# crc32 of a decimal id: one step per byte (>= 0) and eight shifts (-1) behind it
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+_LEAF = "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars"))) + " || {text})"
+
+
+@query("op13_merkle", f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_LEAF.format(text=_field("text"))} AS leaf,
+         CASE WHEN {_CRC} % 2 = 0 THEN {_LEAF.format(text=_field("replace(text, chr(10), '')"))}
+              ELSE {_LEAF.format(text=_field("text"))} END AS fresh
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+             count(*) OVER (PARTITION BY source) AS n, coalesce(source, chr(1)) AS tree FROM d),
+up(tree, level, idx, n, h) AS (
+  SELECT tree, 0, idx, n, leaf FROM l
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM up WHERE n > 1 GROUP BY tree, level, idx // 3, n),
+s AS (SELECT tree, h, row_number() OVER (ORDER BY tree <> chr(1), encode(tree)) - 1 AS idx, count(*) OVER () AS n
+      FROM up WHERE n = 1),
+over(level, idx, n, h) AS (
+  SELECT 0, idx, n, h FROM s
+  UNION ALL
+  SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM over WHERE n > 1 GROUP BY level, idx // 3, n),
+-- both trees as runs (tree, level, run), and every leaf's place in them
+nodes AS (SELECT tree, level, idx, h FROM up WHERE n > 1 UNION ALL SELECT '', 100 + level, idx, h FROM over WHERE n > 1),
+sides AS (SELECT a.tree, a.level, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS lhs,
+                 coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS rhs
+          FROM nodes a JOIN nodes b ON b.tree = a.tree AND b.level = a.level AND b.idx // 3 = a.idx // 3
+          GROUP BY a.tree, a.level, a.idx),
+met AS (SELECT l.tree AS home, l.idx AS place, sides.level, lhs, rhs
+       FROM l JOIN sides ON sides.tree = l.tree AND sides.idx = l.idx // (3 ** sides.level)::BIGINT
+       UNION ALL
+       SELECT l.tree, l.idx, sides.level, lhs, rhs
+       FROM l JOIN s ON s.tree = l.tree JOIN sides ON sides.tree = '' AND sides.idx = s.idx // (3 ** (sides.level - 100))::BIGINT),
+steps AS (SELECT *, row_number() OVER (PARTITION BY home, place ORDER BY level) AS k FROM met),
+folded(home, place, k, h) AS (
+  SELECT tree, idx, 0, fresh FROM l
+  UNION ALL
+  SELECT f.home, f.place, f.k + 1, sha256(lhs || h || rhs)
+  FROM folded f JOIN steps ON steps.home = f.home AND steps.place = f.place AND steps.k = f.k + 1),
+ends AS (SELECT home, place, arg_max(h, k) AS h FROM folded GROUP BY home, place),
+proofs AS (SELECT home, place, string_agg(lhs || rhs, '' ORDER BY k) AS p FROM steps GROUP BY home, place)
+SELECT l.doc_id, l.leaf, s.h AS subroot, o.h AS root, sha256(coalesce(p.p, '')) AS proof_sha256, e.h AS folded_root,
+       e.h = o.h AS verified
+FROM l JOIN s ON s.tree = l.tree JOIN ends e ON e.home = l.tree AND e.place = l.idx
+LEFT JOIN proofs p ON p.home = l.tree AND p.place = l.idx, (SELECT h FROM over WHERE n = 1) o
+""")
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0
+    got = merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "source",
+                          changed=tampered, today={"text": F.replace("text", F.lit("\n"), F.lit(""))})
+    return got.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
