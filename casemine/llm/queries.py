@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import (ann, bpe, decontaminate, language, lattice_lm, merkle, quality, sharding, simhash, suffix_dedup,
-               toxicity)
+from . import (ann, bpe, decontaminate, filter_audit, language, lattice_lm, merkle, pieces, quality, sharding, simhash,
+               suffix_dedup, toxicity)
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,7 +105,7 @@ def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def piece_path() -> str:
-    """The subword vocabulary whose pieces make the lattices."""
+    """The subword vocabulary of the lattices and of SentencePiece encoding."""
     import public_tokenizers
     return public_tokenizers.path("piece_bpe_32k.model")
 
@@ -143,6 +143,47 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pieces.encode(table(spark, sf_dir, "documents"), piece_path(), decoded=True)
+    return got.select("doc_id", "n_tokens",
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+                      F.element_at("bounds", -1).cast("long").alias("n_bytes"))
+
+
+@query("op12_filter_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+f AS (SELECT doc_id, part, CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS failed FROM w),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+c AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN l ON l.doc_id = f.doc_id GROUP BY part, failed),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (SELECT filter_order, step::INTEGER AS step, filter_order[step] AS k, filter_order[1:step - 1] AS earlier
+      FROM o, range(1, 6) r(step)),
+-- every order run over every set of failures: nothing is shared between orders
+m AS (SELECT c.part, filter_order, step, k, n, good, toxic, contains(failed, k) AS hit, failed = k AS alone,
+             earlier <> '' AND regexp_matches(failed, '[' || earlier || 'z]') AS gone FROM c, s),
+t AS (SELECT part, filter_order, step, k, sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+             sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN hit AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+             sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+             sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost FROM m GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley FROM t
+""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"))
+
+
 # crc32 of a decimal id: one step per byte (>= 0) and eight shifts (-1) behind it
 _CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
     string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
