@@ -18,6 +18,7 @@ from ..functions import text as T
 from ..functions.hashing import md5_mod
 from .broadcast import bounded_values, join_small
 from .ranking import row_number_within
+from .substring import contained_scores
 
 
 def vocabulary(term_df: DataFrame) -> DataFrame:
@@ -41,23 +42,31 @@ def line_terms(line) -> F.Column:
     return F.array_distinct(F.transform(T.raw_tokens(line), T.strip_affixes))
 
 
-def term_weights(term_df: DataFrame, dims: DataFrame, guessed: DataFrame) -> DataFrame:
+def term_weights(term_df: DataFrame, dims: DataFrame, guessed: DataFrame, match: str = "token") -> DataFrame:
     """(term, weight) for every vocabulary term:
     min(count, 9) [count is 1: tokens are a set per case]
     + (md5 % 100 + 10 when longer than 7 characters)
     + (md5 % 1000 + 100 when a cause word) + (md5 % 10000 + 1000 when a title word)
-    + (best score % 10000 + 1000 when a word of a guessed problem line) + (same for solution).
+    + (best score % 10000 + 1000 when in a guessed problem line) + (same for solution).
+    match: "token" (a term is in a line when it is one of its words) or
+    "substring" (when it occurs anywhere in the line).
     """
+    def in_lines(kind: str) -> DataFrame:
+        if match == "substring":
+            lines = guessed.select(F.col(kind).alias("line"), F.col(f"{kind}_score").alias("score"))
+            got = contained_scores(term_df, lines)
+        else:
+            got = guessed.select(F.explode(line_terms(F.col(kind))).alias("term"),
+                                 F.col(f"{kind}_score").alias("score"))
+        return got.select("term", F.lit(kind).alias("kind"), F.col("score").alias("val"))
+
     facts = [
         term_df.select("term", F.lit("v").alias("kind"), F.lit(0.0).alias("val")),
         dims.select(F.explode("title_words").alias("term"), F.lit("title").alias("kind"),
                     F.lit(0.0).alias("val")),
         dims.select(F.explode("cause_words").alias("term"), F.lit("cause").alias("kind"),
                     F.lit(0.0).alias("val")),
-        guessed.select(F.explode(line_terms(F.col("problem"))).alias("term"),
-                       F.lit("problem").alias("kind"), F.col("problem_score").alias("val")),
-        guessed.select(F.explode(line_terms(F.col("solution"))).alias("term"),
-                       F.lit("solution").alias("kind"), F.col("solution_score").alias("val")),
+        in_lines("problem"), in_lines("solution"),
     ]
     allf = facts[0]
     for f in facts[1:]:

@@ -29,7 +29,7 @@ from ..sources import tables as S
 class CaseModel:
     def __init__(self, spark: SparkSession, sf_dir: str, k: int = C.KMEANS_START_K + C.KMEANS_K_STEP,
                  topics: str = "series", centres: str = "product", lda_iterations: int = C.LDA_ITERATIONS,
-                 y_mode: str = "correct", extra_words: DataFrame | None = None,
+                 y_mode: str = "correct", match: str = "token", extra_words: DataFrame | None = None,
                  problem_templates: Sequence[str] = C.PROBLEM_TEMPLATES,
                  solution_templates: Sequence[str] = C.SOLUTION_TEMPLATES):
         """topics: "series" (each product series is a topic; deterministic) or
@@ -37,11 +37,12 @@ class CaseModel:
         centres: "product" (the mean of all points of each product, for the k
         products with most cases; deterministic) or "kmeans" (Spark ML k-means).
         y_mode: "correct" or "compat" (the as-coded 101 * max(n, 1)).
+        match: how a term is found in a guessed line, as a "token" or a "substring".
         extra_words, problem_templates, solution_templates: dictionaries beside
         or in place of the built-in ones."""
         self.spark, self.sf_dir, self.k = spark, sf_dir, k
         self.topics, self.centres, self.lda_iterations = topics, centres, lda_iterations
-        self.y_mode = y_mode
+        self.y_mode, self.match = y_mode, match
         self.kmeans_history: list[tuple[int, float]] = []
         self.extra_words = extra_words
         self.problem_templates, self.solution_templates = problem_templates, solution_templates
@@ -104,7 +105,7 @@ class CaseModel:
 
     @cached_property
     def weights(self) -> DataFrame:
-        return TR.term_weights(self.term_df, self.dims, self.guessed)
+        return TR.term_weights(self.term_df, self.dims, self.guessed, self.match)
 
     @cached_property
     def vocabulary(self) -> DataFrame:

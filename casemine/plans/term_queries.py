@@ -48,15 +48,16 @@ _GUESSED = f"""
 """
 
 
-@query("term_weights", f"""
+# the weight of every term, by how terms are found in the guessed lines
+_WEIGHTS = f"""
 WITH facts AS (
   SELECT term, 'v' AS kind, 0.0 AS val FROM {_TERM_DF} v
   UNION ALL SELECT unnest(list_distinct({P.raw_tokens("string_split(text, chr(10))[1]")})), 'title', 0.0
             FROM documents
   UNION ALL SELECT unnest(list_distinct(string_split(lower(coalesce(lang, '') || '--' ||
             coalesce(source, '')), '--'))), 'cause', 0.0 FROM documents
-  UNION ALL SELECT unnest({P.line_terms('problem')}), 'problem', problem_score FROM {_GUESSED} g1
-  UNION ALL SELECT unnest({P.line_terms('solution')}), 'solution', solution_score FROM {_GUESSED} g2
+  UNION ALL {{in_problem}}
+  UNION ALL {{in_solution}}
 ), folded AS (
   SELECT term, max(CASE WHEN kind = 'v' THEN 1 END) AS is_v,
          max(CASE WHEN kind = 'title' THEN 1 END) AS is_title,
@@ -71,11 +72,28 @@ SELECT term, round(1.0
    + coalesce(p_score % 10000 + 1000, 0.0)
    + coalesce(s_score % 10000 + 1000, 0.0), 6) AS weight
 FROM folded WHERE is_v = 1
-""")
+"""
+
+_TOKEN_MATCH = {kind: f"SELECT unnest({P.line_terms(kind)}), '{kind}', {kind}_score FROM {_GUESSED} g"
+                for kind in ("problem", "solution")}
+_SUBSTRING_MATCH = {kind: f"SELECT v.term, '{kind}', g.{kind}_score FROM {_TERM_DF} v, {_GUESSED} g "
+                          f"WHERE contains(g.{kind}, v.term)" for kind in ("problem", "solution")}
+
+
+def _weights_sql(match: dict[str, str]) -> str:
+    return _WEIGHTS.replace("{in_problem}", match["problem"]).replace("{in_solution}", match["solution"])
+
+
+@query("term_weights", _weights_sql(_TOKEN_MATCH))
 def term_weights(spark, sf_dir):
     return CaseModel(spark, sf_dir).weights
 
 
+@query("term_weights_substring", _weights_sql(_SUBSTRING_MATCH))
+def term_weights_substring(spark, sf_dir):
+    """The same with terms found anywhere inside the guessed lines."""
+    return CaseModel(spark, sf_dir, match="substring").weights
+
 
 _TOPIC_TOP = f"""
 (WITH s AS (SELECT series AS topic, token AS term, count(*)::DOUBLE AS score
