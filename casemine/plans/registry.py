@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules registers their queries
     from . import (text_queries, extract_queries, case_queries, term_queries,  # noqa: F401
-                   cluster_queries, stream_queries, ml_queries)
+                   cluster_queries, stream_queries, ml_queries, posting_queries, related_queries)
