@@ -11,6 +11,12 @@ Alignment of line words ``L`` (n words) to template words ``T`` (m words):
   * output: front = ``<`` + words before the run joined by ``-`` + ``>``,
     middle = the run joined by spaces, tail = ``<`` + words after the run + ``>``.
 
+The other choice (``pick="longest"``) takes the longest run of words that line and
+template have in common, wherever it starts in either (ties: the earliest start in
+the line, then in the template).  Runs are found by a dynamic programme over the
+line's words: behind every word stands, per template word, the length of the
+common run that ends with both.
+
 Similarity compares the aligned vector ``[front, run words..., tail]`` with
 the template, both mapped word-by-word to the top 32 bits of md5 in [0, 1):
 ``sum(a*b) / sqrt(sum(a*a + b*b))`` when both have the same length, else 0.
@@ -81,14 +87,11 @@ def _staged(arr: Column, **fields) -> Column:
     return F.transform(arr, add)
 
 
-def line_template_scores(L: Column, templates: Sequence[str], aligned_only: bool = False) -> Column:
-    """array<struct<template_id, aligned, start, run, front, middle, tail, score>>
-    for one line (words ``L``, best passed as a lambda variable or plain column)
-    against every template.  Computed in stages so nothing is evaluated twice."""
-    a = _staged(template_literals(templates),
-                s=lambda r: F.array_max(F.transform(
-                    r["twords"], lambda t: F.array_position(L, t).cast("int") - 1)),
-                n=lambda r: F.size(L))
+def _rightmost(a: Column, L: Column, aligned_only: bool) -> Column:
+    """Adds aligned, s0 (0-based start) and run: the rightmost first position
+    of a template word, and how far line and template agree from there."""
+    a = _staged(a, s=lambda r: F.array_max(F.transform(
+        r["twords"], lambda t: F.array_position(L, t).cast("int") - 1)))
     a = _staged(a, s0=lambda r: F.greatest(r["s"], F.lit(0)),
                 aligned=lambda r: (r["n"] >= F.size(r["twords"])) & (r["s"] >= 0))
     if aligned_only:
@@ -99,7 +102,51 @@ def line_template_scores(L: Column, templates: Sequence[str], aligned_only: bool
         F.slice(L, r["s0"] + 1, r["n"]), F.slice(r["twords"], F.greatest(r["u"], F.lit(1)), F.lit(1 << 20)),
         lambda x, y: F.coalesce(x == y, F.lit(False))))
     a = _staged(a, pos=lambda r: F.array_position(r["eq"], False).cast("int"))
-    a = _staged(a, run=lambda r: F.when(r["pos"] == 0, F.size(r["eq"])).otherwise(r["pos"] - 1))
+    return _staged(a, run=lambda r: F.when(r["pos"] == 0, F.size(r["eq"])).otherwise(r["pos"] - 1))
+
+
+def longest_run(L: Column, T: Column) -> Column:
+    """struct<run, neg_start, neg_u>: the longest contiguous run of words of
+    ``L`` that ``T`` has too, and its 0-based starts in both, negated."""
+    none = F.struct(F.lit(0).alias("run"), F.lit(0).alias("neg_start"), F.lit(0).alias("neg_u"))
+
+    def best(acc: Column) -> Column:
+        """The better of the best so far and the runs that end at word ``i``."""
+        here = F.transform(acc["runs"], lambda run, j: F.struct(
+            run.alias("run"), F.when(run > 0, run - acc["i"]).otherwise(0).alias("neg_start"),
+            F.when(run > 0, run - 1 - j).otherwise(0).alias("neg_u")))
+        return F.greatest(acc["best"], F.array_max(here))
+
+    def step(acc: Column, word: Column) -> Column:
+        # a run that ended one word earlier in both goes on
+        runs = F.zip_with(F.concat(F.array(F.lit(0)), F.slice(acc["runs"], 1, F.size(T) - 1)), T,
+                          lambda before, t: F.when(t == word, before + 1).otherwise(0))
+        return F.struct((acc["i"] + 1).alias("i"), runs.alias("runs"), best(acc).alias("best"))
+
+    start = F.struct(F.lit(0).alias("i"), F.transform(T, lambda _: F.lit(0)).alias("runs"), none.alias("best"))
+    return F.aggregate(L, start, step, best)
+
+
+def _longest(a: Column, L: Column, aligned_only: bool) -> Column:
+    """Adds aligned, s0 and run of the longest common run."""
+    a = _staged(a, aligned=lambda r: (r["n"] >= F.size(r["twords"])) & F.arrays_overlap(L, r["twords"]))
+    if aligned_only:
+        a = F.filter(a, lambda r: r["aligned"])
+    a = _staged(a, found=lambda r: longest_run(L, r["twords"]))
+    return _staged(a, s0=lambda r: -r["found"]["neg_start"], run=lambda r: r["found"]["run"])
+
+
+PICKS = {"rightmost": _rightmost, "longest": _longest}
+
+
+def line_template_scores(L: Column, templates: Sequence[str], aligned_only: bool = False,
+                         pick: str = "rightmost", cosine: bool = False) -> Column:
+    """array<struct<template_id, aligned, start, run, front, middle, tail, score>>
+    for one line (words ``L``, best passed as a lambda variable or plain column)
+    against every template.  Computed in stages so nothing is evaluated twice.
+    ``cosine``: adds the proper cosine of the two vectors."""
+    a = _staged(template_literals(templates), n=lambda r: F.size(L))
+    a = PICKS[pick](a, L, aligned_only)
     a = _staged(a,
                 front=lambda r: F.concat(F.lit("<"), F.array_join(F.slice(L, 1, r["s0"]), "-"), F.lit(">")),
                 mid=lambda r: F.slice(L, r["s0"] + 1, r["run"]),
@@ -121,11 +168,13 @@ def line_template_scores(L: Column, templates: Sequence[str], aligned_only: bool
             F.when(ok, F.array_join(r["mid"], " ")).otherwise("").alias("middle"),
             F.when(ok, r["tail"]).otherwise("").alias("tail"),
             F.when(ok & (r["dn"] > 0), F.round(r["dt"] / r["dn"], 6)).otherwise(F.lit(0.0)).alias("score"),
+            *([F.when(ok, F.round(true_cosine(r["wunits"], r["units"]), 6)).otherwise(F.lit(0.0)).alias("cosine")]
+              if cosine else []),
         )
     return F.transform(a, out)
 
 
-def line_score(L: Column, templates: Sequence[str]) -> Column:
+def line_score(L: Column, templates: Sequence[str], pick: str = "rightmost") -> Column:
     """Best similarity of a line over all templates (0 when none aligns)."""
-    scores = F.transform(line_template_scores(L, templates, aligned_only=True), lambda r: r["score"])
+    scores = F.transform(line_template_scores(L, templates, aligned_only=True, pick=pick), lambda r: r["score"])
     return F.coalesce(F.array_max(scores), F.lit(0.0))

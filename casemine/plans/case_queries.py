@@ -95,3 +95,26 @@ JOIN {P.guessed_sql('solution', C.SOLUTION_TEMPLATES, C.UNKNOWN_SOLUTION)} s ON
 """)
 def guessed_lines(spark, sf_dir):
     return G.guessed_lines(S.cases(spark, sf_dir))
+
+
+@query("template_alignment_longest", f"""
+SELECT 'problem' AS region, * FROM {P.alignment_sql('problem', C.PROBLEM_TEMPLATES, 'longest', P.COSINE)} p
+UNION ALL SELECT 'solution', * FROM {P.alignment_sql('solution', C.SOLUTION_TEMPLATES, 'longest', P.COSINE)} s
+""")
+def template_alignment_longest(spark, sf_dir):
+    """Lines of both regions aligned with the templates by their longest common
+    run, with the similarity of the original program and the proper cosine."""
+    cases = S.cases(spark, sf_dir)
+    parts = [G.template_alignments(cases, region, "longest", cosine=True).select(F.lit(region).alias("region"), "*")
+             for region in ("problem", "solution")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("guessed_lines_longest", f"""
+SELECT p.case_id, p.line AS problem, p.score AS problem_score,
+       s.line AS solution, s.score AS solution_score
+FROM {P.guessed_sql('problem', C.PROBLEM_TEMPLATES, C.UNKNOWN_PROBLEM, 'longest')} p
+JOIN {P.guessed_sql('solution', C.SOLUTION_TEMPLATES, C.UNKNOWN_SOLUTION, 'longest')} s ON s.case_id = p.case_id
+""")
+def guessed_lines_longest(spark, sf_dir):
+    return G.guessed_lines(S.cases(spark, sf_dir), pick="longest")

@@ -106,19 +106,46 @@ def region_lines_sql(region: str) -> str:
             f"FROM documents) d0) d1)")
 
 
-def alignment_sql(region: str, templates) -> str:
+def longest_sql(region: str, templates) -> str:
+    """(case_id, line_no, template_id, L, twords AS T, n, m, s, run) with the
+    longest common run of each pair, by trying every start in both."""
+    words = "string_split(regexp_replace(line, ' +$', ''), ' ')"
+    return f"""
+ SELECT case_id, line_no, template_id, L, T, n, m, best.i AS s, best.run AS run FROM (
+   SELECT case_id, line_no, template_id, any_value(L) AS L, any_value(T) AS T, any_value(n) AS n, any_value(m) AS m,
+          arg_max(struct_pack(i := i, run := run), [run, -i, -u]) AS best FROM (
+     SELECT *, coalesce(list_min(list_filter(range(0, least(n - i, m - u)), lambda k: L[i + 1 + k] <> T[u + 1 + k])),
+                        least(n - i, m - u)) AS run
+     FROM (SELECT case_id, line_no, template_id, L, T, n, m, i, unnest(list_filter(range(0, m), lambda u: T[u + 1] = L[i + 1])) AS u
+           FROM (SELECT *, unnest(list_filter(range(0, n), lambda i: list_contains(T, L[i + 1]))) AS i
+                 FROM (SELECT case_id, line_no, template_id, L, twords AS T, len(L) AS n, len(twords) AS m
+                       FROM (SELECT case_id, line_no, {words} AS L FROM {region_lines_sql(region)} x) l,
+                            {templates_table(templates)}) y WHERE n >= m) z) v) w
+   GROUP BY case_id, line_no, template_id) g"""
+
+
+COSINE = """, round(CASE WHEN len(su) = m THEN
+     list_reduce(list_transform(range(1, m + 1), lambda i: su[i] * tu[i]), lambda a, b: a + b)
+     / (sqrt(list_reduce(list_transform(su, lambda a: a * a), lambda a, b: a + b))
+        * sqrt(list_reduce(list_transform(tu, lambda a: a * a), lambda a, b: a + b))) ELSE 0.0 END, 6) AS cosine"""
+
+
+def alignment_sql(region: str, templates, pick: str = "rightmost", more: str = "") -> str:
     """Aligned (line, template) pairs of a region with start/run/front/middle/tail/score."""
     words = "string_split(regexp_replace(line, ' +$', ''), ' ')"
     unit = "lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT / " + str(C.HASH_SCALE)
-    return f"""
-(WITH l AS (SELECT case_id, line_no, {words} AS L FROM {region_lines_sql(region)} x),
+    found = f"""l AS (SELECT case_id, line_no, {words} AS L FROM {region_lines_sql(region)} x),
  a1 AS (SELECT case_id, line_no, template_id, L, twords AS T, len(L) AS n, len(twords) AS m,
               list_max(list_transform(twords, lambda t: coalesce(list_position(L, t), 0) - 1)) AS s
         FROM l, {templates_table(templates)}),
  a2 AS (SELECT *, list_position(T, L[s + 1]) AS u FROM a1 WHERE n >= m AND s >= 0),
  a3 AS (SELECT *, coalesce(list_min(list_filter(range(0, least(n - s, m - u + 1)),
                                                 lambda k: L[s + 1 + k] <> T[u + k])),
-                           least(n - s, m - u + 1)) AS run FROM a2),
+                           least(n - s, m - u + 1)) AS run FROM a2)"""
+    if pick == "longest":
+        found = f"a3 AS ({longest_sql(region, templates)})"
+    return f"""
+(WITH {found},
  a4 AS (SELECT *, '<' || array_to_string(L[1 : s], '-') || '>' AS front,
                array_to_string(L[s + 1 : s + run], ' ') AS middle,
                '<' || array_to_string(L[s + run + 1 : n], '-') || '>' AS tail FROM a3),
@@ -130,16 +157,16 @@ def alignment_sql(region: str, templates) -> str:
                           lambda i: su[i] * su[i] + tu[i] * tu[i]), lambda a, b: a + b)) ELSE 0.0 END AS dn
         FROM a5)
  SELECT case_id, line_no, template_id, s + 1 AS start, run, front, middle, tail,
-        round(CASE WHEN dn > 0 THEN dt / dn ELSE 0.0 END, 6) AS score FROM a6)
+        round(CASE WHEN dn > 0 THEN dt / dn ELSE 0.0 END, 6) AS score{more} FROM a6)
 """
 
 
-def guessed_sql(region: str, templates, default: str) -> str:
+def guessed_sql(region: str, templates, default: str, pick: str = "rightmost") -> str:
     """(case_id, line, score) best line of a region per case with default."""
     return f"""
 (WITH sc AS (SELECT r.case_id, r.line_no, r.line, coalesce(max(a.score), 0.0) AS score
              FROM {region_lines_sql(region)} r
-             LEFT JOIN {alignment_sql(region, templates)} a
+             LEFT JOIN {alignment_sql(region, templates, pick)} a
                ON a.case_id = r.case_id AND a.line_no = r.line_no
              GROUP BY r.case_id, r.line_no, r.line),
  best AS (SELECT case_id, line, score

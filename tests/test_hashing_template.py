@@ -98,3 +98,45 @@ def test_dot_norms_and_cosine(spark):
     assert r[0]["d"] == 32.0 and abs(r[0]["s"] - (1 + 4 + 9 + 16 + 25 + 36) ** 0.5) < 1e-12
     assert abs(r[0]["c"] - 32 / (14 ** 0.5 * 77 ** 0.5)) < 1e-12
     assert r[1]["d"] == 0.0 and r[1]["s"] == 0.0
+
+
+def py_longest(L, T):
+    """(start, run) of the longest common run, by trying every pair of starts."""
+    best = None
+    for i in range(len(L)):
+        for u in range(len(T)):
+            k = 0
+            while i + k < len(L) and u + k < len(T) and L[i + k] == T[u + k]:
+                k += 1
+            if k and (best is None or (k, -i, -u) > best):
+                best = k, -i, -u
+    return (1 - best[1], best[0]) if best and len(L) >= len(T) else None
+
+
+def test_longest_run_matches_python_brute_force(spark):
+    rnd = random.Random(8)
+    vocab = ["is", "the", "down", "link", "of", "a", "<x>"]
+    lines = [[rnd.choice(vocab) for _ in range(rnd.randint(1, 12))] for _ in range(300)] + [["zz"] * 9, []]
+    templates = ["<x> is the <y>", "<a> of the <b> of the <c>", "link is down", "is", "the the the is"]
+    df = spark.createDataFrame([(i, l) for i, l in enumerate(lines)], "i int, L array<string>")
+    for only in (False, True):
+        got = df.select("i", F.explode(TP.line_template_scores(F.col("L"), templates, only, "longest")).alias("a")) \
+            .select("i", "a.*").collect()
+        seen = {(r["i"], r["template_id"]): (r["start"], r["run"]) for r in got if r["aligned"]}
+        want = {(i, k): py_longest(l, t.split(" ")) for i, l in enumerate(lines) for k, t in enumerate(templates)}
+        assert seen == {k: v for k, v in want.items() if v}
+        for r in got:
+            if r["aligned"]:
+                L = lines[r["i"]]
+                assert r["front"] == "<" + "-".join(L[:r["start"] - 1]) + ">"
+                assert r["tail"] == "<" + "-".join(L[r["start"] - 1 + r["run"]:]) + ">"
+
+
+def test_longest_differs_from_rightmost(spark):
+    # the rightmost template word stands alone, the longest run comes before it
+    df = spark.createDataFrame([("the link is down now is it".split(" "),)], "L array<string>")
+    row = df.select(*[F.explode(TP.line_template_scores(F.col("L"), ["link is down it"], pick=p)).alias(p)
+                      for p in ("rightmost",)], "L").first()["rightmost"]
+    longest = df.select(F.explode(TP.line_template_scores(F.col("L"), ["link is down it"], pick="longest")).alias("a")).first()["a"]
+    assert (row["start"], row["run"], row["middle"]) == (7, 1, "it")
+    assert (longest["start"], longest["run"], longest["middle"]) == (2, 3, "link is down")
