@@ -65,27 +65,65 @@ def topic_terms(spark, path: str, vocabulary: DataFrame) -> DataFrame:
         "topic", "term", (F.col("n") / F.element_at(total, F.col("topic") + 1)).alias("weight"))
 
 
+def lda_counts(spark, path: str) -> tuple[DataFrame, DataFrame, DataFrame, list[float]]:
+    """What a saved EM model rests on: (term_id, counts) and (doc, counts), an
+    array with a number per topic each; (doc, term_id, n), the entries of the
+    vectors it was fitted on; the topics' totals."""
+    data = f"{path}/oldModel/data"
+    counts = spark.read.parquet(f"{data}/topicCounts").select("id", vector_to_array("topicWeights").alias("counts"))
+    entries = spark.read.parquet(f"{data}/tokenCounts").select(
+        F.col("srcId").alias("doc"), (-F.col("dstId") - 1).alias("term_id"), F.col("tokenCounts").alias("n"))
+    totals = spark.read.parquet(f"{data}/globalTopicTotals").first()[0].toArray().tolist()
+    return (counts.where("id < 0").select((-F.col("id") - 1).alias("term_id"), "counts"),
+            counts.where("id >= 0").select(F.col("id").alias("doc"), "counts"), entries, totals)
+
+
+def expectation_step(entries: DataFrame, by_term: DataFrame, by_doc: DataFrame, totals: list[float],
+                     vocab_size: int, alpha: float, beta: float) -> DataFrame:
+    """(term_id, counts) after one more step of EM LDA: every entry's number is
+    dealt over the topics in proportion to (the term's count + beta - 1) (the
+    document's count + alpha - 1) / (the topic's total + (beta - 1) V), then
+    summed up per term."""
+    k = len(totals)
+    met = salted_join(entries, by_term.withColumnRenamed("counts", "of_term"), "term_id").join(
+        by_doc.withColumnRenamed("counts", "of_doc"), "doc")
+    share = F.array(*[(F.col("of_term")[t] + (beta - 1)) * (F.col("of_doc")[t] + (alpha - 1))
+                      / F.lit(totals[t] + (beta - 1) * vocab_size) for t in range(k)])
+    dealt = met.select("term_id", "n", share.alias("share"))
+    whole = F.aggregate("share", F.lit(0.0), lambda a, b: a + b)
+    each = dealt.select("term_id", *[(F.col("n") * F.col("share")[t] / whole).alias(f"t{t}") for t in range(k)])
+    sums = each.groupBy("term_id").agg(*[F.sum(f"t{t}").alias(f"t{t}") for t in range(k)])
+    return sums.select("term_id", F.array(*[F.col(f"t{t}") for t in range(k)]).alias("counts"))
+
+
 def graph_ids(spark) -> dict:
     """Persisted RDDs of graphs (an EM LDA model keeps its last ones)."""
     rdds = spark.sparkContext._jsc.getPersistentRDDs()
     return {int(k): rdds[k] for k in list(rdds.keys()) if any(n in rdds[k].toString() for n in ("VertexRDD", "EdgeRDD"))}
 
 
-def lda_topics(docs: DataFrame, vocabulary: DataFrame, vocab_size: int, k: int = C.LDA_TOPICS,
-               iterations: int = C.LDA_ITERATIONS, seed: int = 7) -> DataFrame:
-    """Fit LDA (EM) and return its (topic, term, weight) table, written to the
-    checkpoint folder; the fit's graph and its files are released."""
+def save_lda(docs: DataFrame, vocab_size: int, path: str, k: int = C.LDA_TOPICS,
+             iterations: int = C.LDA_ITERATIONS, seed: int = 7) -> None:
+    """Fit LDA (EM) and save the model; the fit's graph and its files are released."""
     spark = docs.sparkSession
     before = set(graph_ids(spark))
-    path = scratch_path(spark, f"lda-{uuid.uuid4().hex}")
     model = fit_lda(docs, vocab_size, k, iterations, seed)
     model.save(path)
-    topics = topic_terms(spark, path, vocabulary).checkpoint(eager=True)
     for file in model.getCheckpointFiles():
         drop_path(spark, file)
     for key, rdd in graph_ids(spark).items():
         if key not in before:
             rdd.unpersist(False)
+
+
+def lda_topics(docs: DataFrame, vocabulary: DataFrame, vocab_size: int, k: int = C.LDA_TOPICS,
+               iterations: int = C.LDA_ITERATIONS, seed: int = 7) -> DataFrame:
+    """Fit LDA (EM) and return its (topic, term, weight) table, written to the
+    checkpoint folder."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, f"lda-{uuid.uuid4().hex}")
+    save_lda(docs, vocab_size, path, k, iterations, seed)
+    topics = topic_terms(spark, path, vocabulary).checkpoint(eager=True)
     drop_path(spark, path)
     return topics
 

@@ -21,7 +21,7 @@ from . import sqlparts as P
 from .model import CaseModel
 from .registry import query
 from .cluster_queries import _ASSIGNED, K
-from .term_queries import _ITEMS
+from .term_queries import _ITEMS, _TERM_DF, _TOKEN_MATCH, _weights_sql
 
 
 def _nb(spark, sf_dir):
@@ -142,6 +142,39 @@ def lda_topic_checks(spark, sf_dir):
         F.countDistinct("term").alias("terms"), F.round(F.sum("weight"), 6).alias("weight"))
 
 
+@query("lda_mass_checks", f"""
+SELECT v.term, v.df, w.weight AS weight, w.weight AS weight_after FROM {_TERM_DF} v
+JOIN ({_weights_sql(_TOKEN_MATCH)}) w ON w.term = v.term
+""")
+def lda_mass_checks(spark, sf_dir):
+    """No weight is lost or made: all topics together hold of a term what the
+    cases' vectors hold, a weight per case, also after one more step."""
+    m = CaseModel(spark, sf_dir)
+    return m.lda_mass.join(m.term_df, "term").select(
+        "term", "df", F.round(F.col("mass") / F.col("df"), 6).alias("weight"),
+        F.round(F.col("mass_after") / F.col("df"), 6).alias("weight_after"))
+
+
+@query("lda_high_value_checks", f"""
+SELECT topic, count(*) AS n_terms, floor(count(*) * {C.TOPIC_TOP_FRACTION})::BIGINT AS n_top, true AS best_taken,
+       true AS all_in_union
+FROM {_TERM_DF} v, range(0, {C.LDA_TOPICS}) k(topic) WHERE length(term) >= {C.TOPIC_MIN_TERM_LENGTH} GROUP BY topic
+""")
+def lda_high_value_checks(spark, sf_dir):
+    """High-value terms from LDA topics: of each topic's terms the best share is
+    taken, no term left out weighs more, and all of them are in the union."""
+    m = CaseModel(spark, sf_dir, topics="lda")
+    scores = m.topic_scores.where(F.length("term") >= C.TOPIC_MIN_TERM_LENGTH)
+    top = m.topic_top.select("topic", "term", F.lit(1).alias("top"))
+    union = m.hv_terms.select("term", F.lit(1).alias("hv"))
+    flagged = scores.join(top, ["topic", "term"], "left").join(union, "term", "left")
+    taken = F.col("top").isNotNull()
+    return flagged.groupBy(F.col("topic").cast("long").alias("topic")).agg(
+        F.count(F.lit(1)).alias("n_terms"), F.count("top").alias("n_top"),
+        (F.min(F.when(taken, F.col("score"))) >= F.max(F.when(~taken, F.col("score")))).alias("best_taken"),
+        (F.count_if(taken & F.col("hv").isNull()) == 0).alias("all_in_union"))
+
+
 @query("kmeans_checks", f"""
 SELECT count(*) AS cases, count(DISTINCT doc_id) AS distinct_cases, count(*) AS in_range,
        count(*) AS at_nearest, true AS cost_is_sum

@@ -111,16 +111,35 @@ class CaseModel:
     def vocabulary(self) -> DataFrame:
         return TR.vocabulary(self.term_df)
 
+    @cached_property
+    def lda_vectors(self) -> tuple[DataFrame, DataFrame, int]:
+        """(vectors, vocabulary, its size); the vectors are written to the model's folder."""
+        vocabulary = self._keep(self.vocabulary, "vocabulary")
+        docs = MN.weighted_vectors(self.corpus, vocabulary, self.weights, f"{self.folder}/vectors")
+        return docs, vocabulary, vocabulary.count()
+
     @cached_property
     def lda_topics(self) -> DataFrame:
         """(topic, term, weight) of the EM LDA over weighted case vectors."""
-        vocabulary = self._keep(self.vocabulary, "vocabulary")
-        path = f"{self.folder}/vectors"
-        docs = MN.weighted_vectors(self.corpus, vocabulary, self.weights, path)
-        topics = MN.lda_topics(docs, vocabulary, vocabulary.count(), iterations=self.lda_iterations)
-        drop_path(self.spark, path)
+        docs, vocabulary, size = self.lda_vectors
+        topics = MN.lda_topics(docs, vocabulary, size, iterations=self.lda_iterations)
+        drop_path(self.spark, f"{self.folder}/vectors")
         return topics
 
+    @cached_property
+    def lda_mass(self) -> DataFrame:
+        """(term, mass, mass_after): what all topics together hold of a term, in
+        the fitted model and after one more expectation step.  By definition
+        both are the term's summed weight over all cases."""
+        docs, vocabulary, size = self.lda_vectors
+        path = f"{self.folder}/lda"
+        MN.save_lda(docs, size, path, iterations=self.lda_iterations)
+        by_term, by_doc, entries, totals = MN.lda_counts(self.spark, path)
+        after = MN.expectation_step(entries, by_term, by_doc, totals, size, *MN.lda_priors(size))
+        total = F.aggregate("counts", F.lit(0.0), lambda a, b: a + b)
+        return vocabulary.select("term", "term_id").join(by_term.select("term_id", total.alias("mass")), "term_id").join(
+            after.select("term_id", total.alias("mass_after")), "term_id").select("term", "mass", "mass_after")
+
     @cached_property
     def topic_scores(self) -> DataFrame:
         if self.topics == "lda":

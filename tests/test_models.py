@@ -97,3 +97,41 @@ def test_fp_growth_matches_brute_force(spark):
             if n >= need:
                 exp[c] = n
     assert got == exp
+
+
+def test_expectation_step_is_the_next_iteration(spark, tmp_path):
+    """One step over (case, term) rows from a model of n iterations gives the
+    counts of the model of n + 1 iterations; no weight is lost on the way."""
+    import random
+
+    from pyspark.ml.linalg import Vectors
+    rng = random.Random(4)
+    size, rows = 12, []
+    for i in range(40):
+        words = sorted(rng.sample(range(size), 5))
+        rows.append((Vectors.sparse(size, words, [float(rng.randint(1, 40)) for _ in words]),))
+    docs = spark.createDataFrame(rows, ["features"]).repartition(2).checkpoint()
+    got = []
+    for n in (2, 3):
+        MN.save_lda(docs, size, str(tmp_path / f"lda{n}"), iterations=n)
+        got.append(MN.lda_counts(spark, str(tmp_path / f"lda{n}")))
+    by_term, by_doc, entries, totals = got[0]
+    step = {r["term_id"]: r["counts"] for r in MN.expectation_step(
+        entries, by_term, by_doc, totals, size, *MN.lda_priors(size)).collect()}
+    later = {r["term_id"]: r["counts"] for r in got[1][0].collect()}
+    assert set(step) == set(later) == set(range(size))
+    assert all(math.isclose(a, b, rel_tol=1e-9) for t in step for a, b in zip(step[t], later[t]))
+    mass = {t: sum(v[0][t] for v in rows) for t in range(size)}
+    assert all(math.isclose(sum(step[t]), mass[t], rel_tol=1e-9) for t in step)
+
+
+def test_lda_mass_shows_altered_vectors(spark, sf_dir):
+    m = CaseModel(spark, sf_dir, lda_iterations=2)
+    term, weight = m.weights.orderBy("weight", "term").first()
+    df = m.term_df.where(F.col("term") == term).first()["df"]
+    mass = m.lda_mass.where(F.col("term") == term).first()
+    assert math.isclose(mass["mass"], df * weight, rel_tol=1e-9) and math.isclose(mass["mass_after"], df * weight, rel_tol=1e-9)
+    other = CaseModel(spark, sf_dir, lda_iterations=2)
+    other.weights = m.weights.withColumn("weight", F.when(F.col("term") == term, F.col("weight") + 1).otherwise(F.col("weight")))
+    mass = other.lda_mass.where(F.col("term") == term).first()
+    assert math.isclose(mass["mass"], df * (weight + 1), rel_tol=1e-9)
