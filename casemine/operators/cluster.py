@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import ensure_checkpoint_dir
 
 
 def points(given: DataFrame, y: DataFrame) -> DataFrame:
@@ -81,6 +82,64 @@ def choose_k(pts: DataFrame, max_cost: float | None = None, start: int = C.KMEAN
     return model, feats, history
 
 
+def _weighted_places(pts: DataFrame) -> DataFrame:
+    """(x, y, n): the distinct points and how many cases lie there."""
+    ensure_checkpoint_dir(pts.sparkSession)
+    return pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+
+
+def lloyd(places: DataFrame, centres: Sequence[tuple[float, float]], iterations: int) -> list[tuple[float, float]]:
+    """Move centres to the mean of the cases nearest to them until they stay or
+    the iterations are used up; a centre without cases stays where it is.  An
+    iteration is one scan; to the driver come k sums.  Means are rounded to 6
+    places, so that the order of summation doesn't show."""
+    for _ in range(iterations):
+        at = nearest(F.col("x"), F.col("y"), centres)["cluster"]
+        n = F.col("n")
+        sums = {r["cluster"]: r for r in places.groupBy(at.alias("cluster")).agg(
+            F.sum("n").alias("n"), F.round(F.sum(n * F.col("x")) / F.sum(n), 6).alias("cx"),
+            F.round(F.sum(n * F.col("y")) / F.sum(n), 6).alias("cy")).collect()}
+        moved = [(sums[i]["cx"], sums[i]["cy"]) if i in sums else c for i, c in enumerate(centres)]
+        if moved == list(centres):
+            break
+        centres = moved
+    return list(centres)
+
+
+def costs(places: DataFrame, candidates: Sequence[Sequence[tuple[float, float]]]) -> list[float]:
+    """The cost (sum of squared distances to the nearest centre) of every
+    candidate set of centres, all in one scan."""
+    n = F.col("n")
+    got = places.agg(*[F.sum(n * nearest(F.col("x"), F.col("y"), c)["dist2"]).alias(f"c{i}")
+                       for i, c in enumerate(candidates)]).first()
+    return [got[i] or 0.0 for i in range(len(candidates))]
+
+
+def sweep_k(pts: DataFrame, rounds: int, start: int = C.KMEANS_START_K, step: int = C.KMEANS_K_STEP,
+            iterations: int = C.KMEANS_ITERATIONS) -> list[tuple[int, list[tuple[float, float]], float]]:
+    """(k, centres, cost) for k = start + step, start + 2 step, ...: deterministic.
+    The first k starts from the places with most cases, every other one from the
+    centres of the k before and the ``step`` places farthest from them (so its
+    cost is no higher); ties by place."""
+    places = _weighted_places(pts)
+    first = places.orderBy(F.desc("n"), "x", "y").limit(start + step).collect()
+    centres, found = [(r["x"], r["y"]) for r in first], []
+    for i in range(rounds):
+        if found and centres:
+            far = places.select("x", "y", nearest(F.col("x"), F.col("y"), centres)["dist2"].alias("d")).where("d > 0")
+            centres = centres + [(r["x"], r["y"]) for r in far.orderBy(F.desc("d"), "x", "y").limit(step).collect()]
+        if centres:
+            centres = lloyd(places, centres, iterations)
+        found.append((start + (i + 1) * step, centres))
+    cost = costs(places, [c for _, c in found]) if centres else [0.0] * len(found)
+    return [(k, c, d) for (k, c), d in zip(found, cost)]
+
+
+def first_below(found: Sequence[tuple[int, list, float]], max_cost: float) -> int:
+    """The smallest k of a sweep whose cost is below ``max_cost``, else the last."""
+    return next((k for k, _, cost in found if cost < max_cost), found[-1][0])
+
+
 def kmeans_assign(pts: DataFrame, model) -> DataFrame:
     """Assignment by a fitted model, same columns as ``assign``."""
     centres = [tuple(float(v) for v in c) for c in model.clusterCenters()]

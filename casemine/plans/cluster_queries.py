@@ -3,6 +3,8 @@ mean point of each product), cluster summary, the report and its text lines."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import config as C
 from ..operators import cluster as CL
 from . import sqlparts as P
@@ -88,3 +90,44 @@ FROM {_REPORT} r
 """)
 def report_lines(spark, sf_dir):
     return CL.report_lines(report_frame(spark, sf_dir))
+
+
+SWEEP_ROUNDS = 3
+SWEEP_MEAN_COST = 30_000.0  # the mean squared distance aimed at
+
+
+def _sweep_sql(rounds: int = SWEEP_ROUNDS) -> str:
+    """The sweep, an iteration a step: nothing is taken over from the Spark side."""
+    def nearest_of(name: str) -> str:
+        return (f"(SELECT x, y, n, arg_min(id, [d2, id]) AS id, min(d2) AS d2 FROM (SELECT p.x, p.y, p.n, c.id, "
+                f"(p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy) AS d2 FROM places p, {name} c) d "
+                f"GROUP BY x, y, n)")
+    k = C.KMEANS_START_K + C.KMEANS_K_STEP
+    steps = [f"""places AS MATERIALIZED (SELECT x, y, count(*) AS n FROM {_POINTS} p GROUP BY x, y)""",
+             f"""c0_0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY n DESC, x, y) - 1 AS id, x AS cx, y AS cy
+ FROM (SELECT * FROM places ORDER BY n DESC, x, y LIMIT {k}) f)"""]
+    rows = []
+    for r in range(rounds):
+        if r:
+            steps.append(f"""c{r}_0 AS MATERIALIZED (SELECT id, cx, cy FROM {last} UNION ALL
+ SELECT (SELECT count(*) FROM {last}) + row_number() OVER (ORDER BY d2 DESC, x, y) - 1, x, y
+ FROM (SELECT * FROM {nearest_of(last)} f WHERE d2 > 0 ORDER BY d2 DESC, x, y LIMIT {C.KMEANS_K_STEP}) g)""")
+        for i in range(C.KMEANS_ITERATIONS):
+            steps.append(f"""c{r}_{i + 1} AS MATERIALIZED (SELECT c.id, coalesce(m.cx, c.cx) AS cx, coalesce(m.cy, c.cy) AS cy FROM c{r}_{i} c
+ LEFT JOIN (SELECT id, round(sum(n * x) / sum(n), 6) AS cx, round(sum(n * y) / sum(n), 6) AS cy
+            FROM {nearest_of(f"c{r}_{i}")} a GROUP BY id) m ON m.id = c.id)""")
+        last = f"c{r}_{C.KMEANS_ITERATIONS}"
+        rows.append(f"SELECT {k + r * C.KMEANS_K_STEP} AS k, sum(n * d2) / sum(n) AS cost FROM {nearest_of(last)} a")
+    return (f"WITH {', '.join(steps)}, t AS ({' UNION ALL '.join(rows)}) SELECT k::BIGINT AS k, round(cost, 6) AS mean_cost, "
+            f"k = (SELECT coalesce(min(k) FILTER (cost < {SWEEP_MEAN_COST}), max(k)) FROM t) AS chosen FROM t")
+
+
+@query("choose_k_sweep", _sweep_sql())
+def choose_k_sweep(spark, sf_dir):
+    """Mean cost of k-means for rising k, and the k that the aim chooses."""
+    pts = points_frame(spark, sf_dir)
+    n = pts.count()
+    found = CL.sweep_k(pts, SWEEP_ROUNDS)
+    chosen = CL.first_below(found, SWEEP_MEAN_COST * n)
+    return spark.createDataFrame([(k, cost / max(n, 1), k == chosen) for k, _, cost in found],
+                                 "k long, mean_cost double, chosen boolean").withColumn("mean_cost", F.round("mean_cost", 6))

@@ -135,3 +135,48 @@ def test_lda_mass_shows_altered_vectors(spark, sf_dir):
     other.weights = m.weights.withColumn("weight", F.when(F.col("term") == term, F.col("weight") + 1).otherwise(F.col("weight")))
     mass = other.lda_mass.where(F.col("term") == term).first()
     assert math.isclose(mass["mass"], df * (weight + 1), rel_tol=1e-9)
+
+
+def test_choose_k_goes_on_until_the_cost_is_low(spark):
+    import random
+    rng = random.Random(2)
+    pts = spark.createDataFrame([(i, float(rng.randint(0, 400)), float(rng.randint(0, 400))) for i in range(300)],
+                                "case_id long, x double, y double").checkpoint()
+    _, _, history = CL.choose_k(pts, start=2, step=3, max_rounds=4)
+    assert [k for k, _ in history] == [5]
+    all_of = CL.choose_k(pts, max_cost=0.0, start=2, step=3, max_rounds=4)[2]
+    assert [k for k, _ in all_of] == [5, 8, 11, 14]
+    aim = all_of[1][1] + 1e-6
+    model, _, some = CL.choose_k(pts, max_cost=aim, start=2, step=3, max_rounds=4)
+    assert [k for k, _ in some] == [5, 8] and some[-1][1] < aim <= some[0][1] and len(model.clusterCenters()) == 8
+
+
+def test_sweep_matches_plain_lloyd(spark):
+    import random
+    rng = random.Random(7)
+    cases = [(float(rng.randint(0, 40)), float(rng.randint(0, 9) * 100)) for _ in range(400)] + [(7.0, 7.0)] * 200
+    pts = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(cases)], "case_id long, x double, y double")
+
+    def near(p, centres):
+        return min(((p[0] - a) * (p[0] - a) + (p[1] - b) * (p[1] - b), i) for i, (a, b) in enumerate(centres))
+
+    count = {p: cases.count(p) for p in cases}
+    centres, want = [p for p in sorted(count, key=lambda p: (-count[p], p))[:5]], []
+    for r in range(3):
+        if r:
+            far = sorted((-near(p, centres)[0], p) for p in count)
+            centres = centres + [p for d, p in far if d < 0][:2]
+        for _ in range(6):
+            mine = [near(p, centres)[1] for p in cases]
+            moved = []
+            for i, c in enumerate(centres):
+                got = [p for p, m in zip(cases, mine) if m == i]
+                moved.append(tuple(round(sum(v) / len(got), 6) for v in zip(*got)) if got else c)
+            centres = moved
+        want.append((5 + 2 * r, centres, sum(near(p, centres)[0] for p in cases)))
+    found = CL.sweep_k(pts, 3, start=3, step=2, iterations=6)
+    assert [(k, c) for k, c, _ in found] == [(k, c) for k, c, _ in want]
+    assert all(math.isclose(a[2], b[2], rel_tol=1e-9) for a, b in zip(found, want))
+    assert found[0][2] > found[1][2] > found[2][2]
+    assert CL.first_below(found, found[0][2]) == 7 and CL.first_below(found, 0.0) == 9
+    assert CL.sweep_k(pts.limit(0), 2)[1][1:] == ([], 0.0)
