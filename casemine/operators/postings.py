@@ -2,16 +2,15 @@
 length in any row or task.
 
 A pair (key, member) says that the member (an id) belongs to the key's list.
-The members of a key are numbered in ascending order (a range partitioning over
-(key, member), so a key with a third of all pairs is spread) and cut into blocks
-of at most ``BLOCK``.  A block is one row: its number, how many members it has,
-the first and last of them, and the distance of each from the first: small
-ascending numbers that column files store in few bits and that decode in one
-pass.  Blocks of a key don't overlap, so a block's range tells whether a member
-can be in it.
-
-Edge cases: repeated pairs count once; null keys or members are left out; an
-empty table has no blocks.
+A block holds the members of a key within one range of ``WIDTH`` ids, so it has
+``WIDTH`` of them at most whatever the key, and its number follows from an id
+alone: lists are made by one aggregation on (key, block) that is combined before
+the shuffle, looked up by an equi-join, and intersected block by block inside
+the row.  Members are stored as distances from the block's start, small ascending
+numbers that column files keep in few bits.
+
+Edge cases: repeated pairs count once; null keys or members are left out; ids
+may be negative; an empty table has no blocks.
 """
 
 from __future__ import annotations
@@ -20,61 +19,72 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .broadcast import join_small
-from .ranking import row_number_within
 
-BLOCK = 4096
+WIDTH = 4096
 
 
-def blocks(pairs: DataFrame, key: str, member: str, size: int = BLOCK) -> DataFrame:
-    """(key, block, n, first, last, deltas array<long>): the lists of ``pairs``,
-    cut into blocks; ``deltas`` has each member less the first."""
-    once = pairs.select(F.col(key).alias("key"), F.col(member).cast("long").alias("member")).where(
-        "key IS NOT NULL AND member IS NOT NULL").distinct()
-    ranked = row_number_within(once, ["key"], [F.col("member").asc()], name="n")
-    at = F.expr(f"(n - 1) div {int(size)}").cast("long").alias("block")
-    lists = ranked.groupBy("key", at).agg(F.array_sort(F.collect_list("member")).alias("members"))
-    first = F.col("members")[0]
-    return lists.select(F.col("key").alias(key), "block", F.size("members").cast("long").alias("n"),
-                        first.alias("first"), F.element_at("members", -1).alias("last"),
-                        F.transform("members", lambda m: m - first).alias("deltas"))
+def block_of(member: Column, width: int = WIDTH) -> Column:
+    """The number of the block that an id falls into."""
+    return ((member - F.pmod(member, F.lit(width))) / F.lit(width)).cast("long")
 
 
-def members() -> Column:
-    """The members of a block (array<long>)."""
-    return F.transform("deltas", lambda d: F.col("first") + d)
+def blocks(pairs: DataFrame, key: str, member: str, width: int = WIDTH) -> DataFrame:
+    """(key, block, n, deltas array<int>): the lists of ``pairs`` cut into
+    blocks; ``deltas``: the members' distances from ``block * width``, ascending."""
+    m = F.col(member).cast("long")
+    rows = pairs.select(F.col(key).alias(key), block_of(m, width).alias("block"),
+                        F.pmod(m, F.lit(width)).cast("int").alias("delta")).dropna()
+    lists = rows.groupBy(key, "block").agg(F.array_sort(F.collect_set("delta")).alias("deltas"))
+    return lists.select(key, "block", F.size("deltas").cast("long").alias("n"), "deltas")
 
 
-def holds(member: Column) -> Column:
-    """Whether a block holds a member: its range first, then its deltas."""
-    return member.between(F.col("first"), F.col("last")) & F.array_contains("deltas", member - F.col("first"))
+def members(width: int = WIDTH) -> Column:
+    """The members of a block (array<long>)."""
+    return F.transform("deltas", lambda d: F.col("block") * F.lit(width) + d)
 
 
-def pairs_of(lists: DataFrame, key: str, member: str) -> DataFrame:
+def pairs_of(lists: DataFrame, key: str, member: str, width: int = WIDTH) -> DataFrame:
     """The pairs that blocks hold."""
-    return lists.select(key, F.explode(members()).alias(member))
+    return lists.select(key, F.explode(members(width)).alias(member))
 
 
-def inverted(lists: DataFrame, key: str, member: str, numbers: DataFrame, number: str, size: int = BLOCK) -> DataFrame:
+def inverted(lists: DataFrame, key: str, member: str, numbers: DataFrame, number: str, width: int = WIDTH) -> DataFrame:
     """The lists the other way round: per member the blocks of its keys, which
-    are written as numbers (``numbers``: key, number)."""
-    # the join moves blocks, so a key in a third of all pairs is few rows here
+    are written as numbers (``numbers``: key, number).  The join moves blocks,
+    so a key in a third of all pairs is few rows here."""
     numbered = lists.join(numbers.select(key, number), key)
-    return blocks(pairs_of(numbered.drop(key), number, member), member, number, size)
+    return blocks(numbered.select(number, F.explode(members(width)).alias(member)), member, number, width)
 
 
-def holding(lists: DataFrame, key: str, member: str, asked: DataFrame, query: str) -> DataFrame:
-    """(query, member, hits, wanted): the members that hold at least one of the
-    keys a query asks for (``asked``: query, key), how many of them they hold and
-    how many different ones were asked for (``hits = wanted``: all of them)."""
-    once = asked.select(query, key).where(F.col(key).isNotNull()).distinct()
-    found = lists.join(once, key).select(query, F.explode(members()).alias(member))
-    hits = found.groupBy(query, member).agg(F.count(F.lit(1)).alias("hits"))
-    return join_small(hits, once.groupBy(query).agg(F.count(F.lit(1)).alias("wanted")), query, "inner").select(
-        query, member, "hits", "wanted")
+def _asked(asked: DataFrame, query: str, key: str) -> tuple[DataFrame, DataFrame]:
+    once = asked.select(query, key).dropna().distinct()
+    return once, once.groupBy(query).agg(F.count(F.lit(1)).alias("wanted"))
 
 
-def holds_pair(lists: DataFrame, key: str, asked: DataFrame, member: str) -> DataFrame:
-    """The pairs of ``asked`` (key, member) that the lists hold: a pair meets
-    the blocks of its key and is looked up in the one whose range has it."""
-    found = asked.select(key, member).distinct().join(lists, key)
-    return found.where(holds(F.col(member))).select(key, member)
+def holding(lists: DataFrame, key: str, member: str, asked: DataFrame, query: str, width: int = WIDTH) -> DataFrame:
+    """(query, member, hits, wanted): the members that hold at least one of the
+    keys that a query asks for (``asked``: query, key), how many of them they
+    hold and how many different ones were asked for."""
+    once, wanted = _asked(asked, query, key)
+    found = lists.join(once, key).select(query, F.explode(members(width)).alias(member))
+    hits = found.groupBy(query, member).agg(F.count(F.lit(1)).alias("hits"))
+    return join_small(hits, wanted, query, "inner").select(query, member, "hits", "wanted")
+
+
+def holding_all(lists: DataFrame, key: str, member: str, asked: DataFrame, query: str, width: int = WIDTH) -> DataFrame:
+    """(query, member): the members that hold all keys of a query.  Blocks of
+    its keys meet by number; where all keys have one, they are intersected in
+    the row."""
+    once, wanted = _asked(asked, query, key)
+    met = lists.join(once, key).groupBy(query, "block").agg(F.collect_list("deltas").alias("lists"))
+    full = join_small(met, wanted, query, "inner").where(F.size("lists") == F.col("wanted"))
+    both = F.aggregate(F.slice("lists", F.lit(2), F.size("lists")), F.col("lists")[0], F.array_intersect)
+    return full.select(query, "block", both.alias("deltas")).select(query, F.explode(members(width)).alias(member))
+
+
+def holds_pair(lists: DataFrame, key: str, asked: DataFrame, member: str, width: int = WIDTH) -> DataFrame:
+    """The pairs of ``asked`` (key, member) that the lists hold."""
+    m = F.col(member).cast("long")
+    rows = asked.select(key, member).dropna().distinct().withColumn("block", block_of(m, width))
+    return rows.join(lists, [key, "block"]).where(
+        F.array_contains("deltas", F.pmod(m, F.lit(width)).cast("int"))).select(key, member)

@@ -11,26 +11,23 @@ from .model import CaseModel
 from .registry import query
 from .term_queries import _ITEMS, _TERM_DF, _TOPIC_TOP, _Y
 
-# blocks of the registered queries: small, so that the test tables have several a word
-BLOCK = 128
+# blocks of the registered queries: narrow, so that the test tables have several a word
+WIDTH = 128
 
 _PAIRS = f"(SELECT case_id, unnest(items) AS term FROM {_ITEMS} i)"
 
 
 def _blocks_sql(pairs: str, key: str, member: str) -> str:
     return f"""
-SELECT {key}, block, count(*) AS n, min({member}) AS first, max({member}) AS last,
-       string_agg(CAST({member} - first AS VARCHAR), ' ' ORDER BY {member}) AS deltas
-FROM (SELECT *, min({member}) OVER (PARTITION BY {key}, block) AS first FROM (
-        SELECT *, (row_number() OVER (PARTITION BY {key} ORDER BY {member}) - 1) // {BLOCK} AS block
-        FROM {pairs} p) r) b
-GROUP BY {key}, block
+SELECT {key}, {member} // {WIDTH} AS block, count(*) AS n,
+       string_agg(CAST({member} % {WIDTH} AS VARCHAR), ' ' ORDER BY {member}) AS deltas
+FROM {pairs} p GROUP BY {key}, {member} // {WIDTH}
 """
 
 
 def _lists(m: CaseModel):
     pairs = m.items.select("case_id", F.explode("items").alias("term"))
-    return PO.blocks(pairs, "term", "case_id", BLOCK)
+    return PO.blocks(pairs, "term", "case_id", WIDTH)
 
 
 def _shown(lists):
@@ -39,7 +36,7 @@ def _shown(lists):
 
 @query("posting_blocks", _blocks_sql(_PAIRS, "term", "case_id"))
 def posting_blocks(spark, sf_dir):
-    """The cases of every high-value term, in blocks of case ids."""
+    """The cases of every high-value term, in blocks of neighbouring case ids."""
     return _shown(_lists(CaseModel(spark, sf_dir)))
 
 
@@ -50,7 +47,7 @@ def posting_blocks(spark, sf_dir):
 def case_posting_blocks(spark, sf_dir):
     """The same lists the other way round: the term ids of every case."""
     m = CaseModel(spark, sf_dir)
-    return _shown(PO.inverted(_lists(m), "term", "case_id", m.vocabulary, "term_id", BLOCK))
+    return _shown(PO.inverted(_lists(m), "term", "case_id", m.vocabulary, "term_id", WIDTH))
 
 
 @query("y_from_postings", f"SELECT * FROM {_Y} y")
@@ -60,7 +57,7 @@ def y_from_postings(spark, sf_dir):
     m = CaseModel(spark, sf_dir)
     lists = _lists(m)
     flagged = lists.join(m.frequent.select(F.col("item").alias("term"), F.lit(1).alias("f")), "term", "left")
-    counts = flagged.select(F.explode(PO.members()).alias("case_id"), F.coalesce("f", F.lit(0)).alias("f")) \
+    counts = flagged.select(F.explode(PO.members(WIDTH)).alias("case_id"), F.coalesce("f", F.lit(0)).alias("f")) \
         .groupBy("case_id").agg(F.count(F.lit(1)).alias("n"), F.sum("f").alias("n_freq"))
     n1, n_freq = F.greatest(F.coalesce("n", F.lit(0)), F.lit(1)), F.coalesce("n_freq", F.lit(0))
     return m.cases.select("case_id").join(counts, "case_id", "left").select(
@@ -87,4 +84,4 @@ def posting_search(spark, sf_dir):
     m = CaseModel(spark, sf_dir)
     pair = F.expr("(rn - 1) div 2").cast("string")
     asked = m.topic_top.select(F.concat("topic", F.lit("-"), pair).alias("query"), "term")
-    return PO.holding(_lists(m), "term", "case_id", asked, "query").where("hits = wanted").select("query", "case_id")
+    return PO.holding_all(_lists(m), "term", "case_id", asked, "query", WIDTH)
