@@ -7,9 +7,12 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import functions as F
+
 from ..session import scratch_path
 from ..sources import tables as S
 from ..sources.streams import file_stream
+from ..streaming import arrival as A
 from ..streaming import windows as W
 from ..streaming.job import counts_log, run_counts
 from .registry import query
@@ -63,3 +66,35 @@ def note_window_word_counts(spark, sf_dir):
 @query("stream_note_window_word_counts", _NOTES_SQL)
 def stream_note_window_word_counts(spark, sf_dir):
     return _streamed(spark, sf_dir, "conversations", W.note_lines)
+
+
+# every word at each pane in which one of its panes comes or leaves, zeros kept;
+# the count by its definition: the words of the 30 panes up to this one
+_ARRIVAL_SQL = f"""
+WITH p AS (SELECT epoch_us(ts) // {_SLIDE_US} AS pane, unnest(string_split(event_type, ' ')) AS word FROM events),
+t AS (SELECT pane, word FROM p UNION SELECT pane + {_N_WINDOWS}, word FROM p),
+n AS (SELECT pane, word, count(*) AS n FROM p GROUP BY ALL)
+SELECT make_timestamp(t.pane * {_SLIDE_US}) AS pane, t.word, coalesce(sum(n.n), 0)::BIGINT AS count
+FROM t LEFT JOIN n ON n.word = t.word AND n.pane > t.pane - {_N_WINDOWS} AND n.pane <= t.pane
+WHERE t.pane <= (SELECT max(pane) FROM p) GROUP BY t.pane, t.word
+"""
+
+
+def _pane_times(rows):
+    return rows.select(F.timestamp_seconds(F.col("pane") * A.SLIDE).cast("timestamp_ntz").alias("pane"), "word", "count")
+
+
+@query("arrival_window_counts", _ARRIVAL_SQL)
+def arrival_window_counts(spark, sf_dir):
+    """Counts by arrival with words at zero kept; an event arrives at its time."""
+    return _pane_times(A.arrival_counts(W.words(W.event_lines(S.table(spark, sf_dir, "events")))))
+
+
+@query("stream_arrival_window_counts", _ARRIVAL_SQL)
+def stream_arrival_window_counts(spark, sf_dir):
+    """The same on a stream that adds what comes and takes off what leaves."""
+    source = file_stream(spark, os.path.join(sf_dir, "events.parquet"), S.table(spark, sf_dir, "events"))
+    run_id = uuid.uuid4().hex[:12]
+    out = scratch_path(spark, f"arrival_counts_{run_id}")
+    A.run_arrival(W.words(W.event_lines(source)), out, scratch_path(spark, f"arrival_ckpt_{run_id}")).awaitTermination()
+    return _pane_times(A.ArrivalCounts(out).read(spark))
