@@ -11,6 +11,58 @@ are unit-tested and the relational extract itself runs on the parquet tables
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+EXACTNESS = 10_000  # of approx_percentile: a range is off by at most rows / EXACTNESS
+
+
+def _literal(value) -> str:
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
+def _bounds(keys: DataFrame, column: str, n: int) -> list:
+    """At most n - 1 ascending cuts of a column into parts of about equal rows."""
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
+    got = keys.agg(F.approx_percentile(column, shares, F.lit(EXACTNESS))).first()[0] if n > 1 else None
+    return sorted(set(got or []))
+
+
+def _ranges(column: str, bounds: list) -> list[str]:
+    """Predicates that cover every value of a column once; nulls go to the first."""
+    if not bounds:
+        return [f"({column} = {column} OR {column} IS NULL)"]
+    first = f"({column} < {_literal(bounds[0])} OR {column} IS NULL)"
+    inner = [f"({column} >= {_literal(a)} AND {column} < {_literal(b)})" for a, b in zip(bounds, bounds[1:])]
+    return [first, *inner, f"{column} >= {_literal(bounds[-1])}"]
+
+
+def balanced_predicates(keys: DataFrame, column: str, n: int, tie: str | None = None) -> list[str]:
+    """Predicates that cut a table into about ``n`` parts of equal rows, every
+    row in exactly one, for a partitioned read.  ``keys`` holds the numeric
+    ``column`` (a sample or an earlier extract of it); cuts are its quantiles, so
+    a skewed key makes no fat partition.  A value with more rows than a part
+    should have gets parts of its own, cut by the numeric column ``tie``."""
+    total = keys.count()
+    share = max(total / max(n, 1), 1)
+    heavy = keys.where(F.col(column).isNotNull()).groupBy(column).count().where(
+        F.col("count") > 1.5 * share).orderBy(column).collect()  # fewer than n rows
+    if not heavy or tie is None:
+        return _ranges(column, _bounds(keys, column, n))
+    values = [r[column] for r in heavy]
+    rest = keys.where(~F.coalesce(F.col(column).isin(values), F.lit(False)))
+    apart = f"({column} NOT IN ({', '.join(map(_literal, values))}) OR {column} IS NULL)"
+    out = [f"{r} AND {apart}" for r in _ranges(column, _bounds(rest, column, max(round(rest.count() / share), 1)))]
+    for r in heavy:
+        own = keys.where(F.col(column) == F.lit(r[column]))
+        out += [f"{column} = {_literal(r[column])} AND {p}"
+                for p in _ranges(tie, _bounds(own, tie, max(round(r["count"] / share), 1)))]
+    return out
+
+
+def read_jdbc_balanced(spark: SparkSession, url: str, query: str, predicates: list[str],
+                       properties: dict[str, str] | None = None) -> DataFrame:
+    """The extract, a partition per predicate (see ``balanced_predicates``)."""
+    return spark.read.jdbc(url, f"({query}) t1", predicates=predicates, properties=properties or {})
 
 
 def jdbc_read_options(url: str, query: str, driver: str | None = None, user: str | None = None,

@@ -50,3 +50,38 @@ def test_date_prefix_filter_equals_string_prefix(spark):
         exp = sorted(r[0] for r in df.where(F.col("t").cast("string").startswith(prefix)).collect())
         got = sorted(r[0] for r in df.where(date_prefix_filter(df, "t", prefix)).collect())
         assert got == exp, prefix
+
+
+def parts_of(df, predicates):
+    """Rows per predicate, as a database would give them; every row once."""
+    got = [df.where(p).count() for p in predicates]
+    assert sum(got) == df.count()
+    from pyspark.sql import functions as F
+    hits = sum((F.when(F.expr(p), 1).otherwise(0) for p in predicates), F.lit(0))
+    assert df.select(hits.alias("h")).distinct().collect() == [(1,)]
+    return got
+
+
+def test_balanced_predicates_on_skewed_keys(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "keys")
+    # most keys lie close together at the start of a wide range, some have none
+    spark.range(4000).select(F.when(F.col("id") % 50 == 7, None).otherwise(
+        F.pow(F.col("id") / 4000, F.lit(8)) * 1e9).cast("long").alias("k"), "id").write.parquet(path)
+    keys = spark.read.parquet(path)
+    got = parts_of(keys, jdbc.balanced_predicates(keys, "k", 8))
+    assert len(got) == 8 and max(got) < 1.5 * 4000 / 8
+    even = keys.agg(F.min("k"), F.max("k")).first()  # equal ranges, for comparison
+    width = (even[1] - even[0]) / 8
+    assert keys.where(F.col("k") < even[0] + width).count() > 4 * max(got)
+
+
+def test_balanced_predicates_with_a_heavy_value(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(6000).select(F.when(F.col("id") % 3 != 0, F.lit(5)).otherwise(F.col("id")).alias("k"), "id")
+    got = parts_of(df, jdbc.balanced_predicates(df, "k", 10, tie="id"))
+    assert max(got) <= 1.5 * 600 and len(got) >= 9
+    assert max(parts_of(df, jdbc.balanced_predicates(df, "k", 10))) >= 4000  # without a tie column
+    assert parts_of(df.limit(0).union(df.limit(3)), jdbc.balanced_predicates(df.limit(0), "k", 4, tie="id")) == [3]
+    words = spark.createDataFrame([(1, 2)], "k long, id long")
+    assert len(jdbc.balanced_predicates(words, "k", 1)) == 1
