@@ -17,6 +17,7 @@ from ..session import scratch_path
 from ..sources import tables as S
 from ..sources.streams import file_stream
 from ..streaming import scoring as SC
+from ..streaming.models import ModelVersions
 from . import sqlparts as P
 from .model import CaseModel
 from .registry import query
@@ -220,17 +221,42 @@ def nb_predictions(spark, sf_dir):
     return NB.predict_cases(m.corpus, classes, probs, NB.class_list(classes), m.cases)
 
 
-@query("nb_cluster_predictions", _NB_OF.replace("LABELS", f"SELECT case_id, cluster AS label FROM {_ASSIGNED} a")
-       + _PREDICT + "SELECT case_id, prediction FROM pred")
-def nb_cluster_predictions(spark, sf_dir):
-    """Cases matched to the clusters: naive Bayes fitted on the clustered cases."""
+_NB_CLUSTERS_SQL = (_NB_OF.replace("LABELS", f"SELECT case_id, cluster AS label FROM {_ASSIGNED} a")
+                    + _PREDICT + "SELECT case_id, prediction FROM pred")
+
+
+def _nb_clusters(spark, sf_dir):
+    """Naive Bayes fitted on the clustered cases."""
     m = CaseModel(spark, sf_dir)
     labels = m.assigned.select("case_id", F.col("cluster").cast("long").alias("label"))
     classes, probs = NB.fit(m.corpus, labels, m.term_df.count())
-    classes, probs = classes.checkpoint(eager=True), probs.checkpoint(eager=True)
+    return m, classes.checkpoint(eager=True), probs.checkpoint(eager=True)
+
+
+@query("nb_cluster_predictions", _NB_CLUSTERS_SQL)
+def nb_cluster_predictions(spark, sf_dir):
+    """Cases matched to the clusters."""
+    m, classes, probs = _nb_clusters(spark, sf_dir)
     return NB.predict_cases(m.corpus, classes, probs, NB.class_list(classes), m.cases)
 
 
+@query("stream_nb_cluster_predictions", _NB_CLUSTERS_SQL)
+def stream_nb_cluster_predictions(spark, sf_dir):
+    """The same on a stream of cases, by the newest published version of the
+    model (must equal ``nb_cluster_predictions``)."""
+    m, classes, probs = _nb_clusters(spark, sf_dir)
+    run_id = uuid.uuid4().hex[:12]
+    models = ModelVersions(scratch_path(spark, f"models_{run_id}"))
+    models.publish(spark, classes, probs)
+    docs = S.table(spark, sf_dir, "documents")
+    stream = file_stream(spark, os.path.join(sf_dir, "documents.parquet"), docs)
+    cases = stream.select(F.col("doc_id").alias("case_id"), F.col("text").alias("history"))
+    out = scratch_path(spark, f"cluster_predictions_{run_id}")
+    SC.run_versioned_scoring(cases, m.notes, out, scratch_path(spark, f"cluster_predictions_ckpt_{run_id}"),
+                             models).awaitTermination()
+    return spark.read.parquet(out).select("case_id", "prediction")
+
+
 @query("stream_nb_predictions", _NB_PREDICTIONS_SQL)
 def stream_nb_predictions(spark, sf_dir):
     """The same cases arriving as a stream: cleaned on the stream and scored per

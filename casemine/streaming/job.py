@@ -25,9 +25,10 @@ def counts_log(path: str) -> SK.KeyedLog:
 
 
 def run_counts(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None, console: bool = False,
-               compact_every: int = 100, partitions: int | None = None):
+               compact_every: int = 100, partitions: int | None = None, keep_versions: int = 2):
     """Start counting ``lines`` (ts, value); returns the query.  Every
-    ``compact_every`` batches the finished ones are folded into a snapshot."""
+    ``compact_every`` batches the finished ones are folded into a snapshot; the
+    files of the last ``keep_versions`` stay for readers that opened them."""
     log = counts_log(out)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -41,7 +42,7 @@ def run_counts(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None
         if console:
             panes.unpersist()
         if compact_every and batch_id and batch_id % compact_every == 0:
-            log.compact(batch.sparkSession, batch_id - 1)  # this batch may still be replayed
+            log.compact(batch.sparkSession, batch_id - 1, keep_versions)  # this batch may still be replayed
 
     return (lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
@@ -63,6 +64,7 @@ def main() -> None:
     ap.add_argument("--trigger", default=C.STREAM_TRIGGER)
     ap.add_argument("--partitions", type=int, default=C.STREAM_PARTITIONS, help="files a batch writes")
     ap.add_argument("--compact-every", type=int, default=100, help="batches between snapshots, 0 for none")
+    ap.add_argument("--keep-versions", type=int, default=2, help="versions whose files stay for their readers")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--once", action="store_true", help="process what is available and stop")
     a = ap.parse_args()
@@ -73,7 +75,8 @@ def main() -> None:
     else:
         lines = W.event_lines(file_stream(spark, a.path, spark.read.parquet(a.path), a.files_per_trigger))
     trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
-    run_counts(lines, a.out, a.checkpoint, trigger, a.console, a.compact_every, a.partitions).awaitTermination()
+    run_counts(lines, a.out, a.checkpoint, trigger, a.console, a.compact_every, a.partitions,
+               a.keep_versions).awaitTermination()
 
 
 if __name__ == "__main__":

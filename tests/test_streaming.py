@@ -110,3 +110,88 @@ def test_streaming_job_cli_files_once(spark, sf_dir):
                     "--out", out, "--checkpoint", ckpt, "--once", "--console"],
                    cwd=repo, check=True, timeout=600, capture_output=True)
     assert rows(summed(spark, out)) == rows(batch_counts(events))
+
+
+def test_a_reader_keeps_its_rows_through_compactions(spark, tmp_path):
+    log = SK.KeyedLog(str(tmp_path), ["k"], "k string, v long", fold=SK.added)
+    want = {}
+
+    def write(i):
+        log.write(spark.createDataFrame([("a", i), (f"k{i}", 1)], "k string, v long"), i)
+        want["a"], want[f"k{i}"] = want.get("a", 0) + i, 1
+
+    for i in range(3):
+        write(i)
+    opened = log.read(spark)  # version 0: the log alone
+    before = dict(want)
+    assert log.compact(spark, 1, keep=2) == 1 and log.versions(spark) == {0: -1, 1: 1}
+    assert {r["k"]: r["v"] for r in opened.collect()} == before
+    second = log.read(spark)  # version 1
+    write(3)
+    assert log.compact(spark, keep=2) == 3 and log.versions(spark) == {1: 1, 2: 3}
+    assert {r["k"]: r["v"] for r in second.collect()} == before
+    # every kept version leads to today's rows
+    assert all({r["k"]: r["v"] for r in log.read(spark, v).collect()} == want for v in (None, 1, 2))
+    assert sorted(os.listdir(tmp_path / "log")).count("batch_id=0") == 0  # only version 0 read it
+    try:
+        log.read(spark, 0)
+        assert False
+    except ValueError:
+        pass
+
+
+def test_a_snapshot_that_was_not_published_is_not_read(spark, tmp_path):
+    log = SK.KeyedLog(str(tmp_path), ["k"], "k string, v long", fold=SK.added)
+    log.write(spark.createDataFrame([("a", 1)], "k string, v long"), 0)
+    # a writer died between the snapshot and the switch
+    spark.createDataFrame([("a", 99, 0)], "k string, v long, batch_id long").write.parquet(f"{tmp_path}/snapshots/through=0")
+    assert rows(log.read(spark)) == [("a", 1)]
+    assert not log._publish(spark, 0, 0)  # the number is taken
+    assert log.compact(spark) == 0 and rows(log.read(spark)) == [("a", 1)]
+
+
+def test_processing_time_trigger(spark, sf_dir, tmp_path):
+    import time
+    events = S.table(spark, sf_dir, "events")
+    src = str(tmp_path / "src")
+    events.coalesce(1).write.parquet(src)
+    q = run_counts(W.event_lines(file_stream(spark, src, events)), str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                   trigger={"processingTime": "1 second"})
+    try:
+        events.limit(7).coalesce(1).write.mode("append").parquet(src)  # while it runs
+        q.processAllAvailable()
+        assert q.isActive
+        end = time.time() + 60
+        while sum(r["count"] for r in counts_log(str(tmp_path / "out")).read(spark).collect()) < events.count() + 7:
+            assert time.time() < end
+            time.sleep(1)
+    finally:
+        q.stop()
+    assert sum(r["count"] for r in counts_log(str(tmp_path / "out")).read(spark).collect()) == events.count() + 7
+
+
+def test_two_versions_of_a_model(spark, tmp_path):
+    from casemine.operators import classify as NB
+    from casemine.streaming import scoring as SC
+    from casemine.streaming.models import ModelVersions
+    text = "case_id long, history string"
+    cases = [(1, "router drops packets"), (2, "printer jams paper"), (3, "router router reboots"), (4, "paper tray printer")]
+    tokens = spark.createDataFrame([(i, w) for i, h in cases for w in set(h.split())], "case_id long, token string")
+
+    def fitted(labels):
+        return NB.fit(tokens, spark.createDataFrame(labels, "case_id long, label long"), 8)
+
+    models = ModelVersions(str(tmp_path / "models"))
+    assert models.publish(spark, *fitted([(1, 10), (2, 20)])) == 1
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    for i, part in enumerate((cases[:2], cases[2:])):
+        if i:
+            assert models.publish(spark, *fitted([(1, 11), (2, 22)])) == 2
+        spark.createDataFrame(part, text).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(text).parquet(src)
+        SC.run_versioned_scoring(stream, None, out, str(tmp_path / "ckpt"), models).awaitTermination()
+    got = {r["case_id"]: (r["prediction"], r["version"]) for r in spark.read.parquet(out).collect()}
+    assert got == {1: (10, 1), 2: (20, 1), 3: (11, 2), 4: (22, 2)}
+    # the first batch again, after the second version: scored as it was
+    SC.versioned_sink(out, None, models)(spark.createDataFrame(cases[:2], text), 0)
+    assert {r["case_id"]: (r["prediction"], r["version"]) for r in spark.read.parquet(out).collect()} == got
