@@ -28,7 +28,8 @@ vectors tie at the cut (scaled copies, vectors of signs), all points within
 
 Edge cases: null ids and vectors, zero vectors and vectors with null or
 non-finite components take no part, nor vectors of another length than the
-most frequent one; a repeated id is not its own neighbour; fewer than k
+most frequent one; a repeated id is not its own neighbour, asks with the least
+of its vectors (by their bytes) and is found by its nearest one; fewer than k
 candidates give fewer rows; an empty table gives an empty result; other columns
 are not read.
 """
@@ -172,12 +173,27 @@ def _tied(own: int, v: np.ndarray, near: np.ndarray, ids: np.ndarray, data: np.n
     return list(zip(minus[order].tolist(), some[order].tolist()))
 
 
+def _first_of(own: int, ranked: list[tuple[float, int]], k: int) -> list[tuple[int, int, float]]:
+    """The first k different ids of (-score, id), as (query id, id, score)."""
+    best: dict[int, float] = {}
+    for minus, x in ranked:
+        if x not in best:
+            if len(best) == k:
+                break
+            best[x] = -minus
+    return [(own, x, score) for x, score in best.items()]
+
+
 def search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, bound: np.ndarray,
            k: int) -> list[tuple[int, int, float]]:
     """The k best of a part for every query: (query id, id, score).  ``bound``
-    is the cosine each query has to beat or equal."""
+    is the cosine each query has to beat or equal.  An id with several vectors
+    counts once, by its best one."""
     if not len(ids) or not len(query_ids):
         return []
+    # so many rows hold k ids beside the query's own, whichever they are
+    wanted, most = k, int(np.unique(ids, return_counts=True)[1].max())
+    k = (k + 1) * most - 1
     order = np.lexsort((ids, *data.T[::-1]))
     ids, data = ids[order], data[order]
     first = np.flatnonzero(np.r_[True, (data[1:] != data[:-1]).any(axis=1)])
@@ -220,7 +236,7 @@ def search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np
             reach = FAR * max(2 - 2 * least, 0) + 1e-12
             rows = np.concatenate([leaves[x] for x in turn[i, :np.searchsorted(ahead[i], reach, side="right")]])
             near = rows[points[rows] @ q[i] >= least]
-            out += [(own, x, -s) for s, x in _tied(own, v, near, ids, data, first, last, k)]
+            out += _first_of(own, _tied(own, v, near, ids, data, first, last, k), wanted)
             continue
         found = []
         for p in which[i, :k + 1]:
@@ -229,7 +245,7 @@ def search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np
             some = [x for x in ids[first[p]:last[p]].tolist() if x != own]
             score = exact(v, data[first[p]])
             found += [(-score, x) for x in some[:k]]
-        out += [(own, x, -s) for s, x in sorted(found)[:k]]
+        out += _first_of(own, sorted(found), wanted)
     return out
 
 
@@ -267,7 +283,7 @@ def _visit(index: DataFrame, queries: DataFrame, parts: dict[int, int], size: in
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The k best rows of each query; parts give at most k each."""
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (found.dropDuplicates(["query_id", "vec_id"])
+    return (found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
 
 
@@ -302,8 +318,8 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 5, vec_id: str = "ve
                  pa.array(cell.astype(np.int32))], ["vec_id", "v", "asked", "cell"])
 
     index = cut(rows.mapInArrow(place, "vec_id long, v binary, asked boolean, cell int"))
-    asked = index.where("asked").select(F.col("vec_id").alias("query_id"), "v", "cell").dropDuplicates(["query_id"])
-    asked = cut(asked)
+    asked = index.where("asked").groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("v", "cell")).alias("q"))
+    asked = cut(asked.select("query_id", "q.v", "q.cell"))
     # of equal vectors only the k + 1 smallest ids can be among k neighbours;
     # Spark limits the groups of this window before their shuffle
     place = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))

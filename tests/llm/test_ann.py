@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from casemine.llm import ann
-from casemine.llm.ann import box_distance, chi_square_bound, neighbours, split
+from casemine.llm.ann import box_distance, chi_square_bound, exact, neighbours, split
 
 
 def brute(rows, k=5, every=50):
@@ -98,3 +98,25 @@ def test_ties_of_different_vectors_go_to_smaller_ids(spark):
         table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
         got = neighbours(table, F.col("vec_id") % 50 == 0).collect()
         assert recall(got, brute(rows)) == 1.0
+
+
+def test_repeated_ids_with_different_vectors(spark):
+    """Each id asks with the least of its vectors and is found by its nearest;
+    the rows don't depend on the partitioning."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(120)]
+    near = np.array(rows[0][1])
+    rows += [(7, (near + rng.normal(size=6) / 100).tolist()) for _ in range(30)]  # crowds the nearest of 0
+    rows += [(0, rng.normal(size=6).tolist()), (50, rng.normal(size=6).tolist()), (50, rows[50][1])]
+    of = {}
+    for i, v in rows:
+        of.setdefault(i, []).append(v)
+    want = set()
+    for q in (0, 50, 100):
+        v = np.array(min(of[q], key=lambda x: np.array(x).tobytes()))
+        best = sorted((-max(exact(v, np.array(w)) for w in ws), i) for i, ws in of.items() if i != q)[:5]
+        want |= {(q, r + 1, i) for r, (_, i) in enumerate(best)}
+    for parts in (1, 7):
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts)
+        got = {(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours(table, F.col("vec_id") % 50 == 0).collect()}
+        assert got == want
