@@ -1,6 +1,6 @@
 """Language identification: averaged hashed subword embeddings, linear softmax.
 
-A text is lower-cased, everything but letters becomes a blank, and its byte
+A text is lower-cased, every ASCII character but letters becomes a blank, and its byte
 n-grams (2 to 4, blanks mark word edges) are hashed into a table of embeddings.
 The mean of a text's embeddings goes through a linear layer and a softmax.  The
 model is trained by stochastic gradient descent in numpy, on pieces of the
@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_slices
@@ -43,6 +43,8 @@ PAD = b" " * (max(GRAMS) - 1)
 NONE = 1 << BUCKET_BITS  # bucket of no gram; its embedding stays zero
 LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 MOST_LANGUAGES = 1000
+SAMPLE_BYTES = 256 << 20  # of all training texts together
+LEAST_BYTES = 1 << 10     # of one of them
 PIECE_BYTES = 1 << 20
 TRAIN_PIECE = 4096  # a training text is dealt whole in pieces of so many bytes
 
@@ -181,22 +183,28 @@ def train(texts: list[str], names: list[str], seed: int = 11) -> Model:
 def fit(docs: DataFrame, learn_from: Column | None = None, per_language: int = 400, train_bytes: int = 1 << 16,
         doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         most_languages: int = MOST_LANGUAGES) -> Model:
-    """Train on about ``per_language`` rows of each language among the rows that
-    ``learn_from`` allows.  The model takes 64 KB a language; more than
+    """Train on at most ``per_language`` different texts of each language among
+    the rows that ``learn_from`` allows, those with the smallest hashes, and on
+    ``SAMPLE_BYTES`` of them in all: with very many languages long texts give
+    shorter stretches.  The model takes 64 KB a language; more than
     ``most_languages`` are an error."""
     known = docs.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0))
     if learn_from is not None:
         known = known.where(learn_from)
-    h, stretch = F.xxhash64(F.col(doc_id), F.col(text)), train_bytes // 4
-    place = F.pmod(F.shiftright(h, 30), F.length(text) - stretch + 1).cast("int") + 1
-    part = F.when(F.octet_length(text) <= train_bytes, F.col(text)).otherwise(F.substring(F.col(text), place, F.lit(stretch)))
-    known = known.select(F.col(lang).alias("_l"), part.alias("_t"), h.alias("_h"))
-    counts = known.groupBy("_l").agg(F.count(F.lit(1)).alias("_n"))
-    if counts.count() > most_languages:
+    known = known.select(F.col(lang).alias("_l"), F.col(text).alias("_t"), F.xxhash64(F.col(doc_id), F.col(text)).alias("_h"))
+    n = known.select("_l").distinct().count()
+    if n > most_languages:
         raise ValueError(f"more than {most_languages} languages")
-    share = F.lit(float(per_language)) / F.col("_n")
-    chosen = known.join(F.broadcast(counts), "_l").where(
-        F.pmod("_h", F.lit(1 << 30)) < share * (1 << 30)).select("_l", "_t", "_h").collect()
+    train_bytes = max(LEAST_BYTES, min(train_bytes, SAMPLE_BYTES // max(1, per_language * n)))
+    # repeated rows are one; the limit is applied in every task before the shuffle
+    order = Window.partitionBy("_l").orderBy(F.pmod("_h", F.lit(1 << 30)), "_h")
+    few = (known.select("_l", "_h").distinct().withColumn("_r", F.row_number().over(order))
+           .where(F.col("_r") <= per_language).select("_l", "_h"))
+    stretch = train_bytes // 4
+    place = F.pmod(F.shiftright("_h", 30), F.length("_t") - stretch + 1).cast("int") + 1
+    part = F.when(F.octet_length("_t") <= train_bytes, F.col("_t")).otherwise(F.substring("_t", place, F.lit(stretch)))
+    chosen = (known.join(F.broadcast(few), ["_l", "_h"])  # at most per_language x most_languages keys
+              .select("_l", part.alias("_t"), "_h").dropDuplicates(["_l", "_h"]).collect())
     chosen = sorted((r["_h"], r["_l"], r["_t"]) for r in chosen)
     return train([t for _, _, t in chosen], [x for _, x, _ in chosen])
 

@@ -66,3 +66,22 @@ def test_all_of_a_training_text_and_long_texts_teach(spark, frame):
                           + [prose("c", 2000) for _ in range(40)], ["b"] * 40 + ["c"] * 40)
     z = language.logits([language.plain(prose("b", 200))], late)[0]
     assert late.languages[z.argmax()] == "b" and language.softmax(z[None] / late.temperature)[0].max() > 0.9
+
+
+def test_equal_rows_do_not_fill_the_sample(spark, frame, monkeypatch):
+    rng = random.Random(9)
+    prose = lambda c, n: " ".join("".join(rng.choice(c) for _ in range(4)) for _ in range(n))
+    same, seen = prose("xyz", 9), []
+    rows = [(None, same, "a")] * 3000 + [(i, prose("abcd", 12), "a") for i in range(60)] + [
+        (100 + i, prose("efgh", 12), "b") for i in range(60)]
+    train = language.train
+    monkeypatch.setattr(language, "train", lambda texts, langs: seen.append((texts, langs)) or train(texts, langs))
+    model = fit(frame(rows), per_language=40)
+    texts, langs = seen[0]
+    assert langs.count("a") == langs.count("b") == 40 and texts.count(same) <= 1
+    got = predict(frame([(1, prose("abcd", 20)), (2, prose("efgh", 20))]), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "a", 2: "b"}
+    # all together are bounded too: shorter stretches of long texts
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 1 << 18)
+    fit(frame([(i, prose("abcd", 9000), str(i % 2)) for i in range(60)]), per_language=30)
+    assert sum(len(t) for t in seen[1][0]) <= 1 << 18 and len(seen[1][0]) == 60
