@@ -281,12 +281,13 @@ def _fold_uses(batches):
         ["piece", "uses"])
 
 
-def _answer(group: pa.Table, path: str, logp: np.ndarray, tokens: int, keep: float) -> pa.Table:
-    """Count and log10 probability of the words each block asked for."""
+def _answer(group: pa.Table, path: str, logp: np.ndarray, tokens: int, keep: float, spell: float) -> pa.Table:
+    """Count and log10 probability of the words each block asked for: a share of
+    ``keep`` by their frequency, one of ``spell`` by their lattices."""
     asked, total = _totals(group)
     words = list(total)
     counts = np.array([total[w] for w in words], dtype=np.float64)
-    score = math.log(1 - keep) + Lattice(path, logp).marginals(words)
+    score = math.log(spell) + Lattice(path, logp).marginals(words)
     known = counts > 0
     score[known] = np.logaddexp(score[known], math.log(keep) + np.log(counts[known] / tokens)) if keep > 0 else score[known]
     place = {w: i for i, w in enumerate(words)}
@@ -357,8 +358,11 @@ def score(docs: DataFrame, path: str, learn_from: Column, doc_id: str = "doc_id"
     tokens, types = words + end_count, types + (end_count > 0)
     keep = min(1 - max(singles, 1) / tokens, 1 - 1 / (tokens + 1)) if tokens else 0.0
     keep = max(keep, 0.0)
-    end_score = math.log10(max(keep, 0.5) * end_count / tokens) if end_count else math.log10(0.5)
-    answers = asked.groupBy("owner").applyInArrow(lambda t: _answer(t, path, logp, max(tokens, 1), keep),
+    # the end takes part in both shares; what is left of the second one spells words
+    ends = (end_count + 1) / (tokens + 2)
+    spell = (1 - keep) * (1 - ends)
+    end_score = math.log10(keep * end_count / max(tokens, 1) + (1 - keep) * ends)
+    answers = asked.groupBy("owner").applyInArrow(lambda t: _answer(t, path, logp, max(tokens, 1), keep, spell),
                                                   "block long, owner long, payload binary")
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         lambda d, a: _score(d, a, owners, tokens, types, end_count, end_score),

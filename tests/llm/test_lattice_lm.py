@@ -85,3 +85,27 @@ def test_long_words_teach_pieces_as_short_ones_do(monkeypatch):
     want = lattice.expected(words, counts)
     monkeypatch.setattr(lm, "VECTOR_CHARS", 3)
     assert np.allclose(lattice.expected(words, counts), want, rtol=1e-9, atol=1e-12)
+
+
+def test_score_by_a_plain_version(spark, frame):
+    """Every score from its definition, and shares that add up to 1."""
+    rows = [(i, t) for i, t in enumerate(["router", "router", "the printer", "printer", "link down", "reading", "zz", None, "the"])]
+    docs, learn = frame(rows), F.col("doc_id") < 5
+    for learn_from, taught in ((learn, rows[:5]), (F.lit(False), [])):
+        count, n_ends = Counter(w for _, t in taught for w in (t or "").split()), len(taught)
+        n = sum(count.values()) + n_ends
+        keep = max(min(1 - max(sum(c == 1 for c in count.values()), 1) / n, 1 - 1 / (n + 1)), 0.0) if n else 0.0
+        ends = (n_ends + 1) / (n + 2)
+        end = keep * n_ends / max(n, 1) + (1 - keep) * ends
+        spell = (1 - keep) * (1 - ends)
+        assert abs(end + spell + keep * sum(count.values()) / max(n, 1) - 1) < 1e-12
+        # piece weights: the vocabulary's and the uses in the distinct training words
+        prior, words = Lattice(PATH), [w.encode() for w in sorted(count)]
+        uses = prior.expected(words, np.ones(len(words))) if words else np.zeros(len(prior.logp))
+        weight = uses + max(1.0, lm.PRIOR_SHARE * uses.sum()) * np.exp(prior.prior)
+        lattice = Lattice(PATH, np.log(weight / weight.sum()))
+        for r in score(docs, PATH, learn_from).collect():
+            want = math.log10(end)
+            for w in (rows[r["doc_id"]][1] or "").split():
+                want += math.log10(spell * all_segmentations(lattice, MARK + w) + (keep * count[w] / n if n else 0.0))
+            assert abs(r["score"] - want) < 1e-6, (r, want)
