@@ -107,3 +107,10 @@ def test_cut_inside_characters(spark, frame):
     data = [(1, "one é" + shared + "é end"), (2, "\ufffd two ĩ" + shared + "è \ufffd end")]
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in cp.cut_repeats(spark, frame(data), "").collect()}
     assert got == {1: (data[0][1], len(data[0][1])), 2: ("\ufffd two  \ufffd end", 12)}
+
+
+def test_a_column_with_a_helpers_name_stays(spark, frame):
+    docs = frame([(1, "one two three four", None, None, 18, "a"), (1, "one two three four", None, None, 18, "a"),
+                  (2, "something else entirely here", None, None, 28, "b")], ", `_H` string")
+    got = cp.keep_one_of_near_copies(spark, docs, None)
+    assert got.columns == docs.columns and sorted((r["doc_id"], r["_H"]) for r in got.collect()) == [(1, "a"), (2, "b")]
