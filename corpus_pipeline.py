@@ -6,6 +6,12 @@ All but the last return the columns of ``documents``.
 
 A decision is carried back to its rows by (doc_id, hash of the text), null ids
 included, so tables with repeated or missing ids keep the right rows.
+
+Edge cases: a null text is a document like any other (its copies are copies of
+the empty text; it holds no passage or item and encodes to no ids); very long
+texts are worked off whole; of a row given several times one stays; ties between
+copies go to the smallest id; an empty table gives an empty result; other
+columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,8 +54,12 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     kept = _rows_of(docs, keys, "left_semi")
     rows = found.groupBy(F.col("doc_id").alias("i"), "text_hash").agg(F.count(F.lit(1)).alias("n"))
     # a row given twice is only told apart here; most tables have none
-    return kept if rows.where("n > 1").isEmpty() else kept.withColumn("_h", F.xxhash64("text")) \
-        .dropDuplicates(["doc_id", "_h"]).drop("_h")
+    if rows.where("n > 1").isEmpty():
+        return kept
+    free, taken = "_h", {c.lower() for c in docs.columns}  # a name that no column has
+    while free in taken:
+        free += "_"
+    return kept.withColumn(free, F.xxhash64("text")).dropDuplicates(["doc_id", free]).drop(free)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
