@@ -51,22 +51,21 @@ def term_weights(term_df: DataFrame, dims: DataFrame, guessed: DataFrame, match:
     match: "token" (a term is in a line when it is one of its words) or
     "substring" (when it occurs anywhere in the line).
     """
-    def in_lines(kind: str) -> DataFrame:
-        if match == "substring":
-            lines = guessed.select(F.col(kind).alias("line"), F.col(f"{kind}_score").alias("score"))
-            got = contained_scores(term_df, lines)
-        else:
-            got = guessed.select(F.explode(line_terms(F.col(kind))).alias("term"),
-                                 F.col(f"{kind}_score").alias("score"))
-        return got.select("term", F.lit(kind).alias("kind"), F.col("score").alias("val"))
-
+    if match == "substring":
+        term_df = term_df.checkpoint(eager=True)  # read several times
+        lines = [guessed.select(F.lit(kind).alias("kind"), F.col(kind).alias("line"), F.col(f"{kind}_score").alias("score"))
+                 for kind in ("problem", "solution")]
+        in_lines = [contained_scores(term_df, lines[0].unionByName(lines[1])).withColumnRenamed("score", "val")]
+    else:
+        in_lines = [guessed.select(F.explode(line_terms(F.col(kind))).alias("term"), F.lit(kind).alias("kind"),
+                                   F.col(f"{kind}_score").alias("val")) for kind in ("problem", "solution")]
     facts = [
         term_df.select("term", F.lit("v").alias("kind"), F.lit(0.0).alias("val")),
         dims.select(F.explode("title_words").alias("term"), F.lit("title").alias("kind"),
                     F.lit(0.0).alias("val")),
         dims.select(F.explode("cause_words").alias("term"), F.lit("cause").alias("kind"),
                     F.lit(0.0).alias("val")),
-        in_lines("problem"), in_lines("solution"),
+        *in_lines,
     ]
     allf = facts[0]
     for f in facts[1:]:
@@ -111,12 +110,17 @@ def high_value_terms(top: DataFrame) -> DataFrame:
     return top.select("term").distinct()
 
 
+def item_pairs(tokens: DataFrame, hv_terms: DataFrame) -> DataFrame:
+    """(case_id, term): the high-value terms of the cases, as pairs."""
+    hv = join_small(tokens, hv_terms.withColumnRenamed("term", "token"), "token", "left_semi",
+                    1_000_000)
+    return hv.select("case_id", F.col("token").alias("term"))
+
+
 def case_items(tokens: DataFrame, hv_terms: DataFrame, cases: DataFrame) -> DataFrame:
     """(case_id, items array<string>, n_items): the case's high-value terms;
     every case has a row (empty array when it has none)."""
-    hv = join_small(tokens, hv_terms.withColumnRenamed("term", "token"), "token", "left_semi",
-                    1_000_000)
-    per_case = hv.groupBy("case_id").agg(F.array_sort(F.collect_list("token")).alias("items"))
+    per_case = item_pairs(tokens, hv_terms).groupBy("case_id").agg(F.array_sort(F.collect_list("term")).alias("items"))
     return cases.select("case_id").join(per_case, "case_id", "left").select(
         "case_id", F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.size(F.coalesce("items", F.array().cast("array<string>"))).alias("n_items"))

@@ -22,15 +22,19 @@ def plain(terms, lines):
 
 
 def run(spark, terms, lines, size=S.GRAM):
-    got = S.contained_scores(spark.createDataFrame([(t,) for t in terms], "term string"),
-                             spark.createDataFrame(lines, "line string, score double"), size)
-    rows = [tuple(r) for r in got.collect()]
-    assert len(rows) == len({t for t, _ in rows})
-    return dict(rows)
-
-
-@pytest.mark.parametrize("size", [1, 3, 5])
-def test_fixed(spark, size):
+    rows = [("one", *x) for x in lines] + [("other", *x) for x in lines[::2]]
+    got = S.contained_scores(spark.createDataFrame([(t,) for t in dict.fromkeys(terms)], "term string"),
+                             spark.createDataFrame(rows, "kind string, line string, score double"), size)
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == len({(t, k) for t, k, _ in found})
+    assert {t: s for t, k, s in found if k == "other"} == plain(terms, lines[::2])
+    return {t: s for t, k, s in found if k == "one"}
+
+
+@pytest.mark.parametrize("size", [1, 3, 8])
+def test_fixed(spark, size, monkeypatch):
+    if size == 3:  # terms across the borders of chunks
+        monkeypatch.setattr(S, "CHUNK", 4)
     assert run(spark, TERMS, LINES, size) == plain(TERMS, LINES)
 
 
