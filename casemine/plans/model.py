@@ -156,6 +156,11 @@ class CaseModel:
     def hv_terms(self) -> DataFrame:
         return TR.high_value_terms(self.topic_top)
 
+    @cached_property
+    def item_pairs(self) -> DataFrame:
+        """(case_id, term): the items of the cases as pairs, not written."""
+        return TR.item_pairs(self.corpus, self.hv_terms)
+
     @cached_property
     def items(self) -> DataFrame:
         return self._keep(TR.case_items(self.corpus, self.hv_terms, self.cases), "items")

@@ -26,8 +26,7 @@ FROM {pairs} p GROUP BY {key}, {member} // {WIDTH}
 
 
 def _lists(m: CaseModel):
-    pairs = m.items.select("case_id", F.explode("items").alias("term"))
-    return PO.blocks(pairs, "term", "case_id", WIDTH)
+    return PO.blocks(m.item_pairs, "term", "case_id", WIDTH)
 
 
 def _shown(lists):
