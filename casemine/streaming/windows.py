@@ -10,13 +10,14 @@ time and kept zero counts; we emit no zero rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 
 PANE_KEYS = ["pane", "word"]
 PANE_SCHEMA = "pane timestamp, word string, count long"
+STRETCH = 60  # slides whose windows are added up together
 
 
 def event_lines(events: DataFrame) -> DataFrame:
@@ -44,14 +45,35 @@ def pane_counts(w: DataFrame, slide: str = C.STREAM_SLIDE) -> DataFrame:
         .select(F.col("_p.start").alias("pane"), "word", "count")
 
 
+def _micros(interval: str) -> Column:
+    return F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
+
+
 def windows_of(panes: DataFrame, window: str = C.STREAM_WINDOW, slide: str = C.STREAM_SLIDE) -> DataFrame:
-    """(window, word, count): sum of the panes of every window that has any."""
-    first = F.col("pane") - F.expr(f"INTERVAL {window}") + F.expr(f"INTERVAL {slide}")
-    start = F.explode(F.sequence(first, F.col("pane"), F.expr(f"INTERVAL {slide}")))
-    return (panes.select(start.alias("start"), "word", "count").groupBy("start", "word")
-            .agg(F.sum("count").cast("long").alias("count"))
-            .select(F.struct("start", (F.col("start") + F.expr(f"INTERVAL {window}")).alias("end")).alias("window"),
-                    "word", "count"))
+    """(window, word, count): sum of the panes of every window that has any.
+    Starts are cut into stretches of ``STRETCH`` slides; a word's panes are
+    sent to the stretches that their windows start in (two at most while a
+    window is no longer than a stretch) and added up there inside the row, so
+    that panes are moved, not windows."""
+    step, length = _micros(slide), _micros(window)
+    width = step * F.lit(STRETCH)
+    at = F.unix_micros("pane")
+    first = at - length + step
+
+    def stretch(t: Column) -> Column:
+        return ((t - F.pmod(t, width)) / width).cast("long")
+
+    dealt = panes.select("word", F.explode(F.sequence(stretch(first), stretch(at))).alias("stretch"),
+                         F.struct(first.alias("first"), at.alias("at"), F.col("count").alias("n")).alias("p"))
+    lists = dealt.groupBy("stretch", "word").agg(F.collect_list("p").alias("ps"))
+    starts = F.array_distinct(F.flatten(F.transform("ps", lambda p: F.filter(
+        F.sequence(p["first"], p["at"], step), lambda t: stretch(t) == F.col("stretch")))))
+    found = lists.select("word", "ps", F.explode(starts).alias("t"))
+    n = F.aggregate("ps", F.lit(0).cast("long"), lambda a, p: a + F.when(
+        F.col("t").between(p["first"], p["at"]) & (F.pmod(F.col("t") - p["first"], step) == 0), p["n"]).otherwise(0))
+    start = F.timestamp_micros("t")
+    return found.select(F.struct(start.alias("start"), (start + F.expr(f"INTERVAL {window}")).alias("end")).alias("window"),
+                        "word", n.alias("count"))
 
 
 def sliding_counts(w: DataFrame, window: str = C.STREAM_WINDOW, slide: str = C.STREAM_SLIDE) -> DataFrame:

@@ -195,3 +195,23 @@ def test_two_versions_of_a_model(spark, tmp_path):
     # the first batch again, after the second version: scored as it was
     SC.versioned_sink(out, None, models)(spark.createDataFrame(cases[:2], text), 0)
     assert {r["case_id"]: (r["prediction"], r["version"]) for r in spark.read.parquet(out).collect()} == got
+
+
+def test_windows_are_added_up_without_moving_them(spark):
+    """Panes at the ends of stretches, before the epoch, repeated and of null
+    words give the sums of every window; what is shuffled are panes."""
+    from collections import Counter
+    from datetime import datetime, timedelta, timezone
+    zero = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    panes = [(q, w, n) for q in (-31, -1, 0, 29, 30, 59, 60, 61, 600) for w, n in (("a", 2), (None, 1))] + [(60, "a", 5)]
+    df = spark.createDataFrame([(zero + timedelta(seconds=10 * q), w, n) for q, w, n in panes], W.PANE_SCHEMA)
+    got = W.windows_of(df)
+    want = Counter()
+    for q, w, n in panes:
+        for j in range(30):
+            want[(q - j) * 10, w] += n
+    rows = got.selectExpr("unix_seconds(window.start) AS s", "unix_seconds(window.end) AS e", "word", "count").collect()
+    assert {(r["s"], r["word"]): r["count"] for r in rows} == dict(want) and len(rows) == len(want)
+    assert all(r["e"] - r["s"] == 300 for r in rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Generate explode") > plan.index("Exchange") > plan.index("Generate explode")
