@@ -140,3 +140,38 @@ def test_longest_differs_from_rightmost(spark):
     longest = df.select(F.explode(TP.line_template_scores(F.col("L"), ["link is down it"], pick="longest")).alias("a")).first()["a"]
     assert (row["start"], row["run"], row["middle"]) == (7, 1, "it")
     assert (longest["start"], longest["run"], longest["middle"]) == (2, 3, "link is down")
+
+
+def test_scores_only_of_what_can_have_one(spark):
+    """Lines without a template word, and runs that leave the line longer or
+    shorter than its template, score 0 without vectors; the others as before."""
+    from casemine import config as C
+    from casemine.functions import template as TP
+    from casemine.functions import text as T
+    lines = ["", "nada de eso", "it is the fault", "a b is down now", "the core file generated on node", "is", "is down",
+             "link is down since monday", "it then failed to boot now", "of the", "x of the y", " the  end"]
+    df = spark.createDataFrame([(t,) for t in lines], "line string").select(T.line_words(F.col("line")).alias("w"))
+    for pick in ("rightmost", "longest"):
+        for templates in (C.PROBLEM_TEMPLATES, ["<x> is the <y>", "of", "a b is down now"]):
+            plain = TP.line_template_scores(F.col("w"), templates, pick=pick, cosine=True)
+            short = TP.line_template_scores(F.col("w"), templates, aligned_only=True, pick=pick, cosine=True)
+            for r in df.select("w", plain.alias("a"), short.alias("s"), TP.line_score(F.col("w"), templates, pick).alias("best")).collect():
+                assert [x for x in r["a"] if x["aligned"]] == r["s"]
+                assert r["best"] == max([x["score"] for x in r["a"]], default=0.0)
+                for x in r["a"]:
+                    vector = [x["front"], *x["middle"].split(" "), x["tail"]] if x["run"] else [x["front"], x["tail"]]
+                    units, mine = ([TP.unit_hash(w) for w in v] for v in (templates[x["template_id"]].split(" "), vector))
+                    want = 0.0
+                    if x["aligned"] and len(units) == len(mine):
+                        want = sum(a * b for a, b in zip(mine, units)) / sum(a * a + b * b for a, b in zip(mine, units)) ** 0.5
+                    assert abs(x["score"] - want) < 2e-6
+    plan = df.select(TP.line_score(F.col("w"), C.PROBLEM_TEMPLATES).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_overlap" in plan
+
+
+def test_affixes_are_stripped_as_by_patterns(spark):
+    from casemine.functions import text as T
+    words = ["", ".", "a.", "..a:.", "-a-", "a", ".:,~-", "-~,:.", "a:.", "~a", ",a,b,", ":.", "a.\n", ".a\n"]
+    df = spark.createDataFrame([(w,) for w in [*words, None]], "w string")
+    by_pattern = F.regexp_replace(F.regexp_replace("w", T._SUFFIX_RE, ""), T._PREFIX_RE, "")
+    assert all(r[0] == r[1] for r in df.select(T.strip_affixes(F.col("w")), by_pattern).collect())
