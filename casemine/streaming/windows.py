@@ -64,8 +64,10 @@ def windows_of(panes: DataFrame, window: str = C.STREAM_WINDOW, slide: str = C.S
         return ((t - F.pmod(t, width)) / width).cast("long")
 
     dealt = panes.select("word", F.explode(F.sequence(stretch(first), stretch(at))).alias("stretch"),
-                         F.struct(first.alias("first"), at.alias("at"), F.col("count").alias("n")).alias("p"))
-    lists = dealt.groupBy("stretch", "word").agg(F.collect_list("p").alias("ps"))
+                         first.alias("first"), at.alias("at"), "count").repartition("stretch", "word")
+    # a pane that came in several batches is one entry, so lists are short
+    once = dealt.groupBy("stretch", "word", "first", "at").agg(F.sum("count").alias("n"))
+    lists = once.groupBy("stretch", "word").agg(F.collect_list(F.struct("first", "at", "n")).alias("ps"))
     starts = F.array_distinct(F.flatten(F.transform("ps", lambda p: F.filter(
         F.sequence(p["first"], p["at"], step), lambda t: stretch(t) == F.col("stretch")))))
     found = lists.select("word", "ps", F.explode(starts).alias("t"))
