@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from casemine import config as C
 from casemine.functions import text as T
 
 
@@ -69,3 +70,26 @@ def test_platform(spark):
 
 def test_line_words_trailing_spaces(spark):
     assert one(spark, T.line_words, "a  b  ") == ["a", "", "b"]
+
+
+def test_only_tokens_that_may_match_meet_the_patterns(spark):
+    samples = ["1234-5678-9012", "a@c.d", "a@b", "123-456-7890", "1234567890", "1-2-2020", "12/31.99", "12:30:45", "1:02",
+               "12:30:45.123", "...", ">>>>", "---", "<a\nb>", "used", "only", "going", "ed", "_ly", "x1ing", "ing"]
+    others = ["red!", "edx", "router", "été", "日本", "a-b", "x1:02", "r2d2", "née", "lying-on", "müssing", "@", "-", ""]
+    rows = spark.createDataFrame([(w,) for w in samples + others], "w string")
+    flags = rows.select("w", T.may_match(F.col("w")).alias("may"), F.col("w").rlike(T.any_pattern()).alias("does")).collect()
+    assert all(r["may"] for r in flags if r["does"])
+    assert {r["w"] for r in flags if r["does"]} >= set(samples)
+    assert not {r["w"] for r in flags if r["may"]} & {"edx", "router", "été", "日本", "a-b", "r2d2", "née"}
+
+
+def test_deleted_characters_and_lines_as_before(spark):
+    texts = [None, "", "\n\n", "A\tb\n\n", "x,;)(}{+#*][|!`=\"?y", "\\^-&&z\n", "é😀,ü\n \n", "\n a"]
+    rows = spark.createDataFrame([(t,) for t in texts], "h string")
+    got = rows.select(T.delete_chars("h").alias("a"), F.translate("h", C.DELETED_CHARS, "").alias("b"),
+                      T.history_lines("h").alias("lines"), "h").collect()
+    assert all(r["a"] == r["b"] for r in got)
+    for r in got:
+        low = "no history" if r["h"] is None else r["h"].lower().replace("\t", " ")
+        cut = low.rstrip("\n")
+        assert r["lines"] == ([] if not cut and low else cut.split("\n"))
