@@ -71,3 +71,11 @@ def test_naive_bayes_shuffle_path_with_hot_term(spark, monkeypatch):
     broadcast = rows(NB.predict_cases(tokens, classes, probs, [0, 1]))
     monkeypatch.setattr(BC, "is_small", lambda *a, **k: False)
     assert rows(NB.predict_cases(tokens, classes, probs, [0, 1])) == broadcast
+
+
+def test_hot_keys_of_known_counts(spark):
+    from pyspark.sql import functions as F
+    big = fixture(spark)
+    counts = big.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    for p in (8, 200):
+        assert SK.hot_of_counts(counts, "token", "df", partitions=p) == SK.hot_keys(big, "token", partitions=p)
