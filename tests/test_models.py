@@ -180,3 +180,16 @@ def test_sweep_matches_plain_lloyd(spark):
     assert found[0][2] > found[1][2] > found[2][2]
     assert CL.first_below(found, found[0][2]) == 7 and CL.first_below(found, 0.0) == 9
     assert CL.sweep_k(pts.limit(0), 2)[1][1:] == ([], 0.0)
+
+
+def test_fp_growth_is_given_frequent_items_only(spark, monkeypatch):
+    """Rare items don't reach the estimator; empty transactions still count."""
+    rows = [(i, ["a", "b", f"rare{i}"] if i % 2 else [f"rare{i}"]) for i in range(20)]
+    df = spark.createDataFrame(rows, "case_id long, items array<string>")
+    given = []
+    real = MN.FPGrowth.fit
+    monkeypatch.setattr(MN.FPGrowth, "fit", lambda self, d, *a: (given.append(d), real(self, d, *a))[1])
+    sets, _ = MN.fp_growth(df, 0.5)
+    assert {(" ".join(sorted(r["items"])), r["freq"]) for r in sets.collect()} == {("a", 10), ("b", 10), ("a b", 10)}
+    assert sorted(len(r["items"]) for r in given[0].collect()) == [0] * 10 + [2] * 10
+    assert MN.fp_growth(df, 0.9)[0].count() == 0
