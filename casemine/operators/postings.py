@@ -76,8 +76,11 @@ def holding_all(lists: DataFrame, key: str, member: str, asked: DataFrame, query
     its keys meet by number; where all keys have one, they are intersected in
     the row."""
     once, wanted = _asked(asked, query, key)
-    met = lists.join(once, key).groupBy(query, "block").agg(F.collect_list("deltas").alias("lists"))
-    full = join_small(met, wanted, query, "inner").where(F.size("lists") == F.col("wanted"))
+    # how many keys are wanted comes along with each; the lists, the larger side, are not sorted
+    keys = once.join(wanted, query).hint("shuffle_hash")
+    met = lists.join(keys, key).groupBy(query, "block").agg(
+        F.collect_list("deltas").alias("lists"), F.max("wanted").alias("wanted"))
+    full = met.where(F.size("lists") == F.col("wanted"))
     both = F.aggregate(F.slice("lists", F.lit(2), F.size("lists")), F.col("lists")[0], F.array_intersect)
     return full.select(query, "block", both.alias("deltas")).select(query, F.explode(members(width)).alias(member))
 

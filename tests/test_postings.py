@@ -63,3 +63,24 @@ def test_all_of_several(spark):
 
 def test_empty(spark):
     assert PO.blocks(frame(spark, []), "term", "case_id").count() == 0
+
+
+def test_search_sorts_no_lists_and_reads_them_once(spark, monkeypatch):
+    """Neither a sort of the lists nor, for many queries, a second pass over them."""
+    from casemine.operators import broadcast as BC
+    pairs = make(7)
+    want = wanted(pairs)
+    words = sorted({t for t, _ in want})
+    asked = [(f"q{i}", w) for i, pair in enumerate(zip(words, words[1:])) for w in pair]
+    lists = PO.blocks(frame(spark, pairs), "term", "case_id", 64)
+    monkeypatch.setattr(BC, "is_small", lambda *a, **k: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = PO.holding_all(lists, "term", "case_id", spark.createDataFrame(asked, "q string, term string"), "q", 64)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        of = lambda w: {c for t, c in want if t == w}
+        assert {tuple(r) for r in found.collect()} == {
+            (f"q{i}", c) for i, (a, b) in enumerate(zip(words, words[1:])) for c in of(a) & of(b)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ShuffledHashJoin") == 1 and plan.count("collect_set") == 2  # partial and final
