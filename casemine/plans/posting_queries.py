@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import postings as PO
 from ..operators import terms as TR
+from ..operators.broadcast import join_small
 from .model import CaseModel
 from .registry import query
 from .term_queries import _ITEMS, _TERM_DF, _TOPIC_TOP, _Y
@@ -54,8 +55,12 @@ def y_from_postings(spark, sf_dir):
     """y and its as-coded form from the posting lists: the case's own terms, and
     its frequent ones (as coded: all of them, as the union keeps every word)."""
     m = CaseModel(spark, sf_dir)
-    lists = _lists(m)
-    flagged = lists.join(m.frequent.select(F.col("item").alias("term"), F.lit(1).alias("f")), "term", "left")
+    # the items are written for the frequent ones: the lists are made from them too, and
+    # as whole cases are dealt by their block, neither lists nor counts are dealt again
+    dealt = m.items.repartition(PO.block_of(F.col("case_id").cast("long"), WIDTH))
+    lists = PO.blocks(dealt.select("case_id", F.explode("items").alias("term")), "term", "case_id", WIDTH)
+    frequent = m.frequent.select(F.col("item").alias("term"), F.lit(1).alias("f")).checkpoint(eager=True)
+    flagged = join_small(lists, frequent, "term", "left")
     counts = flagged.select(F.explode(PO.members(WIDTH)).alias("case_id"), F.coalesce("f", F.lit(0)).alias("f")) \
         .groupBy("case_id").agg(F.count(F.lit(1)).alias("n"), F.sum("f").alias("n_freq"))
     n1, n_freq = F.greatest(F.coalesce("n", F.lit(0)), F.lit(1)), F.coalesce("n_freq", F.lit(0))

@@ -62,3 +62,33 @@ def test_dictionaries_from_files(spark, sf_dir, tmp_path):
     assert rows(G.guessed_lines(cases, templates)) == rows(G.guessed_lines(cases))
     model.release()
     base.release()
+
+
+def test_items_beyond_the_broadcast_bound(spark, sf_dir, monkeypatch):
+    """Too many high-value terms to broadcast: the best of each topic still are."""
+    m = CaseModel(spark, sf_dir)
+    base = rows(m.items)
+    n = m.hv_terms.count()
+    asked = []
+    monkeypatch.setattr(TR, "BROADCAST_TERMS", n - 1)
+    monkeypatch.setattr(TR, "join_small", lambda *a, f=TR.join_small: asked.append(a) or f(*a))
+    assert rows(TR.case_items(m.corpus, m.hv_terms, m.cases, m.topic_top)) == base
+    best = asked[0][5]
+    assert 0 < best.count() < n and best.join(m.hv_terms.withColumnRenamed("term", "token"), "token", "left_anti").isEmpty()
+
+
+def test_y_from_postings_deals_the_cases_once(spark, sf_dir):
+    """The lists are made of the written items, whole cases dealt by block; two
+    rows of a case, a case without id and one without items count as in ``y``."""
+    from casemine.operators import postings as PO
+    items = spark.createDataFrame([(5, ["a", "b"]), (5, ["a", "b"]), (700, ["a"]), (8, []), (None, ["a"])],
+                                  "case_id long, items array<string>")
+    dealt = items.repartition(PO.block_of(F.col("case_id").cast("long"), 128))
+    lists = PO.blocks(dealt.select("case_id", F.explode("items").alias("term")), "term", "case_id", 128)
+    counts = lists.select(F.explode(PO.members(128)).alias("case_id"), "term")
+    assert rows(counts) == [(5, "a"), (5, "b"), (700, "a")]
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    from casemine.plans.posting_queries import y_from_postings
+    plan = y_from_postings(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" in plan and "hashpartitioning(term" not in plan  # no list is dealt by its term
