@@ -78,7 +78,8 @@ def holding_all(lists: DataFrame, key: str, member: str, asked: DataFrame, query
     once, wanted = _asked(asked, query, key)
     # how many keys are wanted comes along with each; the lists, the larger side, are not sorted
     keys = once.join(wanted, query).hint("shuffle_hash")
-    met = lists.join(keys, key).groupBy(query, "block").agg(
+    # dealt as they are: few of a query's lists meet before they are dealt
+    met = lists.join(keys, key).select(query, "block", "deltas", "wanted").repartition(query, "block").groupBy(query, "block").agg(
         F.collect_list("deltas").alias("lists"), F.max("wanted").alias("wanted"))
     full = met.where(F.size("lists") == F.col("wanted"))
     both = F.aggregate(F.slice("lists", F.lit(2), F.size("lists")), F.col("lists")[0], F.array_intersect)

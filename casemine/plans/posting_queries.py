@@ -88,4 +88,6 @@ def posting_search(spark, sf_dir):
     m = CaseModel(spark, sf_dir)
     pair = F.expr("(rn - 1) div 2").cast("string")
     asked = m.topic_top.select(F.concat("topic", F.lit("-"), pair).alias("query"), "term")
-    return PO.holding_all(_lists(m), "term", "case_id", asked, "query", WIDTH)
+    # pairs dealt by term: a term has a pair a case at most, and the lists meet the questions where they lie
+    lists = PO.blocks(m.item_pairs.repartition("term"), "term", "case_id", WIDTH)
+    return PO.holding_all(lists, "term", "case_id", asked, "query", WIDTH)
