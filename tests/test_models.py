@@ -193,3 +193,31 @@ def test_fp_growth_is_given_frequent_items_only(spark, monkeypatch):
     assert {(" ".join(sorted(r["items"])), r["freq"]) for r in sets.collect()} == {("a", 10), ("b", 10), ("a b", 10)}
     assert sorted(len(r["items"]) for r in given[0].collect()) == [0] * 10 + [2] * 10
     assert MN.fp_growth(df, 0.9)[0].count() == 0
+
+
+def test_fp_growth_is_given_items_of_frequent_pairs_only(spark, monkeypatch):
+    """A frequent item that no other goes with often doesn't reach the estimator,
+    and still is an itemset; the estimator has no more groups than tasks."""
+    rows = [(i, ["a", "b"] * (i < 12) + ["c"] * (i % 2) + ["d"] * (i >= 10)) for i in range(20)] + [(20, None), (21, [])]
+    df = spark.createDataFrame(rows, "case_id long, items array<string>").repartition(9)
+    given = []
+    real = MN.FPGrowth.fit
+    monkeypatch.setattr(MN.FPGrowth, "fit", lambda self, d, *a: (given.append((self.getNumPartitions(), d)), real(self, d, *a))[1])
+    sets, model = MN.fp_growth(df, 0.45)
+    want = {("a", 12), ("b", 12), ("c", 10), ("d", 10), ("a b", 12)}
+    assert {(" ".join(sorted(r["items"])), r["freq"]) for r in sets.collect()} == want and sets.count() == len(want)
+    groups, frame = given[0]
+    assert groups == spark.sparkContext.defaultParallelism
+    assert sorted(sorted(r["items"]) for r in frame.collect()) == [[]] * 9 + [["a", "b"]] * 12
+    assert model.associationRules.count() == 2  # a -> b, b -> a
+
+
+def test_items_with_mates_adds_up_over_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        df = spark.createDataFrame([(["x", "y"],)] * 5 + [(["x", "z"],)] * 4 + [(None,), (["w"],)], "items array<string>").repartition(3)
+        assert MN.items_with_mates(df, "items", ["w", "x", "y", "z"], 5) == ["x", "y"]
+        assert MN.items_with_mates(df, "items", ["w", "x", "y", "z"], 4) == ["x", "y", "z"]
+        assert MN.items_with_mates(df, "items", ["w"], 1) == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
