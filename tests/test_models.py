@@ -221,3 +221,10 @@ def test_items_with_mates_adds_up_over_batches(spark):
         assert MN.items_with_mates(df, "items", ["w"], 1) == []
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_an_item_twice_in_a_transaction_is_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([(["x", "x"],), (["x"],), (["y"],)], "items array<string>")
+    with pytest.raises(Exception, match="unique"):
+        MN.fp_growth(df, 0.5)[0].count()
